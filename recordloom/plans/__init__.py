@@ -5,6 +5,7 @@ from importlib import import_module
 MODULES: tuple[str, ...] = (
     "q_verify",
     "q_fields",
+    "q_tables",
 )
 
 

@@ -175,7 +175,7 @@ def _row_cells(d: dict) -> list[tuple[int, list[str]]]:
     return [
         (0, [period, r.bare_name, e, r.job, r.duty, "o_orderpriority"]),
         (1, [e, r.issuer, r.work_type, r.specialty, r.position, e]),
-        (2, [e, r.overview, e, "'참여'", d["comma"](r.amount), e]),
+        (2, [e, f"case when {h} % 12 = 3 then concat({r.overview}, ' 3') else {r.overview} end", e, "'참여'", d["comma"](r.amount), e]),
         (3, [e, "'개착공법'", e, "'해당없음'", "'도로'", e]),
         (4, [
             f"case when {spill_kind} = 1 then '┖→' else '' end",
@@ -238,10 +238,96 @@ def _table_rows_sql(d: dict) -> str:
     return " union all ".join(parts)
 
 
+def _lay(cells: list[str], sparse: str) -> str:
+    six = "array(" + ",".join(cells) + ")"
+    seven = "array(" + ",".join(cells[:2] + [sparse] + cells[2:]) + ")"
+    eight = "array(" + ",".join(cells[:1] + ["''"] + cells[1:4] + ["''"] + cells[4:]) + ")"
+    return f"case o_orderstatus when 'F' then {six} when 'P' then {seven} else {eight} end"
+
+
+def _row_struct(attempt: int, table_no: int, row_no: str, cells: str) -> str:
+    return f"named_struct('attempt', {attempt}, 'table_no', {table_no}, 'row_no', cast({row_no} as int), 'cells', {cells})"
+
+
 def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``table_rows(doc_id, page_no, attempt, table_no, row_no, cells array<string>)``."""
+    """``table_rows(doc_id, page_no, attempt, table_no, row_no, cells array<string>)``.
+
+    Cell texts are computed once per record as plain columns, then laid out.
+    """
     orders = table(spark, sf_dir, "orders")
-    return spark.sql(_table_rows_sql(_SPARK).replace("from orders", "from {orders}"), orders=orders)
+    page = ["o_custkey as doc_id", "o_orderkey as page_no"]
+    fixed = [_row_struct(0, 0, "0", f"array('※ {TECH_HEAD} 책임정도의 보정계수', '')")]
+    fixed += [_row_struct(0, 1, str(i), _lay([f"'{c}'" for c in r], "''")) for i, r in enumerate(_HEADER_ROWS)]
+    texts: list[str] = []
+    body: list[str] = []
+    named: dict[tuple[int, int], str] = {}
+    for n, cells in _row_cells(_SPARK):
+        refs = []
+        for i, c in enumerate(cells):
+            if c == "''" or (c.startswith("'") and c.count("'") == 2):
+                refs.append(c)
+            else:
+                named[(n, i)] = f"v{n}{i}"
+                texts.append(f"{c} as v{n}{i}")
+                refs.append(f"v{n}{i}")
+        sparse = "case when k = 1 then '-' else '' end" if n == 1 else "''"
+        body.append(_row_struct(0, 1, f"4 + 5 * (k - 1) + {n}", _lay(refs, sparse)))
+    body.append(_row_struct(1, 0, "k - 1", f"array({named[(0, 1)]}, {named[(0, 3)]}, {named[(0, 4)]})"))
+    spine = orders.select("*", F.expr(_SPARK["series"](_SPARK["priority"])).alias("k"))
+    records = spine.selectExpr(*page, "o_orderstatus", "k", *texts).selectExpr("doc_id", "page_no", f"inline(array({','.join(body)}))")
+    return orders.selectExpr(*page, f"inline(array({','.join(fixed)}))").unionByName(records)
+
+
+def _front_cells() -> list[list[str]]:
+    """Rows of a front page made from one customer; text both engines read the same way."""
+    p2 = lambda x: f"lpad(cast({x} as string), 2, '0')"
+    k = "c_custkey"
+    day = lambda o: f"concat('20', {p2(f'(({k} + {o}) % 20)')}, '.', {p2(f'(1 + ({k} + {o}) % 12)')}, '.', {p2(f'(1 + ({k} * 3 + {o}) % 28)')})"
+    e = "''"
+    lic = "case c_nationkey % 5 when 0 then '토목기사' when 1 then '측량기능사' when 2 then '건설안전산업기사' when 3 then '토목품질시험기술사' else '기사' end"
+    reg = f"concat({p2(f'(({k} + 1) % 20)')}, '20', cast(100000 + {k} as string), 'A')"
+    nl = "chr(10)"
+    award = "case c_nationkey % 4 when 0 then '표창장' when 1 then '공로표창장' when 2 then '훈장증' else '감사장' end"
+    maker = "concat('건설', cast(c_nationkey as string), '(주)')"
+    mark = "case c_nationkey % 4 when 0 then ' 現:' when 1 then ' 흡수합병 : ' when 2 then ':' else '' end"
+    newer = f"case c_nationkey % 4 when 3 then '' else concat('새건설', cast({k} % 7 as string), '(주)') end"
+    return [
+        [f"concat('관리번호 # ', cast({k} % 9 as string), ' ', cast(c_nationkey as string), ' 7')", e, e, e],
+        ["'성명(한글) 홍길동'", f"concat('생년월일 ', {p2(f'{k} % 100')}, '.', {p2(f'1 + {k} % 13')}, '.', {p2('1 + c_nationkey')})", "concat('주소 서울시 ', c_mktsegment, '로 ', cast(c_nationkey as string), ' 연락처 010')", e],
+        ["'등급'", e, e, e],
+        ["concat('설계·시공 등 직무분야 토목 ', case c_nationkey % 3 when 0 then '특급' when 1 then '고급' else '초급' end)", "'전문분야 토질·지질 중급'", e, e],
+        ["'국가기술자격'", "'종목'", "'합격일'", "'등록번호'"],
+        [e, f"case when c_nationkey % 3 = 0 then concat({lic}, {nl}, '조경기사') else {lic} end",
+         f"case when c_nationkey % 3 = 0 then concat({day(1)}, {nl}, {day(5)}) else {day(1)} end",
+         f"case when c_nationkey % 3 = 0 then concat({reg}, {nl}, '0399887766B') when c_nationkey % 3 = 1 then '' else {reg} end"],
+        [e, e, e, "case when c_nationkey % 2 = 0 then '재발급' else '' end"],
+        ["'학력'", "'졸업일'", "'학교명'", "'학과 학위'"],
+        [e, day(2), f"case when c_nationkey % 4 = 0 then '한빛공과대학(現:한빛대학교)' else '한빛대학교' end", "concat(case c_nationkey % 3 when 0 then '토목공학과' when 1 then '건축 공학부' else '조경전공' end, ' 학사[졸업]')"],
+        ["'교육훈련'", "'교육기간'", "'과정명'", "'교육기관명'"],
+        [e, f"concat({day(3)}, ' ~ ', {day(9)})", "'안전관리 (원격'", "'건설기술교육원'"],
+        [e, e, e, "case when c_nationkey % 2 = 1 then '본원' else '' end"],
+        ["'상훈'", "'수여일'", "'수여기관'", "'종류 및 근거'"],
+        [e, day(4), "case when c_nationkey % 6 = 0 then '국토교통부 표창장' else '국토교통부' end", f"concat({award}, '[제', cast({k} % 50 as string), '호]')"],
+        ["'벌점 및 제재사항'", "'벌점'", "'제재일'", "'제재기관'"],
+        [e, "case c_nationkey % 3 when 0 then concat(cast(c_nationkey as string), '.5점') when 1 then '해당없음' else '' end", f"case when c_nationkey % 3 = 2 then {day(6)} else '' end", "'국토관리청'"],
+        ["'근무기간'", "'상호'", "'근무기간'", "'상호'"],
+        [f"concat({day(7)}, ' ~ ', {day(8)})", f"concat({maker}, {mark}, {newer})", "case when c_nationkey % 2 = 0 then concat('2021.01 ~ 근 무 중') else '' end", f"case when c_nationkey % 2 = 0 then {maker} else '' end"],
+        [f"'1. 기술경력'", e, e, e],
+        ["'이후 행'", "'무시'", e, e],
+    ]
+
+
+def _front_rows_sql(d: dict) -> str:
+    o, c = ("array(", ")") if d is _SPARK else ("[", "]")
+    rows = "{0}{1}{2}".format(o, ",".join(o + ",".join(r) + c for r in _front_cells()), c)
+    each = f"posexplode({rows}) as (row_no, cells)" if d is _SPARK else f"unnest(range(0, {len(_front_cells())})) as row_no, unnest({rows}) as cells"
+    return f"select c_custkey as doc_id, 0 as page_no, 0 as attempt, 0 as table_no, {each} from customer"
+
+
+def front_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Front-page table rows, one customer each: personal data, grades, licences ... workplaces."""
+    customer = table(spark, sf_dir, "customer")
+    return spark.sql(_front_rows_sql(_SPARK).replace("from customer", "from {customer}"), customer=customer)
 
 
 def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,6 +362,7 @@ DUCK_FEEDS: dict[str, tuple[str, tuple[str, ...]]] = {
     "career_pages": (_duck_career_pages(), ()),
     "careers": (_duck_career_records(), ()),
     "trows": (_table_rows_sql(_DUCK), ()),
+    "front": (_front_rows_sql(_DUCK), ()),
     "raw_lines": (
         "select doc_id, page_no, unnest(string_split(text, chr(10))) as raw, "
         "unnest(range(0, len(string_split(text, chr(10))))) as pos from career_pages",
