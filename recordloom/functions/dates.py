@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from recordloom.functions.text import ARROW, clean_blanks, compact
+from recordloom.functions.text import ARROW, clean_blanks, compact, strip
 
 ONGOING = "근무중"
 MASKED_ISO = "****-**-**"
@@ -22,7 +22,7 @@ MODES = ("first_day", "keep_month", "passthrough", "unchecked", "workplace")
 
 
 def _trim(c: Column) -> Column:
-    return F.regexp_replace(clean_blanks(c), r"^\s+|\s+$", "")
+    return strip(clean_blanks(c))
 
 
 def _iso(c: Column) -> Column:

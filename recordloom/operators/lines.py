@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.functions.text import ARROW, clean_blanks, contains_any, count_hits
+from recordloom.functions.text import ARROW, clean_blanks, compact, contains_any, count_hits, strip
 
 # Fixed word lists of the certificate form.
 TECH_FOOTER_WORDS = [
@@ -33,8 +33,9 @@ ONGOING = ("근무중", "재직중")
 
 def line_text(raw: Column) -> Column:
     """Blanks and tabs squeezed, ends trimmed (``\\r`` of DOS line ends included)."""
-    c = F.regexp_replace(clean_blanks(raw), r"[ \t]+", " ")
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    c = strip(clean_blanks(raw))
+    run = F.contains(c, F.lit("  ")) | F.contains(c, F.lit("\t"))
+    return F.when(run, F.regexp_replace(c, r"[ \t]+", " ")).otherwise(c)
 
 
 def split_lines(pages: DataFrame, keys: tuple[str, ...] = ("doc_id", "page_no"), text: str = "text") -> DataFrame:
@@ -58,7 +59,7 @@ def is_annotation(line: Column) -> Column:
         | line.startswith("(책임정도")
         | (line.startswith("(*") & F.contains(line, F.lit("는")) & (short <= 120))
         | (line.startswith("(*") & contains_any(line, ["별표", "법", "시행령"]) & (short <= 160))
-        | line.rlike(r"^\(?\s*(인정일|참여일)\s*\)?$")
+        | (contains_any(line, ["인정일", "참여일"]) & line.rlike(r"^\(?\s*(인정일|참여일)\s*\)?$"))
     )
 
 
@@ -70,7 +71,7 @@ def is_boilerplate(line: Column, section: str = "tech") -> Column:
     flag = (
         (line == "")
         | is_annotation(line)
-        | line.rlike("^(Page :|성명 :)")
+        | line.startswith("Page :") | line.startswith("성명 :")
         | (F.contains(line, F.lit(title)) & (F.contains(line, F.lit(number + ".")) | line.startswith(number)))
         | (line.startswith("(") & F.contains(line, F.lit("쪽")))
         | F.contains(line, F.lit("본 증명서는 인터넷으로 발급"))
@@ -94,26 +95,28 @@ def content_lines(lines: DataFrame, section: str = "tech", keys: tuple[str, ...]
 
 
 def content_lines_of_pages(pages: DataFrame, section: str = "tech", text: str = "text") -> DataFrame:
-    """``split_lines`` and ``content_lines`` in one pass: filter the array before numbering it."""
-    arr = F.filter(
-        F.transform(F.split(F.col(text), "\n"), line_text),
-        lambda x: (x != "") & ~is_boilerplate(x, section),
-    )
+    """Content lines of every page, in order but with the gaps of the dropped lines.
+
+    Row frames and ordering are all most operators need; ``content_lines`` numbers
+    densely.  The cleaned line comes out of the generator, so the filter reads a
+    column: pushed below a projection it would clean the line once per keyword.
+    """
     others = [c for c in pages.columns if c != text]
-    return pages.select(*others, F.posexplode(arr).alias("line_no", "line")).withColumn(
-        "line_no", F.col("line_no").cast("bigint")
-    )
+    arr = F.transform(F.split(F.col(text), "\n"), line_text)
+    d = pages.select(*others, F.posexplode(arr).alias("line_no", "line"))
+    return d.where((F.col("line") != "") & ~is_boilerplate(F.col("line"), section)).withColumn(
+        "line_no", F.col("line_no").cast("bigint"))
 
 
 def line_kind(line: Column) -> Column:
-    """'arrow', 'tilde', 'mask', 'date', 'ongoing', 'days' or 'text'."""
+    """'arrow', 'tilde', 'mask', 'date', 'ongoing', 'days' or 'text'; cheap tests guard the patterns."""
     return (
         F.when(line.startswith(ARROW), "arrow")
         .when(line.startswith("~"), "tilde")
-        .when(line.rlike(MASKED_DATE), "mask")
-        .when(line.rlike(FULL_DATE), "date")
-        .when(F.regexp_replace(line, r"\s+", "").isin(*ONGOING), "ongoing")
-        .when(line.rlike(DAYS_LINE), "days")
+        .when(line.startswith("*") & line.rlike(MASKED_DATE), "mask")
+        .when((F.length(line) == 10) & line.rlike(FULL_DATE), "date")
+        .when(contains_any(line, ["근", "재"]) & compact(line).isin(*ONGOING), "ongoing")
+        .when(F.contains(line, F.lit("일")) & line.rlike(DAYS_LINE), "days")
         .otherwise("text")
     )
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.functions.text import ARROW, clean_blanks, compact, contains_any, count_hits, is_blank, quote, squeeze
+from recordloom.functions.text import ARROW, clean_blanks, compact, contains_any, count_hits, is_blank, quote, squeeze, strip
 
 TABLE = ("doc_id", "page_no", "attempt", "table_no")
 PAGE = ("doc_id", "page_no")
@@ -41,7 +41,9 @@ def cell(cells: Column, i: int | Column) -> Column:
 
 def clean_cells(cells: Column) -> Column:
     """DOS line ends unified, odd blanks normalised, ends trimmed, null to empty."""
-    return F.transform(cells, lambda c: F.regexp_replace(F.regexp_replace(clean_blanks(c), "\r\n?", "\n"), r"^\s+|\s+$", ""))
+    return F.transform(
+        cells, lambda c: strip(F.replace(F.replace(clean_blanks(c), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")))
+    )
 
 
 def joined(cells: Column, sep: str = " ") -> Column:
@@ -124,8 +126,9 @@ def career_table_score(rows: DataFrame, section: str = "tech") -> DataFrame:
 
 def front_table_score(rows: DataFrame) -> DataFrame:
     """(keyword hits in the first 120 rows, rows) for front pages."""
-    line = F.replace(joined(F.col("cells")), F.lit("\n"), F.lit(" "))
-    return rows.groupBy(*TABLE).agg(
+    line = F.col("_line")
+    d = rows.select(*TABLE, "row_no", F.replace(joined(F.col("cells")), F.lit("\n"), F.lit(" ")).alias("_line"))
+    return d.groupBy(*TABLE).agg(
         F.sum(F.when(F.col("row_no") < 120, count_hits(line, FRONT_TABLE_WORDS)).otherwise(0)).cast("bigint").alias("s1"),
         F.count(F.lit(1)).alias("s2"), F.lit(0).cast("bigint").alias("s3"),
     )
@@ -133,7 +136,8 @@ def front_table_score(rows: DataFrame) -> DataFrame:
 
 def export_table_score(rows: DataFrame) -> DataFrame:
     """(base, label hits, columns) used when dumping one best table per page."""
-    line = joined(F.col("cells"))
+    line = F.col("_line")
+    rows = rows.withColumn("_line", joined(F.col("cells")))
     hit = lambda n, w: F.max((F.col("row_no") < n).cast("int") * F.contains(line, F.lit(w)).cast("int"))
     hits18 = sum((hit(18, w) for w in LABEL_WORDS[1:]), hit(18, LABEL_WORDS[0]))
     hits12 = sum((hit(12, w) for w in LABEL_WORDS[1:]), hit(12, LABEL_WORDS[0]))
@@ -198,8 +202,8 @@ def keep_best(rows: DataFrame, best: DataFrame) -> DataFrame:
 
 def has_header_signal(rows: DataFrame, words: Sequence[str], scan_rows: int = 45) -> DataFrame:
     """Does any table of the page show one of ``words`` in its first rows?"""
-    line = joined(F.col("cells"))
-    return rows.groupBy(*PAGE).agg(
+    line = F.col("_line")
+    return rows.withColumn("_line", joined(F.col("cells"))).groupBy(*PAGE).agg(
         (F.max((F.col("row_no") < scan_rows).cast("int") * contains_any(line, list(words)).cast("int")) == 1).alias("has_signal")
     )
 
@@ -207,7 +211,8 @@ def has_header_signal(rows: DataFrame, words: Sequence[str], scan_rows: int = 45
 # ------------------------------------------------------------ header and layout
 def header_start_row(rows: DataFrame, scan_rows: int = 18) -> DataFrame:
     """Header start per table: keyword row, else the first later row with 3+ cells that starts no date."""
-    t = F.replace(joined(F.col("cells")), F.lit(" "), F.lit(""))
+    rows = rows.withColumn("_t", F.replace(joined(F.col("cells")), F.lit(" "), F.lit("")))
+    t = F.col("_t")
     scanned = F.col("row_no") < scan_rows
     strict = scanned & F.contains(t, F.lit("사업명")) & contains_any(t, ["비고", "참여기간"])
     c0 = F.trim(cell(F.col("cells"), 0))

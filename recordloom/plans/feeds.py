@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordloom.sources.scan import spread
+
 # Fixed sample vocabulary for the rendering (issuers, work types, specialties,
 # positions, job fields, duties), in the order they are indexed.
 ISSUERS = ["한국도로공사", "용인시 상수도사업소", "경기도 양주시", "대전지방국토관리청", "고양시청",
@@ -152,7 +154,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def career_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``page_text(doc_id, page_no, text)``: one certificate page per order."""
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.col("o_custkey").alias("doc_id"),
         F.col("o_orderkey").alias("page_no"),
         F.expr(_page_text(_SPARK)).alias("text"),
@@ -161,7 +163,7 @@ def career_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def career_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``careers(doc_id, page_no, rec_idx, section, ...)``: the same records, already parsed."""
-    spine = table(spark, sf_dir, "orders").select("*", F.expr(_SPARK["series"](_SPARK["priority"])).alias("k"))
+    spine = spread(table(spark, sf_dir, "orders")).select("*", F.expr(_SPARK["series"](_SPARK["priority"])).alias("k"))
     return spine.selectExpr(*[f"{sql} as {name}" for name, sql in _record_columns(_SPARK)])
 
 
@@ -254,7 +256,7 @@ def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Cell texts are computed once per record as plain columns, then laid out.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     page = ["o_custkey as doc_id", "o_orderkey as page_no"]
     fixed = [_row_struct(0, 0, "0", f"array('※ {TECH_HEAD} 책임정도의 보정계수', '')")]
     fixed += [_row_struct(0, 1, str(i), _lay([f"'{c}'" for c in r], "''")) for i, r in enumerate(_HEADER_ROWS)]
@@ -326,13 +328,13 @@ def _front_rows_sql(d: dict) -> str:
 
 def front_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Front-page table rows, one customer each: personal data, grades, licences ... workplaces."""
-    customer = table(spark, sf_dir, "customer")
+    customer = spread(table(spark, sf_dir, "customer"))
     return spark.sql(_front_rows_sql(_SPARK).replace("from customer", "from {customer}"), customer=customer)
 
 
 def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as one-page documents."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("page_no"), "text", "lang", "source")
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", F.lit(0).alias("page_no"), "text", "lang", "source")
 
 
 def dialogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,7 +85,7 @@ def line_filter(spark, sf):
   from lines where not {DUCK_BOILER_CM}""", "lines"))
 def line_filter_cm(spark, sf):
     """L4, the CM form's own word lists."""
-    return L.content_lines_of_pages(feeds.career_pages(spark, sf), "cm").select("doc_id", "page_no", "line_no", "line")
+    return L.content_lines(L.split_lines(feeds.career_pages(spark, sf)), "cm").select("doc_id", "page_no", "line_no", "line")
 
 
 @query("page_metrics", duck("select * from metrics", "metrics"))
