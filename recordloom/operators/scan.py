@@ -75,15 +75,16 @@ def running(
     if not levels:
         return out
     chunk = levels[-1]
-    summary = df.groupBy(*keys, *levels).agg(*[s.summary(order).alias(f"_v{i}") for i, s in enumerate(specs)])
+    n = len(levels)
+    summary = df.groupBy(*keys, *levels).agg(*[s.summary(order).alias(f"_v{n}_{i}") for i, s in enumerate(specs)])
     carried = running(
         summary, keys, levels[:-1], [chunk],
-        [Running(f"_c{i}", s.kind, f"_v{i}") for i, s in enumerate(specs)], inclusive=False,
-    ).select(*keys, *levels, *[f"_c{i}" for i in range(len(specs))])
+        [Running(f"_c{n}_{i}", s.kind, f"_v{n}_{i}") for i, s in enumerate(specs)], inclusive=False,
+    ).select(*keys, *levels, *[f"_c{n}_{i}" for i in range(len(specs))])
     joined = out.join(carried, [*keys, *levels], "left")
     cols = []
     for i, s in enumerate(specs):
-        cols.append(s.join(F.col(f"_c{i}"), F.col(s.out)).alias(s.out))
+        cols.append(s.join(F.col(f"_c{n}_{i}"), F.col(s.out)).alias(s.out))
     keep = [c for c in df.columns]
     return joined.select(*keep, *cols)
 

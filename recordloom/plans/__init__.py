@@ -6,6 +6,7 @@ MODULES: tuple[str, ...] = (
     "q_verify",
     "q_fields",
     "q_tables",
+    "q_sections",
 )
 
 

@@ -332,6 +332,33 @@ def front_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_front_rows_sql(_SPARK).replace("from customer", "from {customer}"), customer=customer)
 
 
+def _summary_text(d: dict) -> str:
+    """A page of the recognised-days summary: headers, one- and two-item lines, wrapped labels."""
+    r = _Render(d)
+    h = r.h
+    left, right = r.work_type, f"concat({r.job}, '/', {r.specialty})"
+    n1, n2 = d["comma"](r.recog), d["comma"](r.part)
+    item = d["join"]([
+        f"case {h} % 6 when 0 then concat({left}, ' ', {n1}, ' 일 ', {right}, ' ', {n2}, ' 일') when 1 then concat({left}, ' ', {n1}, ' 일')"
+        f" when 2 then {left} when 3 then concat({right}, ' ', {n2}, '일') when 4 then '인정일수 합계 9,999 일' else concat('관광시설(공원.', {left}, ' ', {n1}, ' 일') end",
+        f"case {h} % 6 when 2 then {n1} when 5 then '부수 시설)' end",
+        f"case {h} % 6 when 2 then '일' end",
+    ])
+    return d["join"]([
+        "case o_orderpriority when '1-URGENT' then '공사종류별 인정일수 현황 직무/전문분야별 인정일수 현황' when '2-HIGH' then '공사종류별 인정일수 현황' when '5-LOW' then '직무/전문분야별 인정일수 현황' end",
+        d["map"](r.n, item),
+        "case when o_orderstatus = 'P' then '2. 건설기술진흥법령 외' end",
+        "case when o_orderstatus = 'P' then concat('기타 ', cast(o_orderkey as string), ' 12 일') end",
+        "'※ 문서하단 안내'",
+    ])
+
+
+def summary_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recognised-days summary pages, one per order."""
+    return spread(table(spark, sf_dir, "orders")).select(
+        F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("page_no"), F.expr(_summary_text(_SPARK)).alias("text"))
+
+
 def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as one-page documents."""
     return spread(table(spark, sf_dir, "documents")).select("doc_id", F.lit(0).alias("page_no"), "text", "lang", "source")
@@ -365,6 +392,8 @@ DUCK_FEEDS: dict[str, tuple[str, tuple[str, ...]]] = {
     "careers": (_duck_career_records(), ()),
     "trows": (_table_rows_sql(_DUCK), ()),
     "front": (_front_rows_sql(_DUCK), ()),
+    "summary_pages": (f"select o_custkey as doc_id, o_orderkey as page_no, {_summary_text(_DUCK)} as text from orders", ()),
+    "dialogue": ("select conv_id as doc_id, turn as page_no, text from conversations", ()),
     "raw_lines": (
         "select doc_id, page_no, unnest(string_split(text, chr(10))) as raw, "
         "unnest(range(0, len(string_split(text, chr(10))))) as pos from career_pages",
