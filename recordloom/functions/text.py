@@ -106,3 +106,17 @@ def tail_tokens(arr: Column, k: Column | int) -> Column:
     return F.when(k <= 0, F.array().cast("array<string>")).otherwise(
         F.slice(arr, F.greatest(size - k + 1, F.lit(1)), F.greatest(k, F.lit(0)))
     )
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body``.
+
+    Nested expressions that use an intermediate result many times would otherwise
+    repeat its whole computation at every use.
+    """
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
+def last_token(arr: Column) -> Column:
+    """Last element, null for an empty array."""
+    return F.try_element_at(arr, F.lit(-1))

@@ -43,8 +43,8 @@ def strip_tail_job_duty(c: Column) -> Column:
     s = squeeze(c)
     t = tokens(c)
     n = F.size(t)
-    two = (n >= 3) & F.element_at(t, -2).isin(*JOB_FIELDS)
-    one = (n >= 2) & F.element_at(t, -1).isin(*JOB_FIELDS)
+    two = (n >= 3) & F.try_element_at(t, F.lit(-2)).isin(*JOB_FIELDS)
+    one = (n >= 2) & F.try_element_at(t, F.lit(-1)).isin(*JOB_FIELDS)
     return (
         F.when(two, F.struct(join_tokens(F.slice(t, F.lit(1), F.greatest(n - 2, F.lit(0)))).alias("name"),
                              F.get(t, n - 2).alias("job"), F.get(t, n - 1).alias("duty")))

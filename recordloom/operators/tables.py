@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.functions.text import ARROW, clean_blanks, compact, contains_any, count_hits, is_blank, quote, squeeze, strip
+from recordloom.functions.text import ARROW, clean_blanks, compact, contains_any, count_hits, is_blank, let, quote, squeeze, strip
 
 TABLE = ("doc_id", "page_no", "attempt", "table_no")
 PAGE = ("doc_id", "page_no")
@@ -243,7 +243,7 @@ def six_columns(rows: DataFrame, width: int = 6, scan_rows: int = 50, label_rows
     )
     per = stats.groupBy(*TABLE).agg(F.array_sort(F.collect_list(F.struct("col_no", "fill", "label"))).alias("cols"))
     cols = F.col("cols")
-    first, last = F.get(cols, 0)["col_no"], F.element_at(cols, -1)["col_no"]
+    first, last = F.get(cols, 0)["col_no"], F.try_element_at(cols, F.lit(-1))["col_no"]
     droppable = F.array_sort(
         F.transform(
             F.filter(cols, lambda x: (x["col_no"] != first) & (x["col_no"] != last)),
@@ -377,7 +377,7 @@ def merge_fragments(acc: Column, frag: Column) -> Column:
 
 def is_numeric_tail(text: Column) -> Column:
     """The last word is a cut-off number."""
-    last = F.replace(F.element_at(F.split(squeeze(text), " "), -1), F.lit(","), F.lit(""))
+    last = F.replace(F.try_element_at(F.split(squeeze(text), " "), F.lit(-1)), F.lit(","), F.lit(""))
     return F.coalesce(last.rlike(r"^(\d(\.\d{0,12})?|\.\d+)$"), F.lit(False))
 
 
@@ -393,11 +393,6 @@ _SLOT_HINTS = [[0, 1, 3, 4, 5], [1, 2, 3, 4], [1, 3, 4], [1, 2, 3, 4]]
 _SLOT_ORDER = {1: [2, 1, 0, 3], 2: [1, 3, 2, 0], 3: [1, 2, 3, 0], 4: [0, 1, 2, 3]}
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it in ``body``."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def _put(block: Column, s: Column, j: Column, text: Column) -> Column:
     return F.transform(block, lambda row, i: F.when(i == s, F.transform(row, lambda c, k: F.when(k == j, text).otherwise(c))).otherwise(row))
 
@@ -450,7 +445,7 @@ def fold_block(rows: Column, width: int = 6) -> Column:
                 .otherwise(_put(block, s, j, merge_fragments(F.get(F.get(block, s), j), frag)))
             )
 
-        return F.when(frag == "", block).otherwise(_let(_slot(block, j, frag), place))
+        return F.when(frag == "", block).otherwise(let(_slot(block, j, frag), place))
 
     def put_row(block: Column, row: Column) -> Column:
         return F.aggregate(F.sequence(F.lit(0), F.lit(width - 1)), block, lambda b, j: put_cell(b, row, j))
@@ -542,12 +537,12 @@ def join_broken_rows(rows: DataFrame) -> DataFrame:
     d = rows.withColumn("cells", clean_cells(F.col("cells"))).where(~row_is_blank(F.col("cells")))
     w = Window.partitionBy(*TABLE).orderBy("row_no")
     n = F.size("cells")
-    only_last = (n >= 2) & (filled(F.col("cells")) == 1) & (F.element_at("cells", -1) != "")
+    only_last = (n >= 2) & (filled(F.col("cells")) == 1) & (F.try_element_at("cells", F.lit(-1)) != "")
     first_row = F.row_number().over(w) == 1
     d = d.withColumn("_b", only_last & ~first_row).withColumn("_g", F.sum((~F.col("_b")).cast("int")).over(w))
     g = d.groupBy(*TABLE, "_g").agg(F.array_sort(F.collect_list(F.struct("row_no", "cells"))).alias("r"))
     head = F.get("r", F.lit(0))["cells"]
-    tails = F.transform(F.slice("r", F.lit(2), F.greatest(F.size("r") - 1, F.lit(0))), lambda x: F.element_at(x["cells"], -1))
+    tails = F.transform(F.slice("r", F.lit(2), F.greatest(F.size("r") - 1, F.lit(0))), lambda x: F.try_element_at(x["cells"], F.lit(-1)))
     last = F.array_max(F.filter(F.transform(head, lambda c, i: F.when(c != "", i)), lambda i: i.isNotNull()))
     text = F.aggregate(tails, F.get(head, last), lambda acc, t: smart_concat(acc, t))
     return g.select(
@@ -673,7 +668,7 @@ def three_row_records(rows: DataFrame, header_words: Sequence[str], scan: int =
     starts = F.aggregate(
         F.sequence(F.lit(0), F.size("r") - 1), F.array().cast("array<int>"),
         lambda acc, i: F.when(
-            F.get("r", i)["start"] & ((F.size(acc) == 0) | (F.element_at(acc, -1) + 3 <= i)), F.concat(acc, F.array(i))
+            F.get("r", i)["start"] & ((F.size(acc) == 0) | (F.try_element_at(acc, F.lit(-1)) + 3 <= i)), F.concat(acc, F.array(i))
         ).otherwise(acc),
     )
     g = g.select(*TABLE, "r", F.posexplode(starts).alias("rec", "i"))

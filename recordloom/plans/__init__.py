@@ -7,6 +7,7 @@ MODULES: tuple[str, ...] = (
     "q_fields",
     "q_tables",
     "q_sections",
+    "q_lookups",
 )
 
 
