@@ -8,6 +8,8 @@ MODULES: tuple[str, ...] = (
     "q_tables",
     "q_sections",
     "q_lookups",
+    "q_dedup",
+    "q_merge",
 )
 
 

@@ -170,7 +170,7 @@ def token_conserve(spark, sf):
     d = feeds.career_records(spark, sf).select("rec_idx", tokens(F.expr(_HEAD)).alias("t"))
     d = d.select("rec_idx", "t", G.split_head(F.col("t"), WORDS).alias("s"))
     n = F.size("t")
-    once = F.when((n >= 2) & (F.element_at("t", -1) == F.get("t", n - 2)), head_tokens(F.col("t"), n - 1)).otherwise(F.col("t"))
+    once = F.when((n >= 2) & (F.try_element_at("t", F.lit(-1)) == F.get("t", n - 2)), head_tokens(F.col("t"), n - 1)).otherwise(F.col("t"))
     head = join_tokens(once)
     return d.select("rec_idx", head.alias("head"), "s.issuer", (F.trim(F.concat_ws(" ", "s.issuer", "s.work_type")) == head).alias("conserved"))
 
