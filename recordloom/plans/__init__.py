@@ -10,6 +10,9 @@ MODULES: tuple[str, ...] = (
     "q_lookups",
     "q_dedup",
     "q_merge",
+    "q_records",
+    "q_layout",
+    "q_io",
 )
 
 

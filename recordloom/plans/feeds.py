@@ -387,9 +387,20 @@ def _duck_career_records() -> str:
     return f"select {cols} from (select *, {_DUCK['series'](_DUCK['priority'])} as k from orders) s"
 
 
+def _duck_spine() -> str:
+    """The rendered fields of every record, for expectations about the page texts."""
+    r = _Render(_DUCK)
+    return (
+        f"select o_custkey as doc_id, o_orderkey as page_no, k, {r.h} as h, o_orderpriority as note, o_orderstatus as status, {r.bare_name} as name, {r.job} as job, {r.duty} as duty, "
+        f"{r.start_iso} as start_iso, {r.end_iso} as end_iso, cast({r.recog} as string) as recog, cast({r.part} as string) as part, {r.overview} as overview, {r.work_type} as wt, {r.specialty} as sp, {r.n} as n "
+        f"from (select *, {_DUCK['series'](_DUCK['priority'])} as k from orders) s"
+    )
+
+
 DUCK_FEEDS: dict[str, tuple[str, tuple[str, ...]]] = {
     "career_pages": (_duck_career_pages(), ()),
     "careers": (_duck_career_records(), ()),
+    "spine": (_duck_spine(), ()),
     "trows": (_table_rows_sql(_DUCK), ()),
     "front": (_front_rows_sql(_DUCK), ()),
     "summary_pages": (f"select o_custkey as doc_id, o_orderkey as page_no, {_summary_text(_DUCK)} as text from orders", ()),
