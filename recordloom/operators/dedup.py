@@ -142,7 +142,8 @@ def normalize_award_text(c: Column) -> Column:
         out = F.lit(None).cast("string")
         for k in reversed(AWARD_KINDS):
             out = F.when(F.instr(t, k) > 1, F.trim(F.substr(t, F.instr(t, k)))).otherwise(out)
-        t2 = F.coalesce(out, t)
+        # A text that already starts with a kind keeps its first block.
+        t2 = F.when(award_kind_position(t) == 1, t).otherwise(F.coalesce(out, t))
         return F.trim(F.regexp_replace(t2, r"(?:^|\s)벌점\s*[*＊・]?\s*해당없음\s*[*＊・]?(?=\s|$)", " "))
 
     def cut_tail(t: Column) -> Column:
