@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions.grammar import norm_work_type
-from recordloom.functions.text import head_tokens, join_tokens, tail_tokens, tokens
+from recordloom.functions.text import head_tokens, join_tokens, let, tail_tokens, tokens
 
 
 def work_type_phrases(df: DataFrame, column: str, catalog: DataFrame, out: str = "is_work_type") -> DataFrame:
@@ -37,9 +37,12 @@ def work_type_phrases(df: DataFrame, column: str, catalog: DataFrame, out: str =
 
 def longest_suffix(df: DataFrame, column: str, catalog: DataFrame, max_tokens: int = 4) -> DataFrame:
     """Add ``suffix_size`` and ``suffix``: the longest tail of 1..``max_tokens`` tokens found in ``catalog(norm)``."""
-    texts = df.select(F.col(column).alias("_x")).distinct().withColumn("_t", tokens(F.col("_x"))).where(F.size("_t") > 0)
-    probes = texts.select("_x", "_t", F.explode(F.sequence(F.lit(1), F.least(F.size("_t"), F.lit(max_tokens)))).alias("k"))
-    probes = probes.select("_x", "k", join_tokens(tail_tokens(F.col("_t"), F.col("k"))).alias("suffix"))
+    texts = df.select(F.col(column).alias("_x")).distinct()
+    # One generator makes all suffixes, so the token array is built once per text.
+    tails = let(tokens(F.col("_x")), lambda t: F.transform(
+        F.sequence(F.lit(1), F.least(F.greatest(F.size(t), F.lit(1)), F.lit(max_tokens))),
+        lambda k: F.struct(k.alias("k"), join_tokens(tail_tokens(t, k)).alias("suffix"))))
+    probes = texts.select("_x", F.explode(tails).alias("p")).select("_x", "p.*").where("suffix <> ''")
     hit = probes.withColumn("norm", norm_work_type(F.col("suffix"))).join(catalog.select("norm").distinct(), "norm", "left_semi")
     best = hit.groupBy("_x").agg(F.max(F.struct(F.col("k").alias("suffix_size"), "suffix")).alias("b")).select("_x", "b.*")
     return df.join(best, df[column].eqNullSafe(best["_x"]), "left").drop("_x").select(

@@ -508,3 +508,95 @@ def chain_workplaces(df: DataFrame, keys: Sequence[str] = ("doc_id",), order: st
     hit = F.coalesce(hit, F.lit(False))
     return d.withColumn("_p", F.when(hit, F.col("current")).otherwise(F.col("previous"))).withColumn("_c", F.when(hit, F.col("_np")).otherwise(F.col("current"))).select(
         *[F.col("_p").alias(c) if c == "previous" else F.col("_c").alias(c) if c == "current" else F.col(c) for c in df.columns])
+
+
+GRADES = ["특급", "고급", "중급", "초급"]
+
+
+def grade_blocks(text: Column, jobs: Sequence[str], specialties: Sequence[str]) -> Column:
+    """Job and specialty grades of the design and CM blocks and the quality grade.
+
+    In each block the longest catalog name directly followed by a grade wins; names
+    match with or without their blanks.
+    """
+    from recordloom.operators.sections import text_between
+
+    s = squeeze(F.replace(F.coalesce(text, F.lit("")), F.lit("ㆍ"), F.lit("·")))
+
+    def graded(names: Sequence[str]):
+        pairs = [(n, g) for n in sorted(dict.fromkeys(names), key=len, reverse=True) for g in GRADES]
+        lit = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(g).alias("grade"), F.lit("".join(n.split()) + g).alias("key")) for n, g in pairs])
+        return lambda block: let(compact(block), lambda b: F.get(F.filter(lit, lambda x: F.contains(b, x["key"])), F.lit(0)))
+
+    job, spec = graded(jobs), graded(specialties)
+    design = text_between(s, ["설계·시공", "설계시공"], ["건설사업관리", "품질관리", "국가기술자격"])
+    cm = text_between(s, ["건설사업관리"], ["품질관리", "국가기술자격"])
+    quality = text_between(s, ["품질관리"], ["국가기술자격"])
+    q = F.lit("")
+    for g in reversed(GRADES):
+        q = F.when(F.contains(quality, F.lit(g)), g).otherwise(q)
+
+    def part(x: Column, name: str) -> list[Column]:
+        return [F.coalesce(x["name"], F.lit("")).alias(name), F.coalesce(x["grade"], F.lit("")).alias(name + "_grade")]
+
+    def build(x: Column) -> Column:
+        return F.struct(*part(x["a"], "design_job"), *part(x["b"], "design_specialty"), *part(x["c"], "cm_job"), *part(x["d"], "cm_specialty"), q.alias("quality_grade"))
+
+    return let(F.struct(job(design).alias("a"), spec(design).alias("b"), job(cm).alias("c"), spec(cm).alias("d")), build)
+
+
+def workplace_cells(pairs: DataFrame, period: str = "left_text", company: str = "right_text") -> DataFrame:
+    """(start, end, previous, current) of period/company cell pairs; pairs without a range are dropped."""
+    pat = r"(\d{4}\.\d{2}(?:\.\d{2})?)\s*~\s*(\d{4}\.\d{2}(?:\.\d{2})?|근\s*무\s*중)"
+    s, e = F.regexp_extract(period, pat, 1), F.regexp_extract(period, pat, 2)
+    rest = [c for c in pairs.columns if c not in (period, company)]
+    d = pairs.where((s != "") & ~is_blank(F.col(company))).select(
+        *rest, date_to_iso(s, "unchecked").alias("start_date"),
+        F.when(compact(e) == ONGOING, ONGOING).otherwise(date_to_iso(e, "unchecked")).alias("end_date"), company_split(F.col(company)).alias("_c"))
+    return d.select(*rest, "start_date", "end_date", "_c.previous", "_c.current")
+
+
+def inline_workplaces(df: DataFrame, text: str, keys: Sequence[str], markers: Sequence[str] = tuple(CHANGE_MARKERS)) -> DataFrame:
+    """Ranges with a (주) company in running text; a marked successor right behind makes the first name the former one."""
+    firm = r"(?:[가-힣0-9]+\(주\)|\(주\)[가-힣0-9]+)"
+    mark = "(?:" + "|".join(quote(m) for m in markers) + ")"
+    pat = rf"(\d{{4}}\.\d{{2}}(?:\.\d{{2}})?)\s*~\s*(\d{{4}}\.\d{{2}}(?:\.\d{{2}})?|근\s*무\s*중)\s+({firm})(?:\s*(?:\d{{4}}\.\d{{2}}\.\d{{2}}\s+)?{mark}\s*[:：]\s*({firm}))?"
+    s = squeeze(F.col(text))
+    part = lambda i: F.regexp_extract_all(s, F.lit(pat), F.lit(i))
+    d = df.select(*keys, F.posexplode(F.arrays_zip(part(1).alias("s"), part(2).alias("e"), part(3).alias("a"), part(4).alias("b"))).alias("seq", "x"))
+    now = F.coalesce("x.b", F.lit(""))
+    return d.select(*keys, "seq", date_to_iso(F.col("x.s"), "workplace").alias("start_date"),
+                    F.when(compact(F.col("x.e")) == ONGOING, ONGOING).otherwise(date_to_iso(F.col("x.e"), "workplace")).alias("end_date"),
+                    F.when(now != "", F.col("x.a")).otherwise("").alias("previous"), F.when(now != "", now).otherwise(F.col("x.a")).alias("current"))
+
+
+def award_lines(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Award rows of a text section: islands at date lines that are no ranges, split at the earliest award kind."""
+    from recordloom.operators.dedup import award_kind_position, normalize_award_text
+
+    line = F.col("line")
+    start = line.rlike(r"^\d{4}\.\d{2}\.\d{2}") & ~F.contains(line, F.lit("~"))
+    d = line_islands(lines, start, keys)
+    body = F.trim(F.substr("text", F.lit(11)))
+    pos = award_kind_position(body)
+    return d.select(*keys, "island", date_to_iso(F.substring("text", 1, 10), "passthrough").alias("award_date"),
+                    F.when(pos > 1, F.trim(F.substr(body, F.lit(1), F.greatest(pos - 1, F.lit(0))))).when(pos == 1, "").otherwise(body).alias("institution"),
+                    F.when(pos > 0, normalize_award_text(F.substr(body, F.greatest(pos, F.lit(1))))).otherwise("").alias("kind"))
+
+
+def award_line_count(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Dated award lines of a section; 1 where there is none but the section says 해당없음."""
+    line = F.col("line")
+    dated = line.rlike(r"^\d{4}\.\d{2}\.\d{2}") & ~F.contains(line, F.lit("~"))
+    g = lines.groupBy(*keys).agg(F.count_if(dated).alias("d"), F.count_if(F.contains(compact(line), F.lit("해당없음"))).alias("x"))
+    return g.select(*keys, F.when(F.col("d") > 0, F.col("d")).when(F.col("x") > 0, 1).otherwise(0).cast("bigint").alias("n"))
+
+
+def sanitize_institution(inst: Column, kind: Column) -> Column:
+    """Blank an institution cell that only holds a fragment of an award kind."""
+    from recordloom.operators.dedup import award_kind_position
+
+    s = F.trim(F.replace(F.coalesce(inst, F.lit("")), F.lit("\n"), F.lit(" ")))
+    leads = award_kind_position(F.trim(F.coalesce(kind, F.lit("")))) == 1
+    junk = s.isin("표창", "훈장", "포장", "감사", "상장", "장려", "포상", "유공", "관리청 표창", "관 감사", "경기도유공", "새서", "시", "청", "관", "사", "벽")
+    return F.when(junk | (leads & ((F.length(s) <= 2) | (F.contains(s, F.lit("/")) & (F.length(s) <= 12)))), "").otherwise(s)

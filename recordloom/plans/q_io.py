@@ -83,3 +83,12 @@ def region_catalog(spark, sf):
     """Province, province with district, district."""
     d = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return CT.region_prefixes(d.select(F.col("r_name").alias("province"), F.col("n_name").alias("district")))
+
+
+@query("work_type_catalog", "select distinct unnest([p_brand, p_type, p_name]) as name, replace(name, ' ', '') as norm from part")
+def work_type_catalog(spark, sf):
+    """Every level of category trees, here one JSON tree per part."""
+    p = table(spark, sf, "part")
+    tree = F.array(F.struct(F.col("p_brand").alias("mainCategory"), F.array(F.struct(
+        F.col("p_type").alias("subCategory"), F.array(F.struct(F.col("p_name").alias("detailCategory"))).alias("detailCategories"))).alias("subCategories")))
+    return CT.work_types(p.select(F.to_json(tree).alias("json")))

@@ -207,3 +207,55 @@ def prose_paragraphs(spark, sf):
     """Islands over whole prose texts: a line starting with a capital opens a paragraph."""
     lines = split_lines(feeds.text_docs(spark, sf)).select("doc_id", "line_no", "line")
     return R.line_islands(lines, F.col("line").rlike("^[A-ZÀ-Þ]"), ["doc_id"])
+
+
+@query("grade_blocks", duck("""select doc_id, '토목' as design_job, case when contains(c, '특급') then '특급' when contains(c, '고급') then '고급' else '초급' end as design_job_grade, '토질·지질' as design_specialty, '중급' as design_specialty_grade,
+ '' as cm_job, '' as cm_job_grade, '' as cm_specialty, '' as cm_specialty_grade, '' as quality_grade from (select doc_id, cells[1] as c from front where row_no = 3)""", "front"))
+def grade_blocks(spark, sf):
+    """Job and specialty with the grade behind them, per block."""
+    from recordloom.functions.grammar import SPECIALTIES_BY_JOB
+
+    specs = [x for xs in SPECIALTIES_BY_JOB.values() for x in xs]
+    return _front_text(spark, sf, 2, 4).select("doc_id", R.grade_blocks(F.col("text"), list(SPECIALTIES_BY_JOB), specs).alias("g")).select("doc_id", "g.*")
+
+
+@query("workplace_cells", duck("""select doc_id, 0 as pair_no, replace(left(p, 10), '.', '-') as start_date, replace(right(p, 10), '.', '-') as end_date, case when contains(c, '새건설') then maker else '' end as previous, case when contains(c, '새건설') then regexp_extract(c, '(새건설[0-9]+\(주\))$', 1) else maker end as current
+ from (select doc_id, cells[1] as p, cells[2] as c, regexp_extract(cells[2], '^(건설[0-9]+\(주\))', 1) as maker from front where row_no = 17)
+ union all select doc_id, 1, '2021-01-01', '근무중', '', cells[4] from front where row_no = 17 and cells[3] <> ''""", "front"))
+def workplace_cells(spark, sf):
+    """Two-column workplace tables to rows."""
+    d = T.paired_cells(feeds.front_rows(spark, sf), "근무기간", "상호", stop=["기술경력"]).select("doc_id", "pair_no", "left_text", "right_text")
+    return R.workplace_cells(d)
+
+
+@query("inline_workplaces", duck("""select doc_id, 0 as seq, replace(left(p, 10), '.', '-') as start_date, replace(right(p, 10), '.', '-') as end_date, case when m in (0, 1) then maker else '' end as previous, case when m in (0, 1) then '새' || regexp_extract(c, '새(건설[0-9]+\(주\))$', 1) else maker end as current
+ from (select doc_id, cells[1] as p, cells[2] as c, regexp_extract(cells[2], '^(건설[0-9]+\(주\))', 1) as maker, case when contains(cells[2], '現') then 0 when contains(cells[2], '흡수') then 1 else 2 end as m from front where row_no = 17)""", "front"))
+def inline_workplaces(spark, sf):
+    """Ranges with companies in running text."""
+    d = feeds.front_rows(spark, sf).where("row_no = 17").select("doc_id", F.concat_ws(" ", T.cell(F.col("cells"), 0), T.cell(F.col("cells"), 1)).alias("text"))
+    return R.inline_workplaces(d, "text", ["doc_id"])
+
+
+@query("award_lines", duck("""select doc_id, 1::bigint as island, replace(d, '.', '-') as award_date, '국토교통부' as institution, case when contains(i, '표창장') and not starts_with(k, '표창장[') then '표창장 ' || k else k end as kind from (select doc_id, cells[2] as d, cells[3] as i, cells[4] as k from front where row_no = 13)""", "front"))
+def award_lines(spark, sf):
+    """Award rows from text lines, torn over two lines."""
+    d = feeds.front_rows(spark, sf).where("row_no = 13").select("doc_id", F.posexplode(F.array(F.concat_ws(" ", T.cell(F.col("cells"), 1), T.cell(F.col("cells"), 2)), T.cell(F.col("cells"), 3))).alias("line_no", "line"))
+    return R.award_lines(d, ["doc_id"])
+
+
+@query("award_line_count", duck("select doc_id, cast(case when count(*) filter (d) > 0 then count(*) filter (d) when count(*) filter (contains(l, '해당없음')) > 0 then 1 else 0 end as bigint) as n from (select doc_id, l, regexp_matches(l, '^[0-9]{4}\\.[0-9]{2}\\.[0-9]{2}') and not contains(l, '~') as d from (select doc_id, array_to_string(list_filter(cells, lambda c: c <> ''), ' ') as l from front where row_no between 12 and 16)) group by 1", "front"))
+def award_line_count(spark, sf):
+    """R35."""
+    d = feeds.front_rows(spark, sf).where("row_no between 12 and 16").select("doc_id", T.joined(F.col("cells")).alias("line"))
+    return R.award_line_count(d, ["doc_id"])
+
+
+@query("award_institution_clean", """select c_custkey, case when c_nationkey % 4 = 0 or (c_nationkey % 4 = 1 and c_custkey % 2 = 0) then '' when c_nationkey % 4 = 1 then '도로' when c_nationkey % 4 = 2 then c_mktsegment else case when c_custkey % 2 = 0 then '' else '가/나 다' end end as institution from customer""")
+def award_institution_clean(spark, sf):
+    """C9."""
+    c = table(spark, sf, "customer")
+    odd = F.col("c_custkey") % 2 == 1
+    inst = F.expr("case c_nationkey % 4 when 0 then '표창' when 1 then '도로' when 2 then c_mktsegment else '가/나 다' end")
+    kind = F.when(odd, "공로").otherwise("표창장[제1호]")
+    kind = F.when(F.col("c_nationkey") % 4 == 2, "공로").otherwise(kind)
+    return c.select("c_custkey", R.sanitize_institution(inst, kind).alias("institution"))
