@@ -182,15 +182,19 @@ def attach_continuations(records: DataFrame, continuations: DataFrame, rec: str
     ], F.transform("_mine", lambda x: x["page_no"]).alias("cont_pages"))
 
 
-def compare_by_key(left: DataFrame, right: DataFrame, key: Sequence[str], fields: Sequence[str], order: str, scope: Sequence[str] = ("doc_id",)) -> DataFrame:
+def compare_by_key(left: DataFrame, right: DataFrame, key: Sequence[str], fields: Sequence[str], order: str, scope: Sequence[str] = ("doc_id",), chunks: Sequence[str] = ()) -> DataFrame:
     """Field differences of two result sets whose rows pair by key and ordinal; unpaired rows are reported once.
 
-    Rows are (scope, key, ord, status, field, left_value, right_value).  A key's
-    ordinal window is split by ``order`` chunks of the caller's key only when a key
-    repeats, which is rare inside one document.
+    Rows are (scope, key, ord, status, field, left_value, right_value).  The ordinal
+    is a running count; ``chunks`` (columns that do not decrease with ``order``)
+    split it for keys that repeat without bound.
     """
-    w = Window.partitionBy(*scope, *key).orderBy(order)
-    side = lambda d, p: d.select(*scope, *key, F.row_number().over(w).alias("ord"), F.lit(True).alias(f"_{p}"), *[F.col(f).alias(f"{p}_{f}") for f in fields])
+    count = [Running("ord", "sum", "_one")]
+
+    def side(d: DataFrame, p: str) -> DataFrame:
+        n = running(d.withColumn("_one", F.lit(1)), [*scope, *key], list(chunks), [order], count)
+        return n.select(*scope, *key, "ord", F.lit(True).alias(f"_{p}"), *[F.col(f).alias(f"{p}_{f}") for f in fields])
+
     j = side(left, "l").join(side(right, "r"), [*scope, *key, "ord"], "full")
     status = F.when(F.col("_r").isNull(), "only_left").when(F.col("_l").isNull(), "only_right").otherwise("both")
     diffs = F.filter(F.array(*[

@@ -120,8 +120,9 @@ def result_diff(spark, sf):
     """Two versions of the line items compared by key and ordinal."""
     li = feeds.table(spark, sf, "lineitem")
     key = F.struct("ord", "quantity", "flag")
-    a, b = (spark.sql(_LI.format(q=q, t="{t}", w=w), t=li).withColumn("_o", key) for q, w in ((_QL, "l_discount < 0.09"), (_QR, "l_tax < 0.07")))
-    return M.compare_by_key(a, b, ["line"], ["quantity", "flag"], "_o")
+    a, b = (spark.sql(_LI.format(q=q, t="{t}", w=w), t=li).withColumn("_o", key).withColumn("_chunk", F.floor(F.col("ord") / 4096)) for q, w in ((_QL, "l_discount < 0.09"), (_QR, "l_tax < 0.07")))
+    a, b = (d.withColumnRenamed("ord", "part") for d in (a, b))
+    return M.compare_by_key(a, b, ["line"], ["quantity", "flag"], "_o", chunks=["_chunk"])
 
 
 @query("diff_counts", duck("""select f as field, count(*) as rows_compared, count(*) filter (l <> r and replace(l, ' ', '') <> replace(r, ' ', '')) as real_diffs, count(*) filter (l <> r and replace(l, ' ', '') = replace(r, ' ', '')) as space_diffs from (
