@@ -219,8 +219,8 @@ def grade_blocks(spark, sf):
     return _front_text(spark, sf, 2, 4).select("doc_id", R.grade_blocks(F.col("text"), list(SPECIALTIES_BY_JOB), specs).alias("g")).select("doc_id", "g.*")
 
 
-@query("workplace_cells", duck("""select doc_id, 0 as pair_no, replace(left(p, 10), '.', '-') as start_date, replace(right(p, 10), '.', '-') as end_date, case when contains(c, '새건설') then maker else '' end as previous, case when contains(c, '새건설') then regexp_extract(c, '(새건설[0-9]+\(주\))$', 1) else maker end as current
- from (select doc_id, cells[1] as p, cells[2] as c, regexp_extract(cells[2], '^(건설[0-9]+\(주\))', 1) as maker from front where row_no = 17)
+@query("workplace_cells", duck("""select doc_id, 0 as pair_no, replace(left(p, 10), '.', '-') as start_date, replace(right(p, 10), '.', '-') as end_date, case when contains(c, '새건설') then maker else '' end as previous, case when contains(c, '새건설') then regexp_extract(c, '(새건설[0-9]+\\(주\\))$', 1) else maker end as current
+ from (select doc_id, cells[1] as p, cells[2] as c, regexp_extract(cells[2], '^(건설[0-9]+\\(주\\))', 1) as maker from front where row_no = 17)
  union all select doc_id, 1, '2021-01-01', '근무중', '', cells[4] from front where row_no = 17 and cells[3] <> ''""", "front"))
 def workplace_cells(spark, sf):
     """Two-column workplace tables to rows."""
@@ -228,8 +228,8 @@ def workplace_cells(spark, sf):
     return R.workplace_cells(d)
 
 
-@query("inline_workplaces", duck("""select doc_id, 0 as seq, replace(left(p, 10), '.', '-') as start_date, replace(right(p, 10), '.', '-') as end_date, case when m in (0, 1) then maker else '' end as previous, case when m in (0, 1) then '새' || regexp_extract(c, '새(건설[0-9]+\(주\))$', 1) else maker end as current
- from (select doc_id, cells[1] as p, cells[2] as c, regexp_extract(cells[2], '^(건설[0-9]+\(주\))', 1) as maker, case when contains(cells[2], '現') then 0 when contains(cells[2], '흡수') then 1 else 2 end as m from front where row_no = 17)""", "front"))
+@query("inline_workplaces", duck("""select doc_id, 0 as seq, replace(left(p, 10), '.', '-') as start_date, replace(right(p, 10), '.', '-') as end_date, case when m in (0, 1) then maker else '' end as previous, case when m in (0, 1) then '새' || regexp_extract(c, '새(건설[0-9]+\\(주\\))$', 1) else maker end as current
+ from (select doc_id, cells[1] as p, cells[2] as c, regexp_extract(cells[2], '^(건설[0-9]+\\(주\\))', 1) as maker, case when contains(cells[2], '現') then 0 when contains(cells[2], '흡수') then 1 else 2 end as m from front where row_no = 17)""", "front"))
 def inline_workplaces(spark, sf):
     """Ranges with companies in running text."""
     d = feeds.front_rows(spark, sf).where("row_no = 17").select("doc_id", F.concat_ws(" ", T.cell(F.col("cells"), 0), T.cell(F.col("cells"), 1)).alias("text"))
