@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,12 +16,21 @@ from pyspark.sql import functions as F
 _LOCAL_DIR: dict[str, str] = {}
 
 
+def reach(spark: SparkSession) -> None:
+    """Let Python workers that share this file system import the package, whatever folder the driver runs in."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with columns ``_c0, _c1, ...`` and the map from exact name to that name (the first of equal names).
 
     Extra columns whose names clash with a result's, or differ from a needed
     one only in case, can then do no harm.
     """
+    reach(df.sparkSession)
     names = [f"_c{i}" for i in range(len(df.columns))]
     where: dict[str, str] = {}
     for name, pos in zip(df.columns, names, strict=True):
@@ -111,7 +122,7 @@ def connected_components(edges: DataFrame, tag: str = "components", max_rounds:
         low = e.groupBy("a").agg(F.min("b").alias("m"))
         e = e.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         e = written(e.select("e.a", "e.b").where("a <> b").distinct(), tag)
-        now = tuple(e.agg(F.count("*"), F.sum((F.xxhash64("a", "b") % 1_000_000_007).cast("long"))).first())
+        now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == state:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(e.select(F.col("b"), F.col("b"))).distinct()
         state = now

@@ -92,3 +92,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordloom.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordloom.llm.gray_simhash import near_duplicates
+
+    r = near_duplicates(table(spark, sf_dir, "documents"))
+    return r.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
