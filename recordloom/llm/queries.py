@@ -100,3 +100,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     r = near_duplicates(table(spark, sf_dir, "documents"))
     return r.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordloom.llm.pack_hist import pack, token_pieces
+
+    p = token_pieces(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pack(p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))

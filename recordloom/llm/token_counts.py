@@ -8,19 +8,17 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import pieces_of, take
+from recordloom.llm.pretokens import SAFE, plain_pattern
 
 # Fixed value: the pre-token pattern of byte-level BPE with a leading blank.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Characters whose class is the same in every version of Unicode; other texts go to the library itself.
-_SAFE = re.compile("[\t\n\r -~¡-ɏ–-…€]*")
 _CUT = re.compile(r"(?<=[!-~]) (?=[!-~])")
-_PATTERN = regex.compile(PRE_TOKEN)
-CACHE_ENTRIES = 400_000
+_PATTERN = plain_pattern(PRE_TOKEN)
+CACHE_ENTRIES = 1_000_000
 FIT_ROWS, FIT_BYTES, FREQUENT = 2_000, 1 << 23, 1 << 15
 
 _WORKERS: dict[str, "Encoder"] = {}
@@ -62,7 +60,7 @@ class Encoder(dict):
         return len(parts) - 1, list(chain.from_iterable(map(_PATTERN.findall, parts)))
 
     def count(self, text: str, frequent: dict[str, int]) -> int:
-        if not _SAFE.fullmatch(text):
+        if not SAFE.fullmatch(text):
             return self.direct(text)
         n, pieces = self.pieces(text)
         first = list(map(frequent.get, pieces))
@@ -88,7 +86,7 @@ def frequent_lengths(docs: DataFrame, text: str, path: str) -> dict[str, int]:
             for raw in b.column(0).to_pylist() if left > 0 else ():
                 t = (raw or b"").decode("utf-8", "replace")
                 left -= len(raw or b"")
-                if _SAFE.fullmatch(t) and left > 0:
+                if SAFE.fullmatch(t) and left > 0:
                     seen.update(p for p in enc.pieces(t)[1] if len(p) <= 64)
         top = [p for p, _ in seen.most_common(FREQUENT)]
         yield pa.RecordBatch.from_arrays([pa.array(top, pa.string()), pa.array([enc[p] for p in top], pa.int32())], ["piece", "n"])
