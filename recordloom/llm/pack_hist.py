@@ -152,7 +152,7 @@ def pack(pieces: DataFrame, length: str = "length", size: int = SIZE, buckets: i
     p = written(pieces, "pieces")
     spark = p.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    columns = p.columns
+    columns, schema = p.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in p.schema)
     p = p.withColumn("_h", F.xxhash64(*columns)).withColumn("_b", F.pmod("_h", F.lit(buckets)))
     histogram = {r[0]: r[1] for r in p.groupBy(length).count().collect()}
     slots = spark.sparkContext.broadcast(_slots(packing_patterns(histogram, size)))
@@ -172,5 +172,4 @@ def pack(pieces: DataFrame, length: str = "length", size: int = SIZE, buckets: i
             sequence = table[i, 2] + rank - table[i, 1]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sequence), pa.array(table[i, 3])], [*columns, "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in p.schema)
     return ranked.mapInArrow(run, f"{schema}, sequence_id bigint, offset bigint")

@@ -108,3 +108,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     p = token_pieces(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
     return pack(p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
+
+
+@query("op2_run_index")
+def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordloom.llm.run_index import remove_repeats
+
+    r = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return r.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
