@@ -116,3 +116,10 @@ def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     r = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return r.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_decontaminate")
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordloom.llm.template_decon import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k1", "k2")
