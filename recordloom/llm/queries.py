@@ -123,3 +123,17 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordloom.llm.template_decon import contaminated
 
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k1", "k2")
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordloom.llm.crf_langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op3_site_quality")
+def op3_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordloom.llm.site_quality import site_quality
+
+    return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "source", ["lang"])
