@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordloom.llm.common import take
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -58,7 +60,7 @@ def _escaped(c: str) -> str:
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordloom.llm.line_rules import line_rules
 
-    r = line_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
+    r = line_rules(take(table(spark, sf_dir, "documents"), "doc_id", "text"), with_text=False)
     return r.select("doc_id", *[F.col("rules").getField(c).alias(c) for c in
                                 ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_kept_words")])
 
@@ -78,7 +80,7 @@ from s group by conv_id""")
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordloom.llm.chat_prefix import prefix_examples, read_back
 
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = take(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     both = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                  F.lit("<|im_end|><|im_start|>assistant ok").alias("text"))
     r = read_back(prefix_examples(turns.unionAll(both)))
@@ -114,7 +116,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordloom.llm.run_index import remove_repeats
 
-    r = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    r = remove_repeats(take(table(spark, sf_dir, "documents"), "doc_id", "text"))
     return r.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
