@@ -99,20 +99,16 @@ def is_work_type(c: Column, names: Sequence[str]) -> Column:
     return let(F.trim(F.coalesce(c, F.lit(""))), test)
 
 
-def work_type_suffix_size(toks: Column, names: Sequence[str], max_tokens: int = 4) -> Column:
+def work_type_suffix_size(toks: Column, names: Sequence[str]) -> Column:
     """Tokens in the longest work-type suffix, 0 if there is none."""
-    n = F.size(toks)
-    out = None
-    for k in range(max_tokens, 0, -1):
-        hit = (n >= k) & is_work_type(join_tokens(tail_tokens(toks, k)), names)
-        out = F.when(hit, k) if out is None else out.when(hit, k)
-    return out.otherwise(0)
+    sizes = F.filter(F.sequence(F.lit(1), F.greatest(F.size(toks), F.lit(1))), lambda k: is_work_type(join_tokens(tail_tokens(toks, k)), names))
+    return F.coalesce(F.array_max(sizes), F.lit(0))
 
 
-def split_issuer_work_type(issuer: Column, names: Sequence[str], max_tokens: int = 4) -> Column:
+def split_issuer_work_type(issuer: Column, names: Sequence[str]) -> Column:
     """struct(issuer, work_type): a work-type suffix of the issuer text cut off."""
     def cut(t: Column) -> Column:
-        return let(work_type_suffix_size(t, names, max_tokens), lambda k: F.struct(
+        return let(work_type_suffix_size(t, names), lambda k: F.struct(
             join_tokens(head_tokens(t, F.size(t) - k)).alias("issuer"), join_tokens(tail_tokens(t, k)).alias("work_type")))
 
     return let(tokens(issuer), cut)

@@ -35,12 +35,12 @@ def work_type_phrases(df: DataFrame, column: str, catalog: DataFrame, out: str =
     return df.join(found, df[column].eqNullSafe(found["_x"]), "left").drop("_x").withColumn(out, F.coalesce(out, F.lit(False)))
 
 
-def longest_suffix(df: DataFrame, column: str, catalog: DataFrame, max_tokens: int = 4) -> DataFrame:
-    """Add ``suffix_size`` and ``suffix``: the longest tail of 1..``max_tokens`` tokens found in ``catalog(norm)``."""
+def longest_suffix(df: DataFrame, column: str, catalog: DataFrame) -> DataFrame:
+    """Add ``suffix_size`` and ``suffix``: the longest tail of tokens found in ``catalog(norm)``."""
     texts = df.select(F.col(column).alias("_x")).distinct()
     # One generator makes all suffixes, so the token array is built once per text.
     tails = let(tokens(F.col("_x")), lambda t: F.transform(
-        F.sequence(F.lit(1), F.least(F.greatest(F.size(t), F.lit(1)), F.lit(max_tokens))),
+        F.sequence(F.lit(1), F.greatest(F.size(t), F.lit(1))),
         lambda k: F.struct(k.alias("k"), join_tokens(tail_tokens(t, k)).alias("suffix"))))
     probes = texts.select("_x", F.explode(tails).alias("p")).select("_x", "p.*").where("suffix <> ''")
     hit = probes.withColumn("norm", norm_work_type(F.col("suffix"))).join(catalog.select("norm").distinct(), "norm", "left_semi")

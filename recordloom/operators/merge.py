@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.functions.text import compact, fill_empty, is_blank, squeeze
-from recordloom.session import cut_lineage
+from recordloom.functions.text import compact, fill_empty, is_blank, let, squeeze
 from recordloom.operators.scan import Running, neighbour, running, with_page_chunks
 
 PAGE = ("doc_id", "page_no")
@@ -46,58 +45,65 @@ def positional_join(left: DataFrame, right: DataFrame, right_fields: Sequence[st
     return joined.select(*keys, F.col("_rn").cast("bigint").alias("pos"), *right_fields, *[F.col(f"_l_{c}").alias(c) for c in fields])
 
 
-def pair_by_key(records: DataFrame, tables: DataFrame, key: Column | str, table_key: Column | str, keys: Sequence[str], rec: str, row: str) -> DataFrame:
-    """One-to-one pairs of equal keys, in order: the n-th record of a key takes the n-th table row of it."""
-    k = lambda d, c, o: d.select(*keys, o, c.alias("_key")).where("_key <> ''").withColumn(
-        "_i", F.row_number().over(Window.partitionBy(*keys, "_key").orderBy(o)))
-    a, b = k(records, key, rec), k(tables, table_key, row)
-    return a.join(b, [*keys, "_key", "_i"]).select(*keys, rec, row)
+def _page_sides(records: DataFrame, tables: DataFrame, keys: Sequence[str], rec: str, row: str, left: dict[str, Column], right: dict[str, Column], fields: Sequence[str]) -> DataFrame:
+    """Records and table rows of a key side by side, as arrays ``_a`` and ``_b`` in order: what is compared, and the row itself as ``r``.
+
+    Both sides hold the rows of one key, so ``keys`` must name something small, such as a page.
+    """
+    pack = lambda order, cols, whole: F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), *[c.alias(n) for n, c in cols.items()], F.struct(*whole).alias("r"))))
+    a = records.groupBy(*keys).agg(pack(rec, left, records.columns).alias("_a"))
+    b = tables.groupBy(*keys).agg(pack(row, right, fields).alias("_b"))
+    kind = b.schema["_b"].dataType.simpleString()
+    return a.join(b, list(keys), "left").withColumn("_b", F.coalesce("_b", F.array().cast(kind)))
+
+
+_PAIRS = "array<struct<i:int,j:int,tier:int>>"
+
+
+def _match_in_order(pairs: Column, tier: int, score, wanted=None) -> Column:
+    """Pairs with one more tier: each free record in order takes the free table row of the best score (null: no match), the first of equals."""
+    a, b = F.col("_a"), F.col("_b")
+
+    def step(w: Column, i: Column) -> Column:
+        x = F.get(a, i)
+        free = F.filter(F.transform(b, lambda y, j: F.struct((-score(x, y)).alias("s"), j.alias("j"))), lambda c: c["s"].isNotNull() & ~F.exists(w, lambda p: p["j"] == c["j"]))
+        open_ = ~F.exists(w, lambda p: p["i"] == i) & (wanted(x) if wanted is not None else F.lit(True))
+        won = lambda c: F.when(c.isNotNull(), F.concat(w, F.array(F.struct(i.alias("i"), c["j"].alias("j"), F.lit(tier).alias("tier"))))).otherwise(w)
+        return F.when(open_, let(F.array_min(free), won)).otherwise(w)
+
+    return F.aggregate(F.transform(a, lambda x, i: i), pairs, step)
+
+
+def _paired_rows(d: DataFrame) -> DataFrame:
+    """One row per record: ``r``, the table row ``t`` it took and ``tier``, both null without one."""
+    d = d.select("_b", "_w", F.posexplode("_a").alias("_i", "_x"))
+    hit = F.get(F.filter("_w", lambda p: p["i"] == F.col("_i")), F.lit(0))
+    return d.select(F.col("_x.r").alias("r"), F.get("_b", hit["j"])["r"].alias("t"), hit["tier"].alias("tier"))
 
 
 def enrich_one_to_one(
-    records: DataFrame, tables: DataFrame, fields: Sequence[str], keys: Sequence[str] = PAGE, rec: str = "rec_idx", row: str = "row_idx", rounds: int = 3,
+    records: DataFrame, tables: DataFrame, fields: Sequence[str], keys: Sequence[str] = PAGE, rec: str = "rec_idx", row: str = "row_idx",
 ) -> DataFrame:
     """Match records to table rows on a page, each row used once, and fill blank fields.
 
     Tiers: equal name; equal (issuer, specialty, position, work type); equal issuer
-    with one name inside the other.  The first two pair equal keys in order.  The
-    third takes mutual first choices, repeated ``rounds`` times; where two records
-    want one row the earlier record gets it.  Tiers are matched page-wide one after
-    the other, so a record whose only partner is claimed by a better tier of a later
-    record stays as it is.  Adds ``tier`` (null when unmatched).
+    with one name inside the other.  In each tier the records go in order and take
+    the first free row that fits.  Tiers are matched page-wide one after the other,
+    so a record whose only partner is claimed by a better tier of a later record
+    stays as it is.  Adds ``tier`` (null when unmatched).
     """
     ctx = F.concat_ws("|", *[compact(F.col(c)) for c in ("issuer", "specialty", "position", "work_type")])
-    ctx = F.when(compact(F.col("issuer")) != "", ctx).otherwise("")
-    name = compact(F.col("project_name"))
-    pairs = pair_by_key(records, tables, name, name, keys, rec, row).withColumn("tier", F.lit(1))
-
-    def left_over(p: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return records.join(p, [*keys, rec], "left_anti"), tables.join(p, [*keys, row], "left_anti")
-
-    r, t = left_over(pairs)
-    pairs = pairs.unionByName(pair_by_key(r, t, ctx, ctx, keys, rec, row).withColumn("tier", F.lit(2)))
-    pairs = cut_lineage(pairs)
-    r, t = left_over(pairs)
-    issuer = compact(F.col("issuer"))
-    a = r.select(*keys, rec, issuer.alias("_iss"), name.alias("_a")).where("_iss <> '' and length(_a) >= 3")
-    b = t.select(*keys, row, issuer.alias("_iss"), name.alias("_b")).where("_iss <> '' and _b <> ''")
-    cand = a.join(b, [*keys, "_iss"]).where(
-        F.endswith(F.col("_b"), F.col("_a")) | ((F.length("_a") >= 4) & F.contains(F.col("_b"), F.col("_a")))
-        | ((F.length("_b") >= 4) & F.contains(F.col("_a"), F.col("_b")))
-    ).select(*keys, rec, row)
-    # Every round reads the candidates several times; without the cut the plan would grow with each round.
-    cand = cut_lineage(cand)
-    taken = None
-    for _ in range(rounds):
-        free = cand if taken is None else cand.join(taken, [*keys, rec], "left_anti").join(taken, [*keys, row], "left_anti")
-        first_row = free.groupBy(*keys, rec).agg(F.min(row).alias(row))
-        first_rec = free.groupBy(*keys, row).agg(F.min(rec).alias(rec))
-        won = first_row.join(first_rec, [*keys, rec, row])
-        taken = won if taken is None else taken.unionByName(won)
-    pairs = pairs.unionByName(taken.withColumn("tier", F.lit(3)))
-    src = tables.select(*keys, row, *[F.col(f).alias(f"_t_{f}") for f in fields])
-    d = records.join(pairs, [*keys, rec], "left").join(src, [*keys, row], "left")
-    return d.select(*[fill_empty(F.col(c), F.col(f"_t_{c}")).alias(c) if c in fields else F.col(c) for c in records.columns], "tier")
+    cols = {"n": compact(F.col("project_name")), "c": F.when(compact(F.col("issuer")) != "", ctx).otherwise(""), "s": compact(F.col("issuer"))}
+    d = _page_sides(records, tables, keys, rec, row, cols, cols, fields)
+    same = lambda f: lambda x, y: F.when((x[f] != "") & (x[f] == y[f]), 1)
+    inside = lambda x, y: F.when(
+        (x["s"] != "") & (x["s"] == y["s"]) & (F.length(x["n"]) >= 3) & (y["n"] != "")
+        & (F.endswith(y["n"], x["n"]) | ((F.length(x["n"]) >= 4) & F.contains(y["n"], x["n"])) | ((F.length(y["n"]) >= 4) & F.contains(x["n"], y["n"]))), 1)
+    pairs = F.array().cast(_PAIRS)
+    for tier, score in enumerate((same("n"), same("c"), inside), 1):
+        pairs = _match_in_order(pairs, tier, score)
+    d = _paired_rows(d.withColumn("_w", pairs))
+    return d.select(*[fill_empty(F.col(f"r.{c}"), F.col(f"t.{c}")).alias(c) if c in fields else F.col(f"r.{c}") for c in records.columns], "tier")
 
 
 def fill_by_tiers(records: DataFrame, tables: DataFrame, tiers: Sequence[Sequence[str]], fields: Sequence[str], keys: Sequence[str], rec: str, longest: str = "overview") -> DataFrame:
@@ -137,22 +143,28 @@ def template_fill(rows: DataFrame, tables: DataFrame, fields: Sequence[str], key
     return d.select(*[fill_empty(F.col(c), F.col("_c")[c]).alias(c) if c in fields else F.col(c) for c in rows.columns])
 
 
-def last_resort_names(records: DataFrame, tables: DataFrame, keys: Sequence[str] = PAGE, rec: str = "rec_idx", row: str = "row_idx", placeholder: str = "(사업명 미상)") -> DataFrame:
-    """Names for nameless records: same issuer, +2 per equal specialty and position, a conflict disqualifies; else a placeholder.
+def last_resort_names(
+    records: DataFrame, tables: DataFrame, keys: Sequence[str] = PAGE, rec: str = "rec_idx", row: str = "row_idx", placeholder: str = "(사업명 미상)", fields: Sequence[str] = (),
+) -> DataFrame:
+    """Names for nameless records from named table rows, each used once.
 
-    A record takes its best row and a row its best record; each row is used once.
+    In order, a record with an issuer takes the free row of that issuer with most
+    equal specialty and position (2 each; a conflict counts least), and blank
+    ``fields`` are filled from it.  Then the records still nameless take the free
+    rows in order, whatever their issuer, for the name alone; what is left gets the placeholder.
     """
-    need = records.where(is_blank(F.col("project_name")) & ~is_blank(F.col("issuer")))
     n = lambda c: compact(F.col(c))
-    a = need.select(*keys, rec, n("issuer").alias("_i"), n("specialty").alias("_s"), n("position").alias("_p"))
-    b = tables.where(~is_blank(F.col("project_name"))).select(*keys, row, n("issuer").alias("_i"), n("specialty").alias("_s2"), n("position").alias("_p2"), F.col("project_name").alias("_name"))
-    part = lambda x, y: F.when((F.col(x) == "") | (F.col(y) == ""), 0).when(F.col(x) == F.col(y), 2).otherwise(None)
-    c = a.join(b, [*keys, "_i"]).withColumn("_score", part("_s", "_s2") + part("_p", "_p2")).where("_score is not null")
-    mine = c.groupBy(*keys, rec).agg(F.max_by(F.struct(row, "_name"), F.struct("_score", -F.col(row))).alias("b")).select(*keys, rec, "b.*")
-    theirs = c.groupBy(*keys, row).agg(F.max_by(rec, F.struct("_score", -F.col(rec))).alias(rec))
-    won = mine.join(theirs, [*keys, rec, row]).select(*keys, rec, "_name")
-    d = records.join(won, [*keys, rec], "left")
-    return d.withColumn("project_name", F.when(is_blank(F.col("project_name")), F.coalesce("_name", F.lit(placeholder))).otherwise(F.col("project_name"))).select(*records.columns)
+    cols = {"s": n("issuer"), "p": n("specialty"), "q": n("position")}
+    named = tables.where(~is_blank(F.col("project_name")))
+    d = _page_sides(records, named, keys, rec, row, {"u": is_blank(F.col("project_name")), **cols}, cols, list(dict.fromkeys(["project_name", *fields])))
+    part = lambda x, y, f: F.when((x[f] == "") | (y[f] == ""), 0).when(x[f] == y[f], 2).otherwise(None)
+    score = lambda x, y: F.when((x["s"] != "") & (x["s"] == y["s"]), F.coalesce(1 + part(x, y, "p") + part(x, y, "q"), F.lit(0)))
+    pairs = _match_in_order(F.array().cast(_PAIRS), 1, score, lambda x: x["u"])
+    pairs = _match_in_order(pairs, 2, lambda x, y: F.lit(1), lambda x: x["u"])
+    d = _paired_rows(d.withColumn("_w", pairs))
+    name = F.when(is_blank(F.col("r.project_name")), F.coalesce("t.project_name", F.lit(placeholder))).otherwise(F.col("r.project_name"))
+    fill = lambda c: F.when(F.col("tier") == 1, fill_empty(F.col(f"r.{c}"), F.col(f"t.{c}"))).otherwise(F.col(f"r.{c}"))
+    return d.select(*[name.alias(c) if c == "project_name" else fill(c).alias(c) if c in fields else F.col(f"r.{c}") for c in records.columns])
 
 
 def attach_continuations(records: DataFrame, continuations: DataFrame, rec: str = "rec_idx", overview: str = "overview", name: str = "project_name", min_len: int = 8) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions.dates import MASKED_ISO, ONGOING
 from recordloom.functions.text import compact, contains_any, count_char, is_blank, squeeze
-from recordloom.operators.scan import neighbour
+from recordloom.operators.scan import Running, neighbour, running, with_page_chunks
 
 # Fields that must not be empty, per section.
 REQUIRED_FIELDS = {
@@ -158,16 +158,14 @@ def page_list(c: Column) -> Column:
 
 
 def expected_counts(lines: DataFrame) -> DataFrame:
-    """Licence rows counted in the text between their header and the next section, per document and page.
+    """Licence rows of a document, counted in the text between their header and the next section.
 
-    The block flag runs inside one page.
+    A block may go on over page borders, so its flag is carried from page to page.
     """
-    from pyspark.sql import Window
-
     line = F.col("line")
     on = F.contains(line, F.lit("종목")) & F.contains(line, F.lit("합격일"))
     off = contains_any(line, ["학력", "졸업일", "교육기간", "교육훈련"])
-    w = Window.partitionBy("doc_id", "page_no").orderBy("line_no")
-    d = lines.withColumn("_f", F.when(on, F.lit(True)).when(off, F.lit(False))).withColumn("_in", F.last("_f", ignorenulls=True).over(w))
+    d = with_page_chunks(lines.withColumn("_f", F.when(on, F.lit(True)).when(off, F.lit(False))))
+    d = running(d, ["doc_id"], ["page_chunk", "page_no"], ["line_no"], [Running("_in", "last", "_f")])
     hits = F.regexp_count(line, F.lit(r"(기사|기술사|산업기사|기능사|기능장).*?\d{4}\.\d{2}\.\d{2}"))
     return d.groupBy("doc_id").agg(F.sum(F.when(F.col("_in") & F.col("_f").isNull(), hits).otherwise(0)).cast("bigint").alias("n"))

@@ -194,13 +194,15 @@ def page_continuations(lines: DataFrame, keys: Sequence[str] = PAGE) -> DataFram
 
 # ------------------------------------------------------------------ summary pages
 _ITEM = r"(.+?)\s+([\d,]+)\s*일"
+# Fixed value: the heading that ends the summary.
+_SUMMARY_END = r"^\s*2\.\s*건설기술진흥법령\s*외"
 
 
 def _summary_kind(line: Column) -> Column:
     left, right = line.rlike(r"공사종류별\s*인정일수\s*현황"), line.rlike(r"직무\s*/\s*전문분야별\s*인정일수\s*현황")
     return (
         F.when(left & right, "both").when(left, "left").when(right, "right")
-        .when(line.startswith("2."), "end").when(line.startswith("※") | contains_any(line, ["문서하단", "바코드", "위·변조", "확인번호"]) | (F.contains(line, F.lit("자격")) & F.contains(line, F.lit("학력"))), "foot")
+        .when(line.startswith("2.") | line.rlike(_SUMMARY_END), "end").when(line.startswith("※") | contains_any(line, ["문서하단", "바코드", "위·변조", "확인번호"]) | (F.contains(line, F.lit("자격")) & F.contains(line, F.lit("학력"))), "foot")
         .when(line.rlike(r"^[\d,]+$"), "num").when(line.rlike(r"^[\d,]+\s*일$"), "numday").when(line == "일", "day").when(line.rlike(_ITEM), "item").otherwise("label")
     )
 
@@ -256,7 +258,9 @@ def stitch_summary_lines(lines: DataFrame, keys: Sequence[str] = PAGE) -> DataFr
 
 
 def summary_items(lines: DataFrame) -> DataFrame:
-    """Recognised days per work type ('left') and per job/specialty ('right') of a document; the first label wins.
+    """Recognised days per work type ('left') and per job field and specialty ('right') of a document; the first of equal keys wins.
+
+    All items of a line count; in a line of several the first is left, the others right.
 
     The header mode runs over the pages of a document, carried page by page; an
     end line after the first header closes the section.  Totals are skipped.
@@ -270,19 +274,26 @@ def summary_items(lines: DataFrame) -> DataFrame:
     d = d.where("mode is not null and _ended = 0 and _m is null and _k not in ('foot', 'end')")
     labels = F.regexp_extract_all("line", F.lit(_ITEM), F.lit(1))
     days = F.regexp_extract_all("line", F.lit(_ITEM), F.lit(2))
-    d = d.select("doc_id", "page_no", "line_no", "mode", F.size(labels).alias("_n"), F.posexplode(F.slice(F.arrays_zip(labels.alias("label"), days.alias("days")), 1, 2)).alias("_i", "x"))
+    d = d.select("doc_id", "page_no", "line_no", "mode", F.size(labels).alias("_n"), F.posexplode(F.arrays_zip(labels.alias("label"), days.alias("days"))).alias("_i", "x"))
     label = squeeze(F.col("x.label"))
-    right = F.when(F.col("_n") >= 2, F.col("_i") == 1).otherwise((F.col("mode") == "right") | ((F.col("mode") == "both") & F.contains(label, F.lit("/"))))
+    right = F.when(F.col("_n") >= 2, F.col("_i") >= 1).otherwise((F.col("mode") == "right") | ((F.col("mode") == "both") & F.contains(label, F.lit("/"))))
     d = d.select("doc_id", F.struct("page_no", "line_no", "_i").alias("_o"), F.when(right, "right").otherwise("left").alias("side"), label.alias("label"), F.replace(F.col("x.days"), F.lit(","), F.lit("")).alias("days"))
     d = d.where(~(F.contains("label", F.lit("인정일수")) & F.contains("label", F.lit("합계"))) & (F.col("label") != ""))
-    return d.groupBy("doc_id", "side", "label").agg(F.min_by("days", "_o").alias("days"))
+    slash, right = F.locate("/", F.col("label")), F.col("side") == "right"
+    blank = F.col("label").startswith("(") & F.contains("label", F.lit("미기재"))
+    job = F.when(slash > 0, F.trim(F.substr("label", F.lit(1), slash - 1))).when(blank, "").otherwise(F.col("label"))
+    specialty = F.when(slash > 0, F.trim(F.substr("label", slash + 1))).when(blank, F.col("label")).otherwise("")
+    d = d.select("doc_id", "_o", "side", F.when(right, "").otherwise(F.col("label")).alias("work_type"), F.when(right, job).otherwise("").alias("job_field"),
+                 F.when(right, specialty).otherwise("").alias("specialty"), "days")
+    d = d.where("side = 'left' or job_field <> '' or specialty <> ''")
+    return d.groupBy("doc_id", "side", "work_type", "job_field", "specialty").agg(F.min_by("days", "_o").alias("days"))
 
 
 # ------------------------------------------------------------------ page-bottom numbers
-def days_after(text: Column, label: str, scan: int = 260) -> Column:
+def days_after(text: Column, label: str) -> Column:
     """Number before 일 right after ``label`` in blank-free text; empty without one."""
     pos = F.instr(text, label)
-    part = F.substr(text, F.greatest(pos, F.lit(1)), F.lit(scan))
+    part = F.substr(text, F.greatest(pos, F.lit(1)))
     return F.when(pos > 0, F.replace(F.regexp_extract(part, quote(label) + r"[:：]?(\d[\d,]*)일", 1), F.lit(","), F.lit(""))).otherwise("")
 
 
@@ -324,7 +335,7 @@ def one_year_stats(text: Column) -> Column:
     """Completion percentage and four (or two) counts of the last year."""
     c = compact(text)
     pos = F.instr(c, "용역완성비율")
-    win = F.when(pos > 0, F.substr(c, F.greatest(pos, F.lit(1)), F.lit(300))).otherwise("")
+    win = F.when(pos > 0, F.substr(c, F.greatest(pos, F.lit(1)))).otherwise("")
 
     def read(w: Column) -> Column:
         nums = F.regexp_extract_all(w, F.lit(r"(\d+)\s*건"), F.lit(1))
@@ -412,7 +423,8 @@ def training_row(text: Column) -> Column:
     """
     s = squeeze(F.replace(F.coalesce(text, F.lit("")), F.lit("** 해당없음 **"), F.lit("")))
     pat = r"^(\d{4}\.\d{2}\.\d{2})\s*~\s*(\d{4}\.\d{2}\.\d{2})\s+(.+)$"
-    body = F.regexp_extract(F.regexp_extract(s, pat, 3), r"^(.*?)(표창장|훈장|포장|감사장|\[제|제|$)", 1)
+    # an award that runs on behind the course: its kind with a bracket, or its number
+    body = F.regexp_extract(F.regexp_extract(s, pat, 3), r"^(.*?)((표창장|훈장|포장|감사장)\s*[\[(]|\[제|제\s*[\d-]+\s*호|$)", 1)
 
     def read(x: Column) -> Column:
         t0 = F.filter(F.split(F.trim(x["body"]), " "), lambda y: y != "")

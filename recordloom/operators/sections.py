@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions.text import contains_any
-from recordloom.operators.scan import PAGES_PER_CHUNK, Running, neighbour, running
+from recordloom.operators.scan import PAGES_PER_CHUNK, Running, running
 
 # Keyword sets of the certificate's sections: the first set with a hit decides.
 TECH_SETS = [["1. 기술경력"], ["기술경력"]]
@@ -61,11 +61,10 @@ def pages_in_sections(pages: DataFrame, ranges: DataFrame) -> DataFrame:
     return pages.join(r, "doc_id").where("page_no >= lo and page_no < hi").drop("lo", "hi")
 
 
-def front_matter(pages: DataFrame, anchor: str = "1. 기술경력", max_pages: int = 8, text: str = "text") -> DataFrame:
-    """The first ``max_pages`` pages up to and including the first page with ``anchor``."""
-    head = pages.where(F.col("page_no") < max_pages)
-    stop = head.groupBy("doc_id").agg(F.min(F.when(F.contains(F.col(text), F.lit(anchor)), F.col("page_no"))).alias("_stop"))
-    return head.join(stop, "doc_id").where("_stop is null or page_no <= _stop").drop("_stop")
+def front_matter(pages: DataFrame, anchor: str = "1. 기술경력", text: str = "text") -> DataFrame:
+    """The pages up to and including the first page with ``anchor``; all pages without one."""
+    stop = pages.groupBy("doc_id").agg(F.min(F.when(F.contains(F.col(text), F.lit(anchor)), F.col("page_no"))).alias("_stop"))
+    return pages.join(stop, "doc_id").where("_stop is null or page_no <= _stop").drop("_stop")
 
 
 # Transition rules of the front page, first match wins; each is a list of word groups that must all have a hit.
@@ -161,16 +160,17 @@ def stop_after_no_growth(pages: DataFrame, items: DataFrame, header_seen_from: D
     """Pages up to where ``streak`` consecutive pages added no new item after the header was seen.
 
     ``items`` are (doc_id, page_no, kind, label); a label counts once, on its first
-    page.  ``header_seen_from`` is (doc_id, header_page).  Only streak 2 is built
-    from neighbours; a longer one would chain them.
+    page.  ``header_seen_from`` is (doc_id, header_page).  The place of an idle page
+    in its streak is its number of pages since the last page that was not idle.
     """
-    if streak != 2:
-        raise ValueError("streak must be 2")
     new = items.groupBy("doc_id", "kind", "label").agg(F.min("page_no").alias("page_no"))
     grow = new.groupBy("doc_id", "page_no").agg(F.count(F.lit(1)).alias("new_items"))
     d = pages.select("doc_id", "page_no").join(grow, ["doc_id", "page_no"], "left").join(header_seen_from, "doc_id", "left")
     d = d.select("doc_id", "page_no", F.coalesce("new_items", F.lit(0)).cast("bigint").alias("new_items"),
                  (F.col("new_items").isNull() & F.coalesce(F.col("page_no") >= F.col("header_page"), F.lit(False))).alias("_idle"))
-    d = neighbour(d, ["doc_id"], "page_no", {"_prev_idle": "_idle"}, step=-1)
-    stop = d.groupBy("doc_id").agg(F.min(F.when(F.col("_idle") & F.col("_prev_idle"), F.col("page_no"))).alias("_stop"))
+    d = d.withColumn("_one", F.lit(1)).withColumn("_chunk", F.floor(F.col("page_no") / PAGES_PER_CHUNK))
+    d = running(d, ["doc_id"], ["_chunk"], ["page_no"], [Running("_nth", "sum", "_one")]).withColumn("_busy", F.when(~F.col("_idle"), F.col("_nth")))
+    d = running(d, ["doc_id"], ["_chunk"], ["page_no"], [Running("_last_busy", "max", "_busy")])
+    long = F.col("_idle") & (F.col("_nth") - F.coalesce("_last_busy", F.lit(0)) >= streak)
+    stop = d.groupBy("doc_id").agg(F.min(F.when(long, F.col("page_no"))).alias("_stop"))
     return d.join(stop, "doc_id").where("_stop is null or page_no < _stop").select("doc_id", "page_no", "new_items")

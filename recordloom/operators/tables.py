@@ -61,11 +61,11 @@ def row_is_blank(cells: Column) -> Column:
 
 
 def cells_to_rows(cells: DataFrame) -> DataFrame:
-    """Cell table to row form; a row's cells are laid out by column number, gaps empty."""
+    """Cell table to row form; a row's cells are laid out by column number, gaps empty.  Of cells with one number the first by text stays."""
     key = (*TABLE, "row_no")
-    d = cells.groupBy(*key).agg(
-        F.map_from_entries(F.collect_list(F.struct("col_no", "text"))).alias("m"), F.max("col_no").alias("last")
-    )
+    d = cells.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("e"))
+    first = F.filter("e", lambda x, i: (i == 0) | (x["col_no"] != F.get("e", i - 1)["col_no"]))
+    d = d.select(*key, F.map_from_entries(first).alias("m"), F.try_element_at("e", F.lit(-1))["col_no"].alias("last"))
     return d.select(
         *key, F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.coalesce(F.get(F.array(F.col("m")[i]), F.lit(0)), F.lit(""))).alias("cells")
     )
@@ -222,8 +222,8 @@ def header_start_row(rows: DataFrame, scan_rows: int = 18) -> DataFrame:
     )
 
 
-def six_columns(rows: DataFrame, width: int = 6, scan_rows: int = 50, label_rows: int = 24) -> DataFrame:
-    """Drop columns that are empty in the first rows, then the least filled, until ``width`` remain.
+def six_columns(rows: DataFrame, width: int = 6, label_rows: int = 24) -> DataFrame:
+    """Drop columns that are empty, then the least filled, until ``width`` remain.
 
     The outer two columns always stay; columns with a label word go last.  Column
     statistics are partial aggregates per (table, column); the keep list of one
@@ -232,8 +232,7 @@ def six_columns(rows: DataFrame, width: int = 6, scan_rows: int = 50, label_rows
     c = rows.withColumn("cells", clean_cells(F.col("cells")))
     labels = "|".join(quote(w.replace(" ", "")) for w in LABEL_WORDS)
     stats = (
-        c.where(F.col("row_no") < scan_rows)
-        .select(*TABLE, "row_no", F.posexplode("cells").alias("col_no", "text"))
+        c.select(*TABLE, "row_no", F.posexplode("cells").alias("col_no", "text"))
         .groupBy(*TABLE, "col_no")
         .agg(
             F.count_if(~is_blank(F.col("text"))).alias("fill"),
@@ -650,13 +649,13 @@ def two_halves(df: DataFrame, left: Sequence[str], right: Sequence[str], out: Se
     return d.where(~is_blank(F.col(out[0])))
 
 
-def three_row_records(rows: DataFrame, header_words: Sequence[str], scan: int = 10) -> DataFrame:
+def three_row_records(rows: DataFrame, header_words: Sequence[str]) -> DataFrame:
     """CM fallback: a project-shaped row, the issuer row, the overview row, later col-0 text spilled to the overview.
 
     The project row has cells 0, 2 and 3 filled and cell 1 empty.  It owns the two
     rows below whatever their shape, so accepted starts come from a cursor fold
-    over the table's rows (one table of one page).  Rows up to the next project
-    row, at most ``scan`` - 3 of them, spill into the overview; header repeats do not.
+    over the table's rows (one table of one page).  All rows up to the next project
+    row spill into the overview; header repeats do not.
     """
     c = lambda i: F.trim(cell(F.col("cells"), i))
     label = contains_any(joined(F.col("cells")), list(header_words))
@@ -675,7 +674,7 @@ def three_row_records(rows: DataFrame, header_words: Sequence[str], scan: int =
     at = lambda k, i: F.get("r", F.col("i") + k)[f"c{i}"]
     sub = lambda k, i: F.when(~F.get("r", F.col("i") + k)["label"], at(k, i))
     spill = F.aggregate(
-        F.slice("r", F.col("i") + 4, F.lit(scan - 3)),
+        F.slice("r", F.col("i") + 4, F.size("r")),
         F.struct(F.coalesce(sub(2, 0), F.lit("")).alias("t"), F.lit(True).alias("go")),
         lambda a, x: F.struct(
             F.when(~a["go"] | x["start"] | x["label"] | (x["c0"] == ""), a["t"])

@@ -432,4 +432,4 @@ def duck(body: str, *feeds: str, extra: dict[str, str] | None = None) -> str:
         add(f)
     ctes = [f"{n} as materialized ({DUCK_FEEDS[n][0]})" for n in order]
     ctes += [f"{n} as ({sql})" for n, sql in (extra or {}).items()]
-    return ("with " + ",\n".join(ctes) + "\n" if ctes else "") + body
+    return ("with recursive " + ",\n".join(ctes) + "\n" if ctes else "") + body

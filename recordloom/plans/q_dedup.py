@@ -225,7 +225,7 @@ def page_meta(spark, sf):
 
 
 @query("expected_licences", duck("""select doc_id, cast(sum(case when inside and f is null then len(regexp_extract_all(line, '(기사|기술사|산업기사|기능사|기능장).*?[0-9]{4}\\.[0-9]{2}\\.[0-9]{2}')) else 0 end) as bigint) as n from (
- select *, last_value(f ignore nulls) over (partition by doc_id, page_no order by row_no rows between unbounded preceding and current row) as inside from (
+ select *, last_value(f ignore nulls) over (partition by doc_id order by page_no, row_no rows between unbounded preceding and current row) as inside from (
   select *, case when contains(line, '종목') and contains(line, '합격일') then true when contains(line, '학력') or contains(line, '졸업일') or contains(line, '교육기간') or contains(line, '교육훈련') then false end as f
   from (select doc_id, page_no, row_no, replace(array_to_string(list_filter(cells, lambda c: c <> ''), ' '), chr(10), ' ') as line from front))) group by doc_id""", "front"))
 def expected_licences(spark, sf):

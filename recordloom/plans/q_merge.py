@@ -26,12 +26,15 @@ _R = "select doc_id, page_no, rec_idx as row_idx, case when note = '3-MEDIUM' th
 _N = lambda c: f"replace({c}, ' ', '')"
 
 
-def _cand(i: int) -> str:
-    prev = "".join(f" and not exists (select 1 from w{j} where w{j}.rec_idx = a.rec_idx) and not exists (select 1 from w{j} where w{j}.row_idx = b.row_idx)" for j in range(1, i))
-    return f"""select rec_idx, row_idx from (select a.rec_idx, b.row_idx, min(b.row_idx) over (partition by a.rec_idx) as m1, min(a.rec_idx) over (partition by b.row_idx) as m2 from l2 a join r2 b on a.doc_id = b.doc_id and a.page_no = b.page_no and {_N('a.issuer')} = {_N('b.issuer')} and a.issuer <> ''
- and length({_N('a.project_name')}) >= 3 and b.project_name <> '' and (ends_with({_N('b.project_name')}, {_N('a.project_name')}) or (length({_N('a.project_name')}) >= 4 and contains({_N('b.project_name')}, {_N('a.project_name')})) or (length({_N('b.project_name')}) >= 4 and contains({_N('a.project_name')}, {_N('b.project_name')}))){prev}) where m1 = row_idx and m2 = rec_idx"""
+def _greedy(recs: str, rows: str, pick: str) -> str:
+    """Per page the records of ``recs`` in order (i, with all their columns) each take ``pick`` from the list ``rows`` of the page, given the rows ``used`` before."""
+    return f"""select doc_id, page_no, cast(0 as bigint) as i, cast([] as bigint[]) as used, cast(null as bigint) as rec_idx, cast(null as bigint) as row_idx from {recs} where i = 1
+ union all select doc_id, page_no, i, case when p is null then used else list_append(used, p) end, rec_idx, p from (
+  select q.doc_id, q.page_no, q.i, g.used, q.rec_idx, cast({pick} as bigint) as p from g join {recs} q on g.doc_id = q.doc_id and g.page_no = q.page_no and q.i = g.i + 1 left join {rows} t on q.doc_id = t.doc_id and q.page_no = t.page_no)"""
 
 
+_NUMBERED = "row_number() over (partition by doc_id, page_no order by rec_idx) as i"
+_INSIDE = f"""length({_N('a.project_name')}) >= 3 and b.project_name <> '' and (ends_with({_N('b.project_name')}, {_N('a.project_name')}) or (length({_N('a.project_name')}) >= 4 and contains({_N('b.project_name')}, {_N('a.project_name')})) or (length({_N('b.project_name')}) >= 4 and contains({_N('a.project_name')}, {_N('b.project_name')})))"""
 _CTX = f"{_N('issuer')} || '|' || {_N('specialty')} || '|' || {_N('position')} || '|' || {_N('work_type')}"
 
 
@@ -45,8 +48,10 @@ _EXTRA = {
     "l1": "select * from l0 where rec_idx not in (select rec_idx from p1)", "r1": "select * from r0 where row_idx not in (select row_idx from p1)",
     "p2": _pair("l1", "r1", _CTX, "issuer <> ''"),
     "l2": "select * from l1 where rec_idx not in (select rec_idx from p2)", "r2": "select * from r1 where row_idx not in (select row_idx from p2)",
-    "w1": _cand(1), "w2": _cand(2), "w3": _cand(3),
-    "pr": "select *, 1 as tier from p1 union all select *, 2 from p2 union all select *, 3 from w1 union all select *, 3 from w2 union all select *, 3 from w3",
+    "c3": f"select a.doc_id, a.page_no, a.rec_idx, list(b.row_idx order by b.row_idx) as fit from l2 a join r2 b on a.doc_id = b.doc_id and a.page_no = b.page_no and {_N('a.issuer')} = {_N('b.issuer')} and a.issuer <> '' and {_INSIDE} group by 1, 2, 3",
+    "q3": f"select *, {_NUMBERED} from c3", "t3": "select distinct doc_id, page_no from c3",
+    "g": _greedy("q3", "t3", "list_filter(q.fit, lambda x: not list_contains(g.used, x))[1]"),
+    "pr": "select *, 1 as tier from p1 union all select *, 2 from p2 union all select rec_idx, row_idx, 3 from g where row_idx is not null",
 }
 
 
@@ -144,16 +149,27 @@ def source_crosscheck(spark, sf):
     return M.crosscheck(c, feeds.career_pages(spark, sf), "issuer", "d", 40).select("rec_idx", "in_text", "near_date")
 
 
-@query("last_resort_names", duck("""select c.rec_idx, case when c.project_name <> '' then c.project_name else coalesce(w.name, '(사업명 미상)') end as project_name from l0 c left join (
- select rec_idx, name from (select *, row_number() over (partition by rec_idx order by s desc, row_idx) as r1, row_number() over (partition by row_idx order by s desc, rec_idx) as r2 from (
-  select a.rec_idx, b.row_idx, b.project_name as name, case when a.specialty = '' or b.specialty = '' then 0 when a.specialty = b.specialty then 2 end + case when a.position = '' or b.position = '' then 0 when a.position = b.position then 2 end as s
-  from l0 a join r0 b on a.doc_id = b.doc_id and a.page_no = b.page_no and a.issuer = b.issuer and a.project_name = '' and a.issuer <> '' and b.project_name <> '') where s is not null) where r1 = 1 and r2 = 1) w on c.rec_idx = w.rec_idx""", "careers",
-    extra={"l0": "select doc_id, page_no, rec_idx, project_name, left(issuer, 2) as issuer, case when job_field = '' then '' else specialty end as specialty, '' as position from careers", "r0": "select doc_id, page_no, rec_idx as row_idx, project_name, left(issuer, 2) as issuer, specialty, position from careers"}))
+_LR_SCORE = """case when x.issuer = q.issuer and q.issuer <> '' then coalesce(1 + case when x.specialty = '' or q.specialty = '' then 0 when x.specialty = q.specialty then 2 end
+ + case when x.position = '' or q.position = '' then 0 when x.position = q.position then 2 end, 0) end"""
+_LR = {
+    "l0": "select doc_id, page_no, rec_idx, case when rec_idx % 3 = 0 then '' else project_name end as project_name, left(issuer, 2) as issuer, case when job_field = '' then '' else specialty end as specialty, '' as position from careers",
+    "r0": "select doc_id, page_no, rec_idx as row_idx, project_name, left(issuer, 2) as issuer, specialty, position from careers where project_name <> '' and rec_idx % 4 < 3",
+    "q1": f"select *, {_NUMBERED} from l0 where project_name = ''",
+    "t1": "select doc_id, page_no, list({row: row_idx, issuer: issuer, specialty: specialty, position: position}) as rows from r0 group by 1, 2",
+    "g": _greedy("q1", "t1", f"list_sort(list_filter(list_transform(t.rows, lambda x: {{s: - ({_LR_SCORE}), row: x.row}}), lambda y: y.s is not null and not list_contains(g.used, y.row)))[1].row"),
+    "left_recs": f"select doc_id, page_no, rec_idx, {_NUMBERED} from q1 where rec_idx not in (select rec_idx from g where row_idx is not null)",
+    "left_rows": "select doc_id, page_no, row_idx, row_number() over (partition by doc_id, page_no order by row_idx) as i from r0 where row_idx not in (select row_idx from g where row_idx is not null)",
+    "pr": "select rec_idx, row_idx from g where row_idx is not null union all select a.rec_idx, b.row_idx from left_recs a join left_rows b on a.doc_id = b.doc_id and a.page_no = b.page_no and a.i = b.i",
+}
+
+
+@query("last_resort_names", duck("""select c.rec_idx, case when c.project_name <> '' then c.project_name else coalesce(r.project_name, '(사업명 미상)') end as project_name
+ from l0 c left join pr on c.rec_idx = pr.rec_idx left join r0 r on pr.row_idx = r.row_idx""", "careers", extra=_LR))
 def last_resort_names(spark, sf):
     """J16."""
     c = feeds.career_records(spark, sf)
-    a = c.selectExpr("doc_id", "page_no", "rec_idx", "project_name", "left(issuer, 2) as issuer", "case when job_field = '' then '' else specialty end as specialty", "'' as position")
-    b = c.selectExpr("doc_id", "page_no", "rec_idx as row_idx", "project_name", "left(issuer, 2) as issuer", "specialty", "position")
+    a = c.selectExpr("doc_id", "page_no", "rec_idx", "case when rec_idx % 3 = 0 then '' else project_name end as project_name", "left(issuer, 2) as issuer", "case when job_field = '' then '' else specialty end as specialty", "'' as position")
+    b = c.where("rec_idx % 4 < 3").selectExpr("doc_id", "page_no", "rec_idx as row_idx", "project_name", "left(issuer, 2) as issuer", "specialty", "position")
     return M.last_resort_names(a, b).select("rec_idx", "project_name")
 
 

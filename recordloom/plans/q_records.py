@@ -88,14 +88,16 @@ def summary_stitch(spark, sf):
     return R.stitch_summary_lines(split_lines(feeds.summary_pages(spark, sf))).drop("line_no")
 
 
-_ITEMS = """select doc_id, side, label, days from (select *, row_number() over (partition by doc_id, side, label order by page_no, pos, i) as r from (
+_ITEMS = """select doc_id, side, work_type, job_field, specialty, days from (select *, row_number() over (partition by doc_id, side, work_type, job_field, specialty order by page_no, pos, i) as r from (
+ select *, case when side = 'left' then label else '' end as work_type, case when side = 'left' then '' when contains(label, '/') then trim(split_part(label, '/', 1)) else label end as job_field,
+  case when side = 'right' and contains(label, '/') then trim(substr(label, strpos(label, '/') + 1)) else '' end as specialty from (
  select *, case when two then case when i = 0 then 'left' else 'right' end when mode = 'right' or (mode = 'both' and contains(label, '/')) then 'right' else 'left' end as side from (
   select s.doc_id, s.page_no, k as pos, 0 as i, h % 6 = 0 as two, case h % 6 when 3 then job || '/' || sp when 4 then '인정일수 합계' when 5 then '관광시설(공원.' || wt || '부수시설)' else wt end as label, case when h % 6 = 3 then part when h % 6 = 4 then '9999' else recog end as days from spine s
   union all select doc_id, page_no, k, 1, true, job || '/' || sp, part from spine where h % 6 = 0) x
  join (select doc_id, page_no, last_value(m ignore nulls) over w as mode, coalesce(bool_or(e) over (partition by doc_id order by page_no rows between unbounded preceding and 1 preceding), false) as ended from (
    select doc_id, page_no, m, status = 'P' and last_value(m ignore nulls) over w is not null as e from (select o_custkey as doc_id, o_orderkey as page_no, o_orderstatus as status, case o_orderpriority when '1-URGENT' then 'both' when '2-HIGH' then 'left' when '5-LOW' then 'right' end as m from orders) window w as (partition by doc_id order by page_no rows between unbounded preceding and current row))
   window w as (partition by doc_id order by page_no rows between unbounded preceding and current row)) p on x.doc_id = p.doc_id and x.page_no = p.page_no
- where mode is not null and not ended and label <> '인정일수 합계')) where r = 1"""
+ where mode is not null and not ended and label <> '인정일수 합계')) where side = 'left' or job_field <> '' or specialty <> '') where r = 1"""
 
 
 @query("summary_items", duck(_ITEMS, "spine"))

@@ -52,11 +52,11 @@ def section_pages(spark, sf):
     return S.pages_in_sections(p, section_ranges(spark, sf)).select("doc_id", "page_no", "section")
 
 
-@query("front_matter", duck("""select d.doc_id, d.page_no from dialogue d join (select doc_id, min(page_no) filter (contains(text, 'que')) as stop from dialogue where page_no < 4 group by 1) s on d.doc_id = s.doc_id
- where page_no < 4 and (stop is null or page_no <= stop)""", "dialogue"))
+@query("front_matter", duck("""select d.doc_id, d.page_no from dialogue d join (select doc_id, min(page_no) filter (contains(text, 'que')) as stop from dialogue group by 1) s on d.doc_id = s.doc_id
+ where stop is null or page_no <= stop""", "dialogue"))
 def front_matter(spark, sf):
     """P3."""
-    return S.front_matter(feeds.dialogue_pages(spark, sf), "que", 4).select("doc_id", "page_no")
+    return S.front_matter(feeds.dialogue_pages(spark, sf), "que").select("doc_id", "page_no")
 
 
 _FLINE = "array_to_string(list_filter(cells, lambda c: c <> ''), ' ')"

@@ -45,7 +45,7 @@ DUCK_FEEDS["tcols"] = (
  select *, row_number() over (partition by {K} order by outer_col, label desc, fill desc, col desc) as keep_rank from (
   select *, case when col = min(col) over (partition by {K}) or col = max(col) over (partition by {K}) then 0 else 1 end as outer_col from (
    select {K}, col, count(*) filter (trim(txt) <> '') as fill, max(cast(row_no < 24 and {_LAB} as int)) as label
-   from (select {K}, row_no, unnest(range(0, len(cells))) as col, unnest(cells) as txt from trows where row_no < 50) group by all) where fill > 0))
+   from (select {K}, row_no, unnest(range(0, len(cells))) as col, unnest(cells) as txt from trows) group by all) where fill > 0))
 where keep_rank <= 6""", ("trows",))
 DUCK_FEEDS["t6"] = (
     f"""select {K}, row_no, list(txt order by new_col) as cells from (select r.doc_id, r.page_no, r.attempt, r.table_no, r.row_no, c.new_col, coalesce(r.cells[c.col + 1], '') as txt

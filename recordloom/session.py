@@ -1,4 +1,4 @@
-"""Session defaults and the few cluster settings the library reads."""
+"""Session defaults of single-machine runs."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from recordloom.sources.scan import FEED_PARTITIONS
+
 
 def local_session(cpus: int | str = 8, app: str = "recordloom") -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own session."""
@@ -16,26 +18,9 @@ def local_session(cpus: int | str = 8, app: str = "recordloom") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(FEED_PARTITIONS, str(cpus))
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
-
-
-def cut_lineage(df, eager: bool = True):
-    """Checkpoint ``df`` in the shared folder the cluster names.
-
-    ``spark.checkpoint.dir`` is read from the session.  Only where neither the
-    setting nor a directory is present (tests) a temporary folder is made.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="spark-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+#: Session setting of single-machine runs: tables of one row group are dealt to so many partitions.  Unset on a cluster.
+FEED_PARTITIONS = "spark.recordloom.feed.partitions"
+
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
+    """``df`` dealt to the partitions the session asks for; unchanged where it asks for none.
 
-    A table of a few large row groups scans in a few tasks, and everything up to
-    the next shuffle would run there.  The number of splits is known from planning
-    alone; a scan with enough of them, as any large table has, is left untouched.
+    The size of the table plays no part.  Splits of large tables come from
+    ``spark.sql.files.maxPartitionBytes``.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    n = df.sparkSession.conf.get(FEED_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
