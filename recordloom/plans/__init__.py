@@ -13,6 +13,7 @@ MODULES: tuple[str, ...] = (
     "q_records",
     "q_layout",
     "q_io",
+    "q_fallbacks",
 )
 
 
