@@ -14,6 +14,17 @@ from recordloom.functions.grammar import norm_work_type
 from recordloom.functions.text import head_tokens, join_tokens, let, tail_tokens, tokens
 
 
+#: Parts a text's rows are dealt to when results come back to them: a text, or no text, that a third of all rows share is spread.
+SALTS = 8
+
+
+def _join_back(df: DataFrame, column: str, found: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``found``, a row per text ``_x`` that has a result; rows without one get nulls."""
+    salted = found.where("_x is not null").withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    d = df.withColumn("_s", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    return d.join(salted, (d[column] == salted["_x"]) & (d["_s"] == salted["_s"]), "left").drop("_x", "_s")
+
+
 def work_type_phrases(df: DataFrame, column: str, catalog: DataFrame, out: str = "is_work_type") -> DataFrame:
     """Add ``out``: is the text a work type of ``catalog(norm)`` (same rule as ``is_work_type``)."""
     texts = df.select(F.col(column).alias("_x")).distinct()
@@ -32,7 +43,7 @@ def work_type_phrases(df: DataFrame, column: str, catalog: DataFrame, out: str =
             (F.count_if((F.col("role") != "part") & F.col("_hit").isNotNull()) > 0)
             | ((F.count_if(F.col("role") == "part") >= 2) & (F.count_if((F.col("role") == "part") & F.col("_hit").isNull()) == 0))
         ).alias(out))
-    return df.join(found, df[column].eqNullSafe(found["_x"]), "left").drop("_x").withColumn(out, F.coalesce(out, F.lit(False)))
+    return _join_back(df, column, found.where(F.col(out))).withColumn(out, F.coalesce(out, F.lit(False)))
 
 
 def longest_suffix(df: DataFrame, column: str, catalog: DataFrame) -> DataFrame:
@@ -45,7 +56,7 @@ def longest_suffix(df: DataFrame, column: str, catalog: DataFrame) -> DataFrame:
     probes = texts.select("_x", F.explode(tails).alias("p")).select("_x", "p.*").where("suffix <> ''")
     hit = probes.withColumn("norm", norm_work_type(F.col("suffix"))).join(catalog.select("norm").distinct(), "norm", "left_semi")
     best = hit.groupBy("_x").agg(F.max(F.struct(F.col("k").alias("suffix_size"), "suffix")).alias("b")).select("_x", "b.*")
-    return df.join(best, df[column].eqNullSafe(best["_x"]), "left").drop("_x").select(
+    return _join_back(df, column, best).select(
         *df.columns, F.coalesce("suffix_size", F.lit(0)).alias("suffix_size"), F.coalesce("suffix", F.lit("")).alias("suffix"))
 
 
@@ -55,7 +66,7 @@ def longest_prefix(df: DataFrame, column: str, catalog: DataFrame, out: str = "p
     probes = texts.select("_x", "_t", F.explode(F.sequence(F.lit(1), F.size("_t"))).alias("k")).select(
         "_x", "k", join_tokens(head_tokens(F.col("_t"), F.col("k"))).alias("name"))
     best = probes.join(catalog.select("name").distinct(), "name", "left_semi").groupBy("_x").agg(F.max("k").alias(out))
-    return df.join(best, df[column].eqNullSafe(best["_x"]), "left").drop("_x").withColumn(out, F.coalesce(out, F.lit(0)))
+    return _join_back(df, column, best).withColumn(out, F.coalesce(out, F.lit(0)))
 
 
 def institution_prefix(df: DataFrame, column: str, catalog: DataFrame, min_len: int = 5, out: str = "institution_size") -> DataFrame:
@@ -70,7 +81,7 @@ def institution_prefix(df: DataFrame, column: str, catalog: DataFrame, min_len:
         "_x", "k", F.expr("substring(p, i)").alias("name"))
     names = catalog.where(F.length("name") >= min_len).select("name").distinct()
     best = s.join(names, "name", "left_semi").groupBy("_x").agg(F.max("k").alias(out))
-    return df.join(best, df[column].eqNullSafe(best["_x"]), "left").drop("_x").withColumn(out, F.coalesce(out, F.lit(0)))
+    return _join_back(df, column, best).withColumn(out, F.coalesce(out, F.lit(0)))
 
 
 def complete_licence_name(df: DataFrame, column: str, names: DataFrame, suffixes: tuple[str, ...] = ("기사", "산업기사", "기능사", "기술사", "기능장")) -> DataFrame:
@@ -81,4 +92,4 @@ def complete_licence_name(df: DataFrame, column: str, names: DataFrame, suffixes
     full = probes.join(known, "name", "left_semi").groupBy("_x").agg(F.count(F.lit(1)).alias("n"), F.first("name").alias("name")).where("n = 1")
     exact = texts.join(known, texts["_x"] == known["name"], "left_semi")
     full = full.join(exact, "_x", "left_anti").select("_x", F.col("name").alias("_full"))
-    return df.join(full, df[column].eqNullSafe(full["_x"]), "left").drop("_x").withColumn(column, F.coalesce("_full", column)).drop("_full")
+    return _join_back(df, column, full).withColumn(column, F.coalesce("_full", column)).drop("_full")

@@ -267,6 +267,51 @@ def drop_title_rows(rows: DataFrame) -> DataFrame:
     return rows.where(~title & ~arrow_only)
 
 
+def best_six_columns(rows: DataFrame, width: int = 6, label_rows: int = 24) -> DataFrame:
+    """Rows of the best career table of each page in ``width`` columns, with the table's ``header_row``.
+
+    The same as ``career_table_score``, ``best_table``, ``header_start_row`` and
+    ``six_columns`` one after the other, but a table is one array (a table lies on one
+    page), so the rows are dealt once, by page, and never joined to themselves.
+    """
+    r = F.col("r")
+    t = rows.repartition(*PAGE).groupBy(*TABLE).agg(F.array_sort(F.collect_list(F.struct("row_no", "cells"))).alias("r"))
+    lines = F.transform(r, lambda x: F.struct(x["row_no"].alias("row_no"), F.size(x["cells"]).alias("n"), joined(x["cells"]).alias("line"), (filled(x["cells"]) > 0).alias("full")))
+    t = t.withColumn("_l", lines)
+    head = lambda test: F.exists("_l", lambda x: (x["row_no"] < 12) & test(x["line"]))
+    has = lambda w: head(lambda c: F.contains(c, F.lit(w)))
+    cols = F.array_max(F.transform("_l", lambda x: x["n"])).cast("bigint")
+    n_header = F.size(F.filter("_l", lambda x: (x["row_no"] < 12) & contains_any(x["line"], TECH_TABLE_WORDS)))
+    note = has("※") | head(lambda c: c.rlike(TECH_NOTE)) | (has("책임정도의") & has("보정계수"))
+    t = t.select(*TABLE, "r", cols.alias("_c"), n_header.alias("_h"), F.size("_l").alias("_n"), F.size(F.filter("_l", lambda x: x["full"])).alias("_f"), note.alias("_note"), (has("참여기간") & has("비고")).alias("_both"))
+    base = (F.when(F.col("_h") >= 1, 1200).otherwise(0) + F.col("_c") * 20 + F.col("_f") + F.when(F.col("_both"), 900).otherwise(0)
+            - F.when((F.col("_h") >= 2) & (F.col("_c") <= 4), 900).otherwise(0) - F.when(F.col("_note"), 2500).otherwise(0))
+    small = F.col("_c") <= 2
+    score = F.struct(F.when(small, F.lit(-10000)).otherwise(base).alias("s1"), F.when(small, F.col("_c")).otherwise(F.col("_h")).alias("s2"), F.when(small, F.col("_n")).otherwise(F.col("_c")).alias("s3"),
+                     (-F.col("attempt")).alias("a"), (-F.col("table_no")).alias("t"))
+    b = t.groupBy(*PAGE).agg(F.max_by(F.struct("attempt", "table_no", "r"), score).alias("b")).select(*PAGE, "b.*")
+
+    tight = lambda x: F.replace(joined(x["cells"]), F.lit(" "), F.lit(""))
+    strict = lambda x: (x["row_no"] < 18) & F.contains(tight(x), F.lit("사업명")) & contains_any(tight(x), ["비고", "참여기간"])
+    loose = lambda x: (x["row_no"] < 18) & (x["row_no"] >= 1) & (filled(x["cells"]) >= 3) & ~F.trim(cell(x["cells"], 0)).rlike(r"^\s*\d{4}\.\d{2}\.\d{2}\s*$")
+    first = lambda test: F.array_min(F.transform(F.filter(r, test), lambda x: x["row_no"]))
+    b = b.withColumn("header_row", F.coalesce(first(strict), first(loose)))
+    b = b.withColumn("r", F.transform(r, lambda x: F.struct(x["row_no"].alias("row_no"), clean_cells(x["cells"]).alias("cells"))))
+    labels = "|".join(quote(w.replace(" ", "")) for w in LABEL_WORDS)
+    at = lambda x, i: F.get(x["cells"], i)
+    stats = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.array_max(F.transform(r, lambda x: F.size(x["cells"]))), F.lit(1)) - 1),
+        lambda i: F.struct(
+            F.exists(r, lambda x: (x["row_no"] < label_rows) & F.replace(F.coalesce(at(x, i), F.lit("")), F.lit(" "), F.lit("")).rlike(labels)).cast("int").alias("label"),
+            F.size(F.filter(r, lambda x: ~is_blank(at(x, i)))).alias("fill"), i.alias("col_no")))
+    b = b.withColumn("_s", F.filter(stats, lambda x: x["fill"] > 0))
+    inner = F.filter("_s", lambda x, i: (i > 0) & (i < F.size("_s") - 1))
+    drop = F.transform(F.slice(F.array_sort(inner), F.lit(1), F.greatest(F.size("_s") - F.lit(width), F.lit(0))), lambda x: x["col_no"])
+    b = b.withColumn("_keep", F.array_except(F.transform("_s", lambda x: x["col_no"]), drop))
+    d = b.select(*TABLE, "header_row", "_keep", F.explode("r").alias("x"))
+    return d.select(*TABLE, F.col("x.row_no").alias("row_no"), F.transform("_keep", lambda i: F.coalesce(F.get(F.col("x.cells"), i), F.lit(""))).alias("cells"), "header_row")
+
+
 def clean_table(rows: DataFrame, boilerplate: Sequence[str], header_words: Sequence[str] = tuple(LABEL_WORDS), max_headers: int = 3) -> DataFrame:
     """Drop boilerplate rows and header repeats after ``max_headers``; runs of blank rows become one.
 
@@ -309,11 +354,11 @@ def is_period_start(c0: Column, allow_month: bool = False) -> Column:
 def period_blocks(rows: DataFrame, header: DataFrame | None = None, header_rows: int = 4, allow_month: bool = False) -> DataFrame:
     """Number the rows below the header into record blocks; rows before the first start are dropped.
 
-    Adds ``block`` (from 1) and ``rn`` (row in block from 1).
+    The header row comes with ``header`` or as a column of ``rows``.  Adds ``block`` (from 1) and ``rn`` (row in block from 1).
     """
-    d = rows
-    if header is not None:
-        d = d.join(header, list(TABLE)).where(F.col("row_no") >= F.col("header_row") + header_rows).drop("header_row")
+    d = rows if header is None else rows.join(header, list(TABLE))
+    if "header_row" in d.columns:
+        d = d.where(F.col("row_no") >= F.col("header_row") + header_rows).drop("header_row")
     arrow_only = (F.trim(cell(F.col("cells"), 0)) == ARROW) & (filled(F.col("cells")) == 1)
     d = d.where(~row_is_blank(F.col("cells")) & ~arrow_only)
     w = Window.partitionBy(*TABLE).orderBy("row_no")
@@ -351,12 +396,15 @@ def cut_at_stop(rows: DataFrame, header: DataFrame, header_rows: int = 4) -> Dat
     return d.where(F.col("_cut").isNull() | (F.col("row_no") < F.col("_cut"))).select(*rows.columns)
 
 
-def cm_blocks(rows: DataFrame, header: DataFrame, scan_rows: int = 12, header_rows: int = 4) -> DataFrame:
-    """CM record blocks: anchors open, annotation and summary rows close, loose rows are dropped."""
+def cm_blocks(rows: DataFrame, header: DataFrame | None = None, scan_rows: int = 12, header_rows: int = 4) -> DataFrame:
+    """CM record blocks: anchors open, annotation and summary rows close, loose rows are dropped.
+
+    The header row comes with ``header`` or as a column of ``rows``.
+    """
     flags = cm_row_flags(F.col("cells"))
     w = Window.partitionBy(*TABLE)
     wo = w.orderBy("row_no")
-    d = rows.join(header, list(TABLE)).withColumn("_a", flags["anchor"]).withColumn("_x", flags["break"])
+    d = (rows if header is None else rows.join(header, list(TABLE))).withColumn("_a", flags["anchor"]).withColumn("_x", flags["break"])
     first = F.min(F.when(F.col("_a") & (F.col("row_no") >= F.col("header_row")) & (F.col("row_no") < F.col("header_row") + scan_rows), F.col("row_no"))).over(w)
     d = d.withColumn("_from", F.coalesce(first, F.col("header_row") + header_rows)).where(F.col("row_no") >= F.col("_from"))
     d = d.where(~row_is_blank(F.col("cells")))
@@ -364,7 +412,7 @@ def cm_blocks(rows: DataFrame, header: DataFrame, scan_rows: int = 12, header_ro
     d = d.withColumn("_open", F.last(F.when(F.col("_a"), F.lit(True)).when(F.col("_x"), F.lit(False)), ignorenulls=True).over(wo))
     d = d.withColumn("block", F.sum(F.col("_a").cast("int")).over(wo)).where(F.col("_open"))
     wb = Window.partitionBy(*TABLE, "block").orderBy("row_no")
-    return d.withColumn("rn", F.row_number().over(wb)).select(*rows.columns, "block", "rn")
+    return d.withColumn("rn", F.row_number().over(wb)).select(*[c for c in rows.columns if c != "header_row"], "block", "rn")
 
 
 def merge_fragments(acc: Column, frag: Column) -> Column:

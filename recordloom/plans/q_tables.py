@@ -61,14 +61,11 @@ DUCK_FEEDS["tblocks"] = (
 
 def _chosen(spark, sf):
     """Best table per page, six columns, with its header row."""
-    rows = feeds.table_rows(spark, sf)
-    best = T.keep_best(rows, T.best_table(T.career_table_score(rows)))
-    return T.six_columns(best), T.header_start_row(best)
+    return T.best_six_columns(feeds.table_rows(spark, sf))
 
 
 def _blocks(spark, sf):
-    rows, head = _chosen(spark, sf)
-    return T.period_blocks(rows, head)
+    return T.period_blocks(_chosen(spark, sf))
 
 
 @query("table_score", duck(f"select {K}, s1, s2, s3 from tscore", "tscore"))
@@ -205,8 +202,7 @@ from (select *, regexp_replace(sp, '\\s+', '', 'g') as tight, len(regexp_extract
  where row_no >= frm and trim(tight) <> '') where block > 0""", "t6", "tbest", "thead", extra={"flags": _CM_FLAGS}))
 def cm_blocks(spark, sf):
     """T8 on the chosen tables."""
-    rows, head = _chosen(spark, sf)
-    d = T.cm_blocks(rows, head)
+    d = T.cm_blocks(_chosen(spark, sf))
     return d.select(*T.TABLE, "row_no", F.col("block").cast("bigint").alias("block"), F.col("rn").cast("bigint").alias("rn"))
 
 
