@@ -132,7 +132,7 @@ def names_before_dates(lines: DataFrame, words: G.Words = G.DEFAULT, back: int =
         F.when(line.rlike(DATE_LINE), "date")
         .when(line.rlike(DAYS_LINE) | line.startswith("~") | line.startswith(ARROW) | F.col("_aa"), "stop")
         .when(is_annotation(line), "skip").when(G.issuer_line(line, words).isNotNull(), "stop")
-        .when(G.job_duty_line(line, words).isNotNull(), "skip").when(G.is_name_line(line, words), "name").otherwise("stop")
+        .when(G.job_duty_line(line, words).isNotNull(), "skip").when(G.is_name_line(line, words, True), "name").otherwise("stop")
     )
     d = d.withColumn("kind", kind).withColumn("_p", F.when(F.col("kind") == "name", G.project_line(line, words)))
     frame = F.collect_list(F.struct("kind", "line", "_p")).over(w.rowsBetween(-back, -1))
