@@ -353,7 +353,7 @@ def personal_info(text: Column, pivot_yy: int) -> Column:
 
     def read(t: Column) -> Column:
         no = F.regexp_extract(t, r"관리번호\s*(?:[:：\s]*)(#\s*(?:\d\s*)+|\d(?:\s*\d)*)", 1)
-        alt = F.regexp_extract(F.substr(t, F.lit(1), F.lit(500)), r"(#\s*(?:\d\s*)+)", 1)
+        alt = F.regexp_extract(t, r"(#\s*(?:\d\s*)+)", 1)
         issued = [F.regexp_extract(t, r"(\d{4})\s*년\s*(\d{1,2})\s*월\s*(\d{1,2})\s*일", i) for i in (1, 2, 3)]
         nexts = "설계·시공|설계시공|건설사업관리|품질관리|연락처|전화번호|전화|휴대전화|휴대|전자우편|이메일|등급|국가기술자격|학력|교육훈련|상훈|벌점|제재|근무처"
         return F.struct(

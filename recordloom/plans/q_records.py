@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordloom.operators import records as R
+from recordloom.operators import sections as S
 from recordloom.operators import tables as T
 from recordloom.operators.lines import content_lines_of_pages, split_lines
 from recordloom.operators.merge import attach_continuations
@@ -123,10 +124,17 @@ def one_year_stats(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", R.one_year_stats(F.expr(_CM_TEXT)).alias("w")).select("c_custkey", "w.*")
 
 
-def _front_text(spark, sf, lo, hi):
-    """A few front rows of one document as text; the row numbers are the rows of one section of one page."""
-    d = feeds.front_rows(spark, sf).where(f"row_no between {lo} and {hi}").withColumn("t", T.joined(F.col("cells")))
-    g = d.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("row_no", "t"))).alias("r"))
+def front_section(spark, sf, name, heading=False):
+    """Front rows of one section, found by the section machine; ``heading`` keeps the row that opens it."""
+    d = feeds.front_rows(spark, sf).withColumn("line", F.replace(T.joined(F.col("cells")), F.lit("\n"), F.lit(" ")))
+    s = S.section_states(d, "line", "row_no").where(F.col("section") == name)
+    return s if heading else s.where(S.front_transition(F.col("line")).isNull())
+
+
+def _front_text(spark, sf, name):
+    """A section of one document as text."""
+    d = front_section(spark, sf, name, True).withColumn("t", T.joined(F.col("cells")))
+    g = d.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_no", "row_no", "t"))).alias("r"))
     return g.select("doc_id", F.array_join(F.transform("r", lambda x: x["t"]), "\n").alias("text"))
 
 
@@ -134,14 +142,21 @@ def _front_text(spark, sf, lo, hi):
  '서울시 ' || c_mktsegment || '로 ' || c_nationkey as address, '#' || (c_custkey % 9) || c_nationkey || '7' as mgmt_no, '' as issue_date from customer""")
 def personal_info(spark, sf):
     """R13."""
-    return _front_text(spark, sf, 0, 2).select("doc_id", R.personal_info(F.col("text"), 26).alias("p")).select("doc_id", "p.*")
+    return _front_text(spark, sf, "personal").select("doc_id", R.personal_info(F.col("text"), 26).alias("p")).select("doc_id", "p.*")
+
+
+_KINDS = ("기사", "기능자격", "기능사자격", "기술사", "산업기사", "기능사")
 
 
-@query("licence_rows", duck("""select doc_id, cast(0 as int) as seq, trim(n) as name, replace(d, '.', '-') as pass_date from (select doc_id, cells[2] as n, cells[3] as d from front where row_no = 5 and not contains(cells[2], chr(10)) and cells[2] <> '기사')""", "front"))
+@query("licence_rows", duck(f"""select doc_id, cast(i as int) as seq, n as name, replace(ds[i + 1], '.', '-') as pass_date from (
+ select doc_id, unnest(range(0, len(names))) as i, unnest(names) as n, ds from (select doc_id, list_filter(string_split(cells[2], chr(10)), lambda x: x <> '' and x not in {_KINDS}) as names, regexp_extract_all(cells[3], '[0-9]{{4}}\\.[0-9]{{2}}\\.[0-9]{{2}}') as ds from front where row_no = 5))
+ where ds[i + 1] is not null""", "front"))
 def licence_rows(spark, sf):
-    """R15 on single-line licence rows."""
-    d = feeds.front_rows(spark, sf).where("row_no = 5").select("doc_id", T.joined(F.col("cells")).alias("text")).where(~F.contains("text", F.lit("\n")))
-    return R.licence_rows(d, "text", ["doc_id"]).select("doc_id", "seq", "name", "pass_date")
+    """Licence rows of one and of several lines."""
+    d = front_section(spark, sf, "license").select(*T.TABLE, "row_no", *[T.cell(F.col("cells"), i).alias(c) for i, c in ((1, "names"), (2, "dates"), (3, "numbers"))])
+    d = T.split_parallel_cells(d.where("names <> ''"), "names", "dates", "numbers", _KINDS)
+    d = d.select("doc_id", "item_no", F.concat_ws(" ", "name", "date").alias("text"))
+    return R.licence_rows(d, "text", ["doc_id", "item_no"]).select("doc_id", F.col("item_no").cast("int").alias("seq"), "name", "pass_date")
 
 
 @query("licence_number", """select c_custkey, case when num = '' then 'AB' || lpad(cast(c_custkey as varchar), 6, '0') else num end as number from (select *, case when c_nationkey % 2 = 0 then '' else 'X1' end as num from customer)""")
@@ -157,7 +172,7 @@ def licence_number(spark, sf):
  from (select doc_id, contains(cells[3], '現') as prev, cells[2] as d, regexp_replace(cells[4], ' 학사.*$', '') as major from front where row_no = 8)""", "front"))
 def education_rows(spark, sf):
     """Date, schools, major, degree and status of one row."""
-    d = feeds.front_rows(spark, sf).where("row_no = 8").select("doc_id", R.education_row(T.joined(F.col("cells"))).alias("e"))
+    d = front_section(spark, sf, "education").select("doc_id", R.education_row(T.joined(F.col("cells"))).alias("e"))
     return d.select("doc_id", "e.*")
 
 
@@ -165,7 +180,7 @@ def education_rows(spark, sf):
  from (select a.doc_id, a.cells[2] as p, b.cells[4] as tail from front a join front b on a.doc_id = b.doc_id and a.row_no = 10 and b.row_no = 11)""", "front"))
 def training_rows(spark, sf):
     """Islands at date ranges, then course, institution and recognition."""
-    rows = feeds.front_rows(spark, sf).where("row_no in (10, 11)").select("doc_id", "page_no", F.col("row_no").alias("line_no"), T.joined(F.col("cells")).alias("line"))
+    rows = front_section(spark, sf, "training").select("doc_id", "page_no", F.col("row_no").alias("line_no"), T.joined(F.col("cells")).alias("line"))
     rows = rows.withColumn("line", F.when(F.col("line_no") == 10, F.concat("line", F.lit(" 품질관리"))).otherwise(F.col("line"))).where("line <> ''")
     d = R.line_islands(rows, F.col("line").rlike(r"^\d{4}\.\d{2}\.\d{2}\s*~"), ["doc_id", "page_no"])
     return d.select("doc_id", R.training_row(F.col("text")).alias("t")).select("doc_id", "t.*")
@@ -176,10 +191,8 @@ def penalty(spark, sf):
     """Points, and a sanction row where a date is given."""
     from recordloom.functions.dates import date_to_iso
 
-    d = T.locate_columns(feeds.front_rows(spark, sf), ["벌점 및"], {"points": ("벌점", 0), "date": ("제재일", 1)}, stop=["근무기간"])
-    d = d.withColumn("points", F.col("points"))
-    head = feeds.front_rows(spark, sf).where("row_no = 15").select("doc_id", T.cell(F.col("cells"), 1).alias("raw"))
-    return d.join(head, "doc_id").select("doc_id", R.penalty_points(F.col("raw")).alias("points"),
+    d = front_section(spark, sf, "penalty").select("doc_id", T.cell(F.col("cells"), 1).alias("raw"), T.cell(F.col("cells"), 2).alias("date"))
+    return d.select("doc_id", R.penalty_points(F.col("raw")).alias("points"),
                                          F.when(F.col("date").rlike(r"^\d{4}\.\d{2}\.\d{2}"), date_to_iso(F.col("date"), "unchecked")).alias("sanction_date"))
 
 
@@ -187,7 +200,7 @@ def penalty(spark, sf):
  from (select doc_id, regexp_extract(cells[2], '^(건설[0-9]+\\(주\\))', 1) as maker, regexp_extract(cells[2], '(새건설[0-9]+\\(주\\))$', 1) as newer, case when contains(cells[2], '새건설') then 0 else 3 end as m from front where row_no = 17)""", "front"))
 def company_split(spark, sf):
     """Company texts split at change markers or a bare colon."""
-    d = feeds.front_rows(spark, sf).where("row_no = 17").select("doc_id", R.company_split(T.cell(F.col("cells"), 1)).alias("c"))
+    d = front_section(spark, sf, "workplace").select("doc_id", R.company_split(T.cell(F.col("cells"), 1)).alias("c"))
     return d.select("doc_id", "c.*")
 
 
@@ -218,7 +231,7 @@ def grade_blocks(spark, sf):
     from recordloom.functions.grammar import SPECIALTIES_BY_JOB
 
     specs = [x for xs in SPECIALTIES_BY_JOB.values() for x in xs]
-    return _front_text(spark, sf, 2, 4).select("doc_id", R.grade_blocks(F.col("text"), list(SPECIALTIES_BY_JOB), specs).alias("g")).select("doc_id", "g.*")
+    return _front_text(spark, sf, "grade").select("doc_id", R.grade_blocks(F.col("text"), list(SPECIALTIES_BY_JOB), specs).alias("g")).select("doc_id", "g.*")
 
 
 @query("workplace_cells", duck("""select doc_id, 0 as pair_no, replace(left(p, 10), '.', '-') as start_date, replace(right(p, 10), '.', '-') as end_date, case when contains(c, '새건설') then maker else '' end as previous, case when contains(c, '새건설') then regexp_extract(c, '(새건설[0-9]+\\(주\\))$', 1) else maker end as current
@@ -234,21 +247,21 @@ def workplace_cells(spark, sf):
  from (select doc_id, cells[1] as p, cells[2] as c, regexp_extract(cells[2], '^(건설[0-9]+\\(주\\))', 1) as maker, case when contains(cells[2], '現') then 0 when contains(cells[2], '흡수') then 1 else 2 end as m from front where row_no = 17)""", "front"))
 def inline_workplaces(spark, sf):
     """Ranges with companies in running text."""
-    d = feeds.front_rows(spark, sf).where("row_no = 17").select("doc_id", F.concat_ws(" ", T.cell(F.col("cells"), 0), T.cell(F.col("cells"), 1)).alias("text"))
+    d = front_section(spark, sf, "workplace").select("doc_id", F.concat_ws(" ", T.cell(F.col("cells"), 0), T.cell(F.col("cells"), 1)).alias("text"))
     return R.inline_workplaces(d, "text", ["doc_id"])
 
 
 @query("award_lines", duck("""select doc_id, 1::bigint as island, replace(d, '.', '-') as award_date, '국토교통부' as institution, case when contains(i, '표창장') and not starts_with(k, '표창장[') then '표창장 ' || k else k end as kind from (select doc_id, cells[2] as d, cells[3] as i, cells[4] as k from front where row_no = 13)""", "front"))
 def award_lines(spark, sf):
     """Award rows from text lines, torn over two lines."""
-    d = feeds.front_rows(spark, sf).where("row_no = 13").select("doc_id", F.posexplode(F.array(F.concat_ws(" ", T.cell(F.col("cells"), 1), T.cell(F.col("cells"), 2)), T.cell(F.col("cells"), 3))).alias("line_no", "line"))
+    d = front_section(spark, sf, "award").select("doc_id", F.posexplode(F.array(F.concat_ws(" ", T.cell(F.col("cells"), 1), T.cell(F.col("cells"), 2)), T.cell(F.col("cells"), 3))).alias("line_no", "line"))
     return R.award_lines(d, ["doc_id"])
 
 
-@query("award_line_count", duck("select doc_id, cast(case when count(*) filter (d) > 0 then count(*) filter (d) when count(*) filter (contains(l, '해당없음')) > 0 then 1 else 0 end as bigint) as n from (select doc_id, l, regexp_matches(l, '^[0-9]{4}\\.[0-9]{2}\\.[0-9]{2}') and not contains(l, '~') as d from (select doc_id, array_to_string(list_filter(cells, lambda c: c <> ''), ' ') as l from front where row_no between 12 and 16)) group by 1", "front"))
+@query("award_line_count", duck("select doc_id, cast(case when count(*) filter (d) > 0 then count(*) filter (d) when count(*) filter (contains(l, '해당없음')) > 0 then 1 else 0 end as bigint) as n from (select doc_id, l, regexp_matches(l, '^[0-9]{4}\\.[0-9]{2}\\.[0-9]{2}') and not contains(l, '~') as d from (select doc_id, array_to_string(list_filter(cells, lambda c: c <> ''), ' ') as l from front where row_no between 12 and 13)) group by 1", "front"))
 def award_line_count(spark, sf):
     """R35."""
-    d = feeds.front_rows(spark, sf).where("row_no between 12 and 16").select("doc_id", T.joined(F.col("cells")).alias("line"))
+    d = front_section(spark, sf, "award", True).select("doc_id", T.joined(F.col("cells")).alias("line"))
     return R.award_line_count(d, ["doc_id"])
 
 

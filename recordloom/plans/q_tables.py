@@ -324,7 +324,9 @@ def split_cells(spark, sf):
  union all select doc_id, page_no, row_no, 1, trim(cells[3]), trim(cells[4]) from front where row_no = 17 and trim(cells[3]) <> ''""", "front"))
 def two_halves(spark, sf):
     """T20."""
-    d = feeds.front_rows(spark, sf).where("row_no = 17").select("doc_id", "page_no", "row_no", *[T.cell(F.col("cells"), i).alias(f"c{i}") for i in range(4)])
+    from recordloom.plans.q_records import front_section
+
+    d = front_section(spark, sf, "workplace").select("doc_id", "page_no", "row_no", *[T.cell(F.col("cells"), i).alias(f"c{i}") for i in range(4)])
     return T.two_halves(d, ["c0", "c1"], ["c2", "c3"], ["period", "company"])
 
 
