@@ -219,11 +219,14 @@ def drop_contained(df: DataFrame, keys: Sequence[str], text: str, gram: int = 6)
     return d.join(gone, [*keys, "_c"], "left_anti").select(*df.columns)
 
 
-def strip_suffix_bleed(df: DataFrame, keys: Sequence[str], row: str, text: str, min_len: int = 12) -> DataFrame:
+def strip_suffix_bleed(df: DataFrame, keys: Sequence[str], row: str, text: str, min_len: int = 12, passes: int = 1) -> DataFrame:
     """Cut another row's whole text off the end, the longest such text, if the rest ends with a bracket.
 
-    Suffixes are exploded, so the match is an equality join.
+    Suffixes are exploded, so the match is an equality join.  A second pass cuts
+    what only the first pass's shorter texts show.
     """
+    if passes > 1:
+        df = strip_suffix_bleed(df, keys, row, text, min_len, passes - 1)
     d = df.withColumn("_c", compact(F.col(text)))
     suff = d.select(*keys, row, text, "_c", F.explode(F.sequence(F.lit(2), F.greatest(F.length("_c") - min_len + 1, F.lit(2)))).alias("_i"))
     suff = suff.select(*keys, row, text, (F.col("_i") - 1).alias("_keep"), F.expr("substring(_c, _i)").alias("_s")).where(F.length("_s") >= min_len)

@@ -67,8 +67,8 @@ _BLEED = """select doc_id, rec_idx as seq, case note when '1-URGENT' then concat
 @query("suffix_bleed", duck("""select a.doc_id, a.seq, case when note = '3-MEDIUM' and two then '훈장[행정안전부장관상]' when note = '3-MEDIUM' and one then '훈장[행정안전부장관상] 감사장[서울특별시]' when note = '2-HIGH' and one then '감사장[서울특별시]' else kind end as kind
  from (select aw.*, note, page_no % 3 as k, bool_or(note = '1-URGENT') over (partition by aw.doc_id, page_no % 3) as one, bool_or(note = '2-HIGH') over (partition by aw.doc_id, page_no % 3) as two from aw join careers on seq = rec_idx) a""", "careers", extra={"aw": _BLEED}))
 def suffix_bleed(spark, sf):
-    """One pass (the certificate flow applies it twice)."""
-    return D.strip_suffix_bleed(spark.sql(_BLEED.replace("from careers", "from {c}"), c=feeds.career_records(spark, sf)), ["doc_id"], "seq", "kind")
+    """Two passes."""
+    return D.strip_suffix_bleed(spark.sql(_BLEED.replace("from careers", "from {c}"), c=feeds.career_records(spark, sf)), ["doc_id"], "seq", "kind", passes=2)
 
 
 _CUST = """select c_custkey as doc_id, i as seq, concat('20', lpad(cast((c_custkey + i * 7) % 20 as string), 2, '0'), '-0', cast(1 + i as string), '-05') as award_date,
