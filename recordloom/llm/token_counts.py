@@ -19,7 +19,7 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _CUT = re.compile(r"(?<=[!-~]) (?=[!-~])")
 _PATTERN = plain_pattern(PRE_TOKEN)
 CACHE_ENTRIES = 1_000_000
-FIT_ROWS, FIT_BYTES, FREQUENT = 2_000, 1 << 23, 1 << 15
+FIT_ROWS, FIT_CHARS, FREQUENT = 2_000, 4_096, 1 << 15
 
 _WORKERS: dict[str, "Encoder"] = {}
 
@@ -75,24 +75,17 @@ def encoder(path: str) -> Encoder:
 
 
 def frequent_lengths(docs: DataFrame, text: str, path: str) -> dict[str, int]:
-    """At most ``FREQUENT`` pre-tokens with their lengths, from ``FIT_ROWS`` rows and ``FIT_BYTES`` of text.
+    """At most ``FREQUENT`` pre-tokens with their lengths, from the first ``FIT_CHARS`` characters of ``FIT_ROWS`` rows.
 
-    It decides only where a length is looked up, never what it is.
+    It decides only where a length is looked up, never what it is.  The rows come
+    from the first partitions that have them; no other partition is read.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, seen, left = encoder(path), Counter(), FIT_BYTES
-        for b in pieces_of(batches, 0, 1 << 20):
-            for raw in b.column(0).to_pylist() if left > 0 else ():
-                t = (raw or b"").decode("utf-8", "replace")
-                left -= len(raw or b"")
-                if SAFE.fullmatch(t) and left > 0:
-                    seen.update(p for p in enc.pieces(t)[1] if len(p) <= 64)
-        top = [p for p, _ in seen.most_common(FREQUENT)]
-        yield pa.RecordBatch.from_arrays([pa.array(top, pa.string()), pa.array([enc[p] for p in top], pa.int32())], ["piece", "n"])
-
-    rows = take(docs, text).select(F.col(text).cast("binary").alias("raw")).limit(FIT_ROWS).mapInArrow(run, "piece string, n int")
-    return {r["piece"]: r["n"] for r in rows.limit(FREQUENT).collect()}
+    rows = take(docs, text).select(F.substring(text, 1, FIT_CHARS).alias("t")).limit(FIT_ROWS).collect()
+    enc, seen = Encoder(path), Counter()
+    for r in rows:
+        if r["t"] and SAFE.fullmatch(r["t"]):
+            seen.update(p for p in enc.pieces(r["t"])[1] if len(p) <= 64)
+    return {p: enc[p] for p, _ in seen.most_common(FREQUENT)}
 
 
 def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", limit: int = 1024) -> DataFrame:
