@@ -1,4 +1,4 @@
-"""Sources and sinks on the driver's tables."""
+"""Sources and sinks on the driver's tables."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from recordloom.operators import sinks as K
 from recordloom.plans import feeds
 from recordloom.plans.feeds import duck, table
 from recordloom.plans.registry import query
+from recordloom.session import run_folder
 from recordloom.sources import catalogs as CT
 from recordloom.sources import documents as SD
 
@@ -92,3 +93,63 @@ def work_type_catalog(spark, sf):
     tree = F.array(F.struct(F.col("p_brand").alias("mainCategory"), F.array(F.struct(
         F.col("p_type").alias("subCategory"), F.array(F.struct(F.col("p_name").alias("detailCategory"))).alias("detailCategories"))).alias("subCategories")))
     return CT.work_types(p.select(F.to_json(tree).alias("json")))
+
+
+@query("page_source", duck("select cast(doc_id as varchar) as doc_id, cast(page_no as int) as page_no, text from career_pages", "career_pages"))
+def page_source(spark, sf):
+    """S3: page texts written, and read with the explicit schema."""
+    path = run_folder(spark, "pages")
+    feeds.career_pages(spark, sf).select(F.col("doc_id").cast("string"), F.col("page_no").cast("int"), "text").write.parquet(path)
+    return SD.page_text(spark, path)
+
+
+@query("manifest", "select distinct source, true as sized from documents")
+def manifest(spark, sf):
+    """A folder per source; names and lengths of the files are listed, nothing is read."""
+    path = run_folder(spark, "files")
+    table(spark, sf, "documents").select("source", "doc_id", "text").write.partitionBy("source").parquet(path)
+    m = SD.manifest(spark, path, "*.parquet", recursive=True)
+    return m.groupBy(F.regexp_extract("path", r"source=([^/]+)/", 1).alias("source")).agg((F.min("length") > 0).alias("sized"))
+
+
+@query("reload_results", duck("""select cast(doc_id as varchar) as doc_id, cast(row_number() over (partition by doc_id order by rec_idx) - 1 as int) as rec_idx, project_name, issuer, work_type, start_date, end_date, position, overview from careers""", "careers"))
+def reload_results(spark, sf):
+    """One JSON object per document written, read again with the explicit schema, sections back to rows."""
+    from recordloom import schema as SC
+
+    path = run_folder(spark, "results")
+    c = feeds.career_records(spark, sf)
+    fields = [F.col(f).cast("string").alias(f) if f in c.columns else F.lit(None).cast("string").alias(f) for f in SC.RECORD_FIELDS]
+    g = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("rec_idx", F.struct(*fields).alias("r")))).alias("t"))
+    g.select(F.col("doc_id").cast("string").alias("doc_id"), F.transform("t", lambda x: x["r"]).alias("tech")).write.json(path)
+    root = SD.reload_results(spark, path).where("_corrupt_record is null")
+    return SD.section_rows(root, "tech").select("doc_id", "rec_idx", "project_name", "issuer", "work_type", "start_date", "end_date", "position", "overview")
+
+
+@query("token_config", duck("select rec_idx, coalesce(position in ('부장', '과장', '감리원'), false) as is_position from careers", "careers"))
+def token_config(spark, sf):
+    """Position words from a configuration, with extra ones, used on every record."""
+    from recordloom.functions.grammar import is_position
+
+    words = CT.words_from_config({"table_col3_position_tokens": ["부장", " 과장 ", "", 7], "issuer_position_extra_tokens": ["감리원"], "unknown": ["x"]})
+    return feeds.career_records(spark, sf).select("rec_idx", F.coalesce(is_position(F.col("position"), words), F.lit(False)).alias("is_position"))
+
+
+@query("licence_names", "select distinct replace(p_name, ' ', '') as name from part where p_name <> ''")
+def licence_names(spark, sf):
+    """A list file with a header line."""
+    path = run_folder(spark, "names")
+    table(spark, sf, "part").select(F.col("p_name").alias("name"), "p_brand").write.option("header", True).csv(path)
+    return CT.licence_names(spark, path)
+
+
+@query("write_sections", duck("""select 'tech' as section, cast(rec_idx as varchar) as id from careers union all select 'labels_quality', cast(doc_id as varchar) from labels union all select 'errors', cast(doc_id as varchar) from labels where quality = 0""", "careers"))
+def write_sections(spark, sf):
+    """A folder per section, errors last; read back."""
+    path = run_folder(spark, "sections")
+    labels = table(spark, sf, "labels")
+    parts = {"tech": feeds.career_records(spark, sf).select(F.col("rec_idx").cast("string").alias("id")), "labels/quality": labels.select(F.col("doc_id").cast("string").alias("id"))}
+    K.write_sections(parts, labels.where("quality = 0").select(F.col("doc_id").cast("string").alias("id")), path)
+    names = {**K.sheet_names(list(parts)), "errors": "errors"}
+    out = [spark.read.parquet(f"{path}/{n}").select(F.lit(n).alias("section"), "id") for n in names.values()]
+    return out[0].unionAll(out[1]).unionAll(out[2])
