@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
@@ -13,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_DIR: dict[str, str] = {}
+from recordloom.session import run_folder
 
 
 def reach(spark: SparkSession) -> None:
@@ -49,28 +47,10 @@ def row_key(row_id: Column, text: Column) -> list[Column]:
     return [F.xxhash64(row_id, text).alias("_k1"), F.xxhash64(F.lit("row"), text, row_id).alias("_k2")]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one where that is unset in local mode, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.sparkContext.master
-    if not (master == "local" or master.startswith("local[")):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIR:
-        _LOCAL_DIR[app] = tempfile.mkdtemp(prefix="spark-")
-    return "file://" + _LOCAL_DIR[app]
-
-
-def shared_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/recordloom-{tag}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: lineage is cut, no executor holds the only copy."""
     spark = df.sparkSession
-    path = shared_path(spark, tag)
+    path = run_folder(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -16,7 +16,7 @@ from recordloom.llm.common import pieces_of, positional, take, written
 U = np.uint64
 WINDOW = 5
 MIN_LITERALS = 3
-MIN_COVERAGE = 0.5
+MIN_COVERAGE = 0.4
 MIN_CONSISTENCY = 0.8
 #: Benchmark windows that are broadcast at most (16 bytes each); beyond, windows of all texts meet in a shuffle join.
 BROADCAST_WINDOWS = 1 << 20

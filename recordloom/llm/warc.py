@@ -20,7 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm.common import pieces_of, shared_path, take, written
+from recordloom.llm.common import pieces_of, take, written
+from recordloom.session import run_folder
 
 MAGIC = b"\x1f\x8b\x08"
 BLOCK = 1 << 20
@@ -250,5 +251,5 @@ def read_warc(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
 
 def archive(pages: DataFrame, tag: str = "warc", **columns: str) -> tuple[str, DataFrame]:
     """Write pages as archives in the shared folder: the folder and the manifest."""
-    folder = shared_path(pages.sparkSession, tag)
+    folder = run_folder(pages.sparkSession, tag)
     return folder, write_warc(mark_revisits(pages, **columns), folder)
