@@ -26,6 +26,17 @@ def fill_from_fallback(primary: DataFrame, fallback: DataFrame, keys: Sequence[s
     return p.join(q, list(keys), "full").select(*keys, *[fill_empty(F.col(f"_p_{f}"), F.col(f"_q_{f}")).alias(f) for f in fields])
 
 
+def union_on_key(primary: DataFrame, fallback: DataFrame, key: Sequence[str]) -> DataFrame:
+    """List fields of two sources: all primary rows, then the fallback rows whose full key no primary row has.
+
+    Keys are compared without blanks, nulls as blank; of fallback rows with one key one stays.
+    """
+    norm = {f"_u{i}": compact(F.coalesce(F.col(k).cast("string"), F.lit(""))) for i, k in enumerate(key)}
+    have = primary.select(*[c.alias(n) for n, c in norm.items()]).distinct()
+    more = fallback.withColumns(norm).join(have, list(norm), "left_anti").dropDuplicates(list(norm)).select(*fallback.columns)
+    return primary.unionByName(more, allowMissingColumns=True)
+
+
 def fallback_only(primary: DataFrame, fallback: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Fallback rows only for documents the primary source left empty."""
     have = primary.select(*keys).distinct()

@@ -103,6 +103,20 @@ def fill_empty_merge(spark, sf):
     return M.fill_from_fallback(spark.sql(_A.replace("from customer", "from {c}"), c=c), spark.sql(_B.replace("from customer", "from {c}"), c=c), ["doc_id"], ["name", "address"])
 
 
+_U1 = "select doc_id, start_date, end_date, project_name, 'table' as src from careers where rec_idx % 3 <> 0"
+_U2 = "select doc_id, start_date, end_date, case when rec_idx % 2 = 0 then concat(project_name, ' ') else project_name end as project_name, 'text' as src from careers where rec_idx % 5 <> 1"
+
+
+@query("list_union", duck("""select doc_id, start_date, end_date, replace(project_name, ' ', '') as name, src from u1 union all select doc_id, start_date, end_date, n, 'text' from (
+ select distinct doc_id, start_date, end_date, replace(project_name, ' ', '') as n from u2) u where not exists (select 1 from u1 where u1.doc_id = u.doc_id and u1.start_date = u.start_date and u1.end_date = u.end_date and replace(u1.project_name, ' ', '') = u.n)""", "careers", extra={"u1": _U1, "u2": _U2}))
+def list_union(spark, sf):
+    """List fields, table rows first, text rows by their full key."""
+    c = feeds.career_records(spark, sf)
+    a, b = (spark.sql(x.replace("from careers", "from {careers}"), careers=c) for x in (_U1, _U2))
+    d = M.union_on_key(a, b, ["doc_id", "start_date", "end_date", "project_name"])
+    return d.select("doc_id", "start_date", "end_date", F.replace("project_name", F.lit(" "), F.lit("")).alias("name"), "src")
+
+
 @query("fallback_anti", duck("select doc_id, name from a union all select doc_id, name from b where doc_id not in (select doc_id from a)", extra={"a": _A, "b": _B}))
 def fallback_anti(spark, sf):
     """J11."""
