@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.common import pieces_of, positional, take, written
 
-#: Labelled documents that the document classifier is fitted on at most.
+#: Labelled documents that the document classifier is fitted on, about; all if there are fewer.
 FIT_ROWS = 20_000
 EVIDENCE_LIMIT = 12.0
 POSTERIOR_FLOOR = 0.02
@@ -96,8 +96,8 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: str, path: list[str],
     """Rows ``doc_id, host, path, evidence, site, score, kept``, one per row of ``docs``.
 
     ``host`` is a column, ``path`` columns below it.  ``evidence`` is the document
-    classifier's log-odds against the global rate, fitted on ``FIT_ROWS`` labelled
-    rows at most, drawn by hash.  A document counts as good by its label, or by its
+    classifier's log-odds against the global rate, fitted on about ``FIT_ROWS``
+    labelled rows, drawn by hash.  A document counts as good by its label, or by its
     classifier's probability where it has none.  ``site`` is the path's posterior
     without the document itself; ``score`` joins both, and ``kept`` is 0.5 or more.
 
@@ -113,7 +113,9 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: str, path: list[str],
                     F.xxhash64(i, t, sep).alias("k"), t.alias("text"))
     marked = take(labels, doc_id, label).toDF("doc_id", "y").where("doc_id is not null and y is not null").groupBy("doc_id").agg(F.avg(F.col("y").cast("double")).alias("y"))
     f = written(with_shape(rows, "text").join(marked, "doc_id", "left"), "shape")
-    sample = f.where("y is not null").select("x", "y", "k").orderBy("k").limit(FIT_ROWS).collect()
+    known = f.where("y is not null")
+    share = min(1.0, FIT_ROWS / max(known.count(), 1))
+    sample = known.where(F.pmod("k", F.lit(1 << 30)) < int(share * (1 << 30))).select("x", "y").collect()
     if sample:
         x, y = np.array([r.x for r in sample]), np.array([r.y for r in sample])
         prior = float(np.clip(y.mean(), 0.01, 0.99))
