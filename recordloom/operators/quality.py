@@ -169,3 +169,22 @@ def expected_counts(lines: DataFrame) -> DataFrame:
     d = running(d, ["doc_id"], ["page_chunk", "page_no"], ["line_no"], [Running("_in", "last", "_f")])
     hits = F.regexp_count(line, F.lit(r"(기사|기술사|산업기사|기능사|기능장).*?\d{4}\.\d{2}\.\d{2}"))
     return d.groupBy("doc_id").agg(F.sum(F.when(F.col("_in") & F.col("_f").isNull(), hits).otherwise(0)).cast("bigint").alias("n"))
+
+
+# What one row of a front-page section looks like.
+EXPECTED_ROWS = {
+    "training": r"\d{4}\.\d{2}\.\d{2}\s*~\s*\d{4}\.\d{2}\.\d{2}",
+    "workplace": r"\d{4}\.\d{2}\.\d{2}\s*~",
+    "license": r"(기사|기술사|산업기사|기능사|기능장).*?\d{4}\.\d{2}\.\d{2}",
+    "award": r"^\s*\d{4}\.\d{2}\.\d{2}(?!\s*~)",
+}
+
+
+def expected_front_counts(lines: DataFrame, doc: str = "doc_id", section: str = "section", line: str = "line") -> DataFrame:
+    """Rows that each front-page section should yield, counted by pattern on lines that know their section: one row per document.
+
+    Every document of ``lines`` gets a row; sections without a hit count 0.  Career
+    sections are counted by their ``~`` lines (``section_totals``).
+    """
+    hits = {s: F.sum(F.when(F.col(section) == s, F.regexp_count(F.col(line), F.lit(p))).otherwise(0)).cast("bigint") for s, p in EXPECTED_ROWS.items()}
+    return lines.groupBy(doc).agg(*[c.alias(f"n_{s}") for s, c in hits.items()])

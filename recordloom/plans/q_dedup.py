@@ -234,3 +234,20 @@ def expected_licences(spark, sf):
 
     d = feeds.front_rows(spark, sf).select("doc_id", "page_no", F.col("row_no").alias("line_no"), F.replace(joined(F.col("cells")), F.lit("\n"), F.lit(" ")).alias("line"))
     return Q.expected_counts(d)
+
+
+_D10 = "[0-9]{4}\\.[0-9]{2}\\.[0-9]{2}"
+
+
+@query("expected_sections", duck(f"""select doc_id, cast(sum(case when row_no in (10, 11) then len(regexp_extract_all(line, '{_D10}\\s*~\\s*{_D10}')) else 0 end) as bigint) as n_training,
+ cast(sum(case when row_no = 17 then len(regexp_extract_all(line, '{_D10}\\s*~')) else 0 end) as bigint) as n_workplace,
+ cast(sum(case when row_no in (5, 6) then len(regexp_extract_all(line, '(기사|기술사|산업기사|기능사|기능장).*?{_D10}')) else 0 end) as bigint) as n_license,
+ cast(sum(case when row_no = 13 and regexp_matches(line, '^{_D10}') then 1 else 0 end) as bigint) as n_award
+ from (select doc_id, row_no, replace(array_to_string(list_filter(cells, lambda c: c <> ''), ' '), chr(10), ' ') as line from front) group by doc_id""", "front"))
+def expected_sections(spark, sf):
+    """A4: the front-page sections counted a second way, on the rows that the section machine assigns."""
+    from recordloom.operators import sections as S
+    from recordloom.operators.tables import joined
+
+    d = feeds.front_rows(spark, sf).withColumn("line", F.replace(joined(F.col("cells")), F.lit("\n"), F.lit(" ")))
+    return Q.expected_front_counts(S.section_states(d, "line", "row_no"))
