@@ -449,12 +449,18 @@ def training_row(text: Column) -> Column:
     return F.when(s.rlike(pat), let(F.struct(F.regexp_extract(s, pat, 1).alias("s"), F.regexp_extract(s, pat, 2).alias("e"), body.alias("body")), read))
 
 
-def line_islands(lines: DataFrame, start: Column, keys: Sequence[str], order: str = "line_no", sep: str = " ") -> DataFrame:
-    """Lines from each ``start`` line to the next, joined; lines before the first start are dropped."""
+def _glue_open(texts: Column) -> Column:
+    """Texts joined with blanks; behind an open square bracket without any, and without those before it."""
+    is_open = lambda a: count_char(a, "[") > count_char(a, "]")
+    return F.aggregate(texts, F.lit(""), lambda a, x: F.when(a == "", x).when(is_open(a), F.concat(compact(a), compact(x))).otherwise(F.concat(a, F.lit(" "), x)))
+
+
+def line_islands(lines: DataFrame, start: Column, keys: Sequence[str], order: str = "line_no", sep: str = " ", join=None) -> DataFrame:
+    """Lines from each ``start`` line to the next, joined by ``sep`` or by ``join``; lines before the first start are dropped."""
     w = Window.partitionBy(*keys).orderBy(order)
     d = lines.withColumn("_g", F.sum(start.cast("int")).over(w)).where("_g > 0")
     g = d.groupBy(*keys, "_g").agg(F.array_sort(F.collect_list(F.struct(order, "line"))).alias("r"))
-    return g.select(*keys, F.col("_g").cast("bigint").alias("island"), F.array_join(F.transform("r", lambda x: x["line"]), sep).alias("text"))
+    return g.select(*keys, F.col("_g").cast("bigint").alias("island"), (join(F.transform("r", lambda x: x["line"])) if join else F.array_join(F.transform("r", lambda x: x["line"]), sep)).alias("text"))
 
 
 def penalty_points(cell: Column) -> Column:
@@ -583,12 +589,19 @@ def inline_workplaces(df: DataFrame, text: str, keys: Sequence[str], markers: Se
 
 
 def award_lines(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Award rows of a text section: islands at date lines that are no ranges, split at the earliest award kind."""
+    """Award rows of a text section: islands at date lines that are no ranges, split at the earliest award kind.
+
+    The header line is skipped, a leading 상훈 taken off, and a penalty line that says
+    해당없음 ends the section.  While a bracket is open, lines are joined without blanks.
+    """
     from recordloom.operators.dedup import award_kind_position, normalize_award_text
 
     line = F.col("line")
     start = line.rlike(r"^\d{4}\.\d{2}\.\d{2}") & ~F.contains(line, F.lit("~"))
-    d = line_islands(lines, start, keys)
+    w = Window.partitionBy(*keys).orderBy("line_no")
+    lines = lines.withColumn("line", F.regexp_replace("line", r"^\s*상훈\s+(?=\d{4}\.)", "")).where(~(F.contains("line", F.lit("수여일")) & F.contains("line", F.lit("수여기관"))))
+    lines = lines.withColumn("_end", F.max(F.col("line").rlike(r"^\s*벌점\s*[*＊]?\s*해당없음\s*[*＊]?\s*$").cast("int")).over(w)).where("_end = 0").drop("_end")
+    d = line_islands(lines, start, keys, join=_glue_open)
     body = F.trim(F.substr("text", F.lit(11)))
     pos = award_kind_position(body)
     return d.select(*keys, "island", date_to_iso(F.substring("text", 1, 10), "passthrough").alias("award_date"),

@@ -254,7 +254,11 @@ def inline_workplaces(spark, sf):
 @query("award_lines", duck("""select doc_id, 1::bigint as island, replace(d, '.', '-') as award_date, '국토교통부' as institution, case when contains(i, '표창장') and not starts_with(k, '표창장[') then '표창장 ' || k else k end as kind from (select doc_id, cells[2] as d, cells[3] as i, cells[4] as k from front where row_no = 13)""", "front"))
 def award_lines(spark, sf):
     """Award rows from text lines, torn over two lines."""
-    d = front_section(spark, sf, "award").select("doc_id", F.posexplode(F.array(F.concat_ws(" ", T.cell(F.col("cells"), 1), T.cell(F.col("cells"), 2)), T.cell(F.col("cells"), 3))).alias("line_no", "line"))
+    d = front_section(spark, sf, "award").select("doc_id", F.concat_ws(" ", T.cell(F.col("cells"), 1), T.cell(F.col("cells"), 2)).alias("a"), T.cell(F.col("cells"), 3).alias("b"))
+    # header, a first line with the section's name, the kind torn inside its bracket, and what stands behind the penalty line
+    torn = ~F.contains("a", F.lit("표창장"))
+    parts = F.array(F.lit("상훈 수여일 수여기관 종류 및 근거"), F.concat(F.lit("상훈 "), F.col("a")), F.when(torn, F.regexp_extract("b", r"^([^\[]*\[?.?)", 1)).otherwise(F.col("b")), F.when(torn, F.regexp_extract("b", r"^[^\[]*\[?.?(.*)$", 1)).otherwise(""), F.lit("벌점 해당없음"), F.lit("2001.01.01 나중 표창장[제9호]"))
+    d = d.select("doc_id", F.posexplode(F.filter(parts, lambda x: x != "")).alias("line_no", "line"))
     return R.award_lines(d, ["doc_id"])
 
 
