@@ -26,7 +26,7 @@ U = np.uint64
 WINDOW = 400
 GRAM = 32
 #: Bytes of segments in one index, and different segments of one anchor in it; an anchor with more is counted window by window.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 ANCHOR_LIMIT = 4096
 STRIPE = 1 << 20
 
