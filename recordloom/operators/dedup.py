@@ -132,6 +132,7 @@ def lcs_length(a: Column, b: Column) -> Column:
 
 def normalize_award_text(c: Column) -> Column:
     """Award kind and reason: section label, torn numbers, text before the kind, doubled blocks, repeated tails, open bracket."""
+    # The section's name in the text; a number torn behind its dash; a lost first word; a doubled kind.
     def start(t: Column) -> Column:
         t = F.regexp_replace(t, r"(?U)\b상훈\b", " ")
         t = F.regexp_replace(t, r"(제\s*\d+\s*[-–]\s*\d+)\s+(\d+\s*호)", "$1$2")

@@ -131,6 +131,7 @@ def corpus_summary(counts: DataFrame, checks: DataFrame, sections: Sequence[str]
 def trusted_pages(rows: DataFrame, keys: Sequence[str] = ("doc_id", "page_no"), ratio: float = 0.7) -> DataFrame:
     """Template results to trust: 70 % complete rows and few contaminated names."""
     full = ~is_blank(F.col("project_name")) & ~is_blank(F.col("start_date")) & ~is_blank(F.col("end_date"))
+    # What a name must not hold (a range mark, day counts, dates).
     dirty = F.col("project_name").rlike(r"(^|\s)~|\(\s*\d[\d,]*\s*일\s*\)|\d{4}\.\d{2}\.\d{2}")
     g = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(full).alias("complete"), F.count_if(dirty).alias("dirty"))
     return g.withColumn("trusted", (F.col("n") > 0) & (F.col("complete") / F.col("n") >= ratio) & (F.col("dirty") <= F.greatest(F.lit(1), F.floor(F.col("n") / 6))))

@@ -365,6 +365,7 @@ def personal_info(text: Column, pivot_yy: int) -> Column:
     return let(squeeze(text), read)
 
 
+# Fixed value: a licence row of the form (kind ending, date, number).
 LICENCE_ROW = r"([가-힣A-Za-z0-9·ㆍ()\-/ ]+?(?:기사|산업기사|기능사|기술사|기능장))\s+(\d{4}\.\d{2}\.\d{2})(?:\s+([A-Z0-9\-]{4,}|\d{4,}|\S+))?"
 
 
@@ -388,6 +389,7 @@ def infer_licence_number(df: DataFrame, all_text: str, name: str, date: str, num
     return df.join(best, list(keys), "left").withColumn(number, F.when(is_blank(F.col(number)), F.coalesce("_best", F.lit(""))).otherwise(F.col(number))).drop("_best")
 
 
+# Fixed value: degrees as the form prints them.
 EDU_KIND = "(?:학사|석사|박사과정|박사수료|박사|없음|대졸|전문졸업|전문|고졸|중졸|초졸|석·박|본\\s*석사|본석사)"
 
 
@@ -410,6 +412,7 @@ def education_row(text: Column) -> Column:
     return F.when(g(1) != "", let(F.struct(g(1).alias("d"), g(2).alias("body"), g(3).alias("deg"), g(4).alias("st")), read))
 
 
+# Recognition words and the endings of training institutions.
 RECOGNITIONS = ["건설사업관리", "설계·시공", "품질관리"]
 ORG_SUFFIX = "(교육원|협회|공단|공사|연구원|센터|연수원|재단|학회|진흥원|대학교|대학|전문학교|캠퍼스)$"
 

@@ -435,7 +435,7 @@ def is_measure_piece(text: Column) -> Column:
     return (F.length(t) <= 48) & u.rlike(r"(?i)^\d+(\.\d+)?(㎥|㎡|%|개소외?|km|m|/min|[a-z]+)$")
 
 
-# Slot hints: which of the four block rows may own column j, and the tie order per column.
+# Fixed values. Slot hints: which of the four block rows may own column j, and the tie order per column.
 _SLOT_HINTS = [[0, 1, 3, 4, 5], [1, 2, 3, 4], [1, 3, 4], [1, 2, 3, 4]]
 _SLOT_ORDER = {1: [2, 1, 0, 3], 2: [1, 3, 2, 0], 3: [1, 2, 3, 0], 4: [0, 1, 2, 3]}
 

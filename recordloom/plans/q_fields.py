@@ -58,24 +58,24 @@ def birth_date(spark, sf):
 
 
 _P_FULL = "regexp_extract_all(cell, '([0-9]{4}\\.[0-9]{2}\\.[0-9]{2})', 1)"
-_PERIOD_SQL = f"""select doc_id, page_no, row_no,
+_PERIOD_SQL = f"""select doc_id, page_no, attempt, table_no, row_no,
  case when len(ds) >= 1 then {_iso("replace(ds[1], '.', '-')")} else '' end as start_date,
  case when len(ds) >= 2 then {_iso("replace(ds[2], '.', '-')")} when contains(replace(s, ' ', ''), '근무중') then '근무중' else '' end as end_date,
  coalesce(days[1], '') as recog_days, coalesce(days[2], '') as part_days, cont
 from (select *, case when len(full_d) > 0 then full_d else list_transform(regexp_extract_all(s, '([0-9]{{4}}\\.[0-9]{{2}})', 1), lambda x: x || '.01') end as ds,
    list_transform(regexp_extract_all(s, '\\(\\s*([0-9][0-9,]*)\\s*일\\s*\\)', 1), lambda x: replace(x, ',', '')) as days
   from (select *, {_P_FULL} as full_d, contains(cell, '┖→') and len({_P_FULL}) = 0 as cont, trim(replace(cell, '┖→', ' ')) as s
-    from (select doc_id, page_no, row_no, cells[1] as cell from trows where attempt = 0 and table_no = 1 and row_no >= 4 and cells[1] <> '')))"""
+    from (select doc_id, page_no, attempt, table_no, row_no, cells[1] as cell from trows where cells[1] <> '')))"""
 
 
 @query("period_cell", duck(_PERIOD_SQL, "trows"))
 def period_cell(spark, sf):
-    """R1 R2 over every filled period cell of the career tables."""
-    rows = feeds.table_rows(spark, sf).where("attempt = 0 and table_no = 1 and row_no >= 4")
-    d = rows.select("doc_id", "page_no", "row_no", F.get("cells", F.lit(0)).alias("cell")).where("cell <> ''")
+    """R1 R2 over every filled first cell of every table and attempt."""
+    keys = ["doc_id", "page_no", "attempt", "table_no", "row_no"]
+    d = feeds.table_rows(spark, sf).select(*keys, F.get("cells", F.lit(0)).alias("cell")).where("cell <> ''")
     p = D.period_cell(F.col("cell"))
-    return d.select("doc_id", "page_no", "row_no", p.alias("p")).select(
-        "doc_id", "page_no", "row_no", F.col("p.start").alias("start_date"), F.col("p.end").alias("end_date"),
+    return d.select(*keys, p.alias("p")).select(
+        *keys, F.col("p.start").alias("start_date"), F.col("p.end").alias("end_date"),
         F.col("p.recog").alias("recog_days"), F.col("p.part").alias("part_days"), F.col("p.is_continuation").alias("cont"),
     )
 
