@@ -25,15 +25,19 @@ def date_blocks(spark, sf):
     return R.date_blocks(_content(spark, sf)).drop("line_no")
 
 
-@query("equal_blocks", duck("""select doc_id, page_no, min(rec_idx) as rec_idx, y, position, string_agg(name, '|' order by f) as names, max(c) > 1 as merged from (
- select doc_id, page_no, g, y, position, name, min(rec_idx) as f, min(m) as rec_idx, max(c) as c from (select *, min(rec_idx) over (partition by doc_id, page_no, g) as m, count(*) over (partition by doc_id, page_no, g) as c from (
-  select *, sum(nw) over (partition by doc_id, page_no order by rec_idx) as g from (select doc_id, page_no, rec_idx, left(start_date, 2) as y, position, project_name as name,
-   case when lag(left(start_date, 2)) over w = left(start_date, 2) and lag(resp) over w = resp then 0 else 1 end as nw from (select * replace (resp as position) from careers) window w as (partition by doc_id, page_no order by rec_idx)))) group by all) where true group by doc_id, page_no, g, y, position""", "careers"))
+_EB = """select doc_id, page_no, rec_idx * 2 + c as ord, start_date, end_date, recog_days, part_days, case when c = 1 then concat(project_name, '추가') else project_name end as name from careers {copies} where c = 0 or rec_idx % 3 = 0"""
+_SAME = " and ".join(f"lag({c}) over w = {c}" for c in ("start_date", "end_date", "recog_days", "part_days"))
+
+
+@query("equal_blocks", duck(f"""select doc_id, page_no, ord, start_date, end_date, recog_days, part_days, array_to_string(list_filter(l, lambda x: x <> ''), '|') as names, merged from (
+ select doc_id, page_no, g, min(ord) as ord, any_value(start_date) as start_date, any_value(end_date) as end_date, any_value(recog_days) as recog_days, any_value(part_days) as part_days, list(name order by ord) as l, count(*) > 1 as merged from (
+  select *, sum(nw) over (partition by doc_id, page_no order by ord) as g from (select *, case when {_SAME} then 0 else 1 end as nw from b window w as (partition by doc_id, page_no order by ord))) group by 1, 2, 3)""", "careers",
+    extra={"b": _EB.format(copies=", (values (0), (1)) v(c)")}))
 def equal_blocks(spark, sf):
-    """Runs of equal keys become one block with its distinct names."""
-    c = feeds.career_records(spark, sf).select("doc_id", "page_no", "rec_idx", F.substring("start_date", 1, 2).alias("y"), F.col("resp").alias("position"), F.col("project_name").alias("name"))
-    d = R.merge_equal_blocks(c, ["y", "position"], "name", "rec_idx")
-    return d.withColumn("names", F.when(F.size("names") > 0, F.array_join("names", "|")).otherwise(""))
+    """Runs of equal start, end and day counts become one block with its distinct names; every third record comes twice."""
+    c = spark.sql(_EB.format(copies="lateral view explode(array(0, 1)) v as c").replace("from careers", "from {careers}"), careers=feeds.career_records(spark, sf))
+    d = R.merge_equal_blocks(c, ["start_date", "end_date", "recog_days", "part_days"], "name", "ord")
+    return d.withColumn("names", F.array_join("names", "|"))
 
 
 @query("names_backward", duck("""select doc_id, page_no, case when k = 1 and status = 'O' then '분야별 참여기간 인정일' when k = 1 and status = 'P' then '2. 건설사업관리 및 감리경력' else '' end || name as name, case when h % 3 <> 0 then job end as job, case when h % 3 <> 0 then duty end as duty
