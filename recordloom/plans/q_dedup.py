@@ -15,13 +15,21 @@ from recordloom.plans.registry import query
 _REC = "select *, left(start_date, 7) || '-01' as month from careers"
 
 
-@query("dup_mark", duck("""select c.rec_idx, d.n is not null as dup, d.g as dup_group, d.n as dup_count from careers c left join (
- select *, row_number() over (partition by doc_id, section order by project_name, s, issuer) as g from (select doc_id, section, project_name, left(start_date, 4) as s, issuer, count(*) as n from careers where project_name <> '' and start_date <> '' and issuer <> '' group by all) where n >= 2) d
- on c.doc_id = d.doc_id and c.section = d.section and c.project_name = d.project_name and left(c.start_date, 4) = d.s and c.issuer = d.issuer""", "careers"))
+#: Every fourth record twice, every twentieth three times.
+_TWICE = "select * from careers {copies} where c = 0 or (c = 1 and rec_idx % 4 = 0) or (c = 2 and rec_idx % 20 = 0)"
+_DUCK_TWICE = {"twice": _TWICE.format(copies=", (values (0), (1), (2)) v(c)")}
+
+
+def _twice(spark, sf):
+    return spark.sql(_TWICE.format(copies="lateral view explode(array(0, 1, 2)) v as c").replace("from careers", "from {careers}"), careers=feeds.career_records(spark, sf))
+
+
+@query("dup_mark", duck("""select t.rec_idx, t.c, d.n is not null as dup, d.g as dup_group, d.n as dup_count from twice t left join (
+ select *, row_number() over (partition by doc_id, section order by project_name, start_date, end_date) as g from (select doc_id, section, project_name, start_date, end_date, count(*) as n from twice where project_name <> '' and start_date <> '' and end_date <> '' group by all) where n >= 2) d
+ on t.doc_id = d.doc_id and t.section = d.section and t.project_name = d.project_name and t.start_date = d.start_date and t.end_date = d.end_date""", "careers", extra=_DUCK_TWICE))
 def dup_mark(spark, sf):
-    """A7 by name, year and issuer."""
-    c = feeds.career_records(spark, sf).withColumn("year", F.substring("start_date", 1, 4))
-    return D.mark_duplicates(c, key=("project_name", "year", "issuer")).select("rec_idx", "dup", "dup_group", "dup_count")
+    """A7 by name, start and end."""
+    return D.mark_duplicates(_twice(spark, sf)).select("rec_idx", "c", "dup", "dup_group", "dup_count")
 
 
 _LIC = """select doc_id, rec_idx as seq, left(start_date, 7) || '-01' as pass_date, case note when '1-URGENT' then '토목기사' when '2-HIGH' then '기사' when '3-MEDIUM' then '토목 기사' else '측량기능사' end as name,
@@ -107,11 +115,11 @@ def award_none_row(spark, sf):
     return D.with_not_applicable(na, c.select(F.col("c_custkey").alias("doc_id")))
 
 
-@query("exact_dedup", duck("""select doc_id, start_date, end_date, issuer, arg_min(overview, rec_idx) as overview from (select doc_id, left(start_date, 4) as start_date, left(end_date, 4) as end_date, issuer, overview, rec_idx from careers) group by all""".replace("group by all", "group by doc_id, start_date, end_date, issuer"), "careers"))
+@query("exact_dedup", duck("select doc_id, start_date, end_date, issuer, arg_min(rec_idx * 3 + c, rec_idx * 3 + c) as ord, arg_min(overview, rec_idx * 3 + c) as overview from twice group by doc_id, start_date, end_date, issuer", "careers", extra=_DUCK_TWICE))
 def exact_dedup(spark, sf):
-    """A14."""
-    c = feeds.career_records(spark, sf).select("doc_id", F.substring("start_date", 1, 4).alias("start_date"), F.substring("end_date", 1, 4).alias("end_date"), "issuer", "overview", "rec_idx")
-    return D.first_per_key(c, ["doc_id", "start_date", "end_date", "issuer"], ["rec_idx"]).drop("rec_idx")
+    """A14 by start, end and issuer."""
+    t = _twice(spark, sf).select("doc_id", "start_date", "end_date", "issuer", "overview", (F.col("rec_idx") * 3 + F.col("c")).alias("ord"))
+    return D.first_per_key(t, ["doc_id", "start_date", "end_date", "issuer"], ["ord"])
 
 
 @query("completeness", duck("select * from (" + " union all ".join(f"select doc_id, section, rec_idx, '{f}' as field, 'empty' as error from careers where trim({f}) = ''" for f in Q.REQUIRED_FIELDS["tech"]) + ")", "careers"))
