@@ -239,6 +239,25 @@ def diff_counts(left: DataFrame, right: DataFrame, fields: Sequence[str], keys:
         F.count_if(F.col("e.diff") & F.col("e.same_text")).alias("space_diffs"))
 
 
+def section_equality(left: DataFrame, right: DataFrame, scope: Sequence[str], key: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """Per scope (a document's section): rows of either side, rows only one side has, rows that differ, whether all is equal, and the first odd row as example.
+
+    Rows pair by ``key``, which is unique in a scope; ``example`` is the smallest key
+    of a row that is missing or different, as text.
+    """
+    ids = [*scope, *key]
+    pack = lambda d, n: d.select(*ids, F.struct(*fields).alias(n))
+    j = pack(left, "_l").join(pack(right, "_r"), ids, "full")
+    a, b = F.col("_l").isNotNull(), F.col("_r").isNotNull()
+    diff = a & b & ~F.col("_l").eqNullSafe(F.col("_r"))
+    odd = ~(a & b) | diff
+    g = j.groupBy(*scope).agg(
+        F.count_if(a).alias("rows_left"), F.count_if(b).alias("rows_right"), F.count_if(a & ~b).alias("only_left"), F.count_if(b & ~a).alias("only_right"), F.count_if(diff).alias("different"),
+        F.min(F.when(odd, F.struct(*key))).alias("_e"))
+    return g.select(*scope, "rows_left", "rows_right", "only_left", "only_right", "different", F.col("_e").isNull().alias("equal"),
+                    F.concat_ws("|", *[F.col("_e")[k].cast("string") for k in key]).alias("example"))
+
+
 def crosscheck(values: DataFrame, pages: DataFrame, value: str, date: str | None = None, radius: int = 280, keys: Sequence[str] = PAGE) -> DataFrame:
     """Does the value occur, blanks ignored, in the page text, and within ``radius`` letters of its date."""
     d = values.join(pages.select(*keys, F.col("text").alias("_text")), list(keys), "left")

@@ -103,6 +103,21 @@ def fill_empty_merge(spark, sf):
     return M.fill_from_fallback(spark.sql(_A.replace("from customer", "from {c}"), c=c), spark.sql(_B.replace("from customer", "from {c}"), c=c), ["doc_id"], ["name", "address"])
 
 
+_S2 = "select doc_id, section, rec_idx + case when rec_idx % 61 = 0 then 1000000 else 0 end as rec_idx, project_name, case when rec_idx % 37 = 1 then concat(issuer, '!') else issuer end as issuer from careers where rec_idx % 50 <> 0"
+
+
+@query("section_equality", duck("""select coalesce(a.doc_id, b.doc_id) as doc_id, coalesce(a.section, b.section) as section, count(a.rec_idx) as rows_left, count(b.rec_idx) as rows_right, count(*) filter (b.rec_idx is null) as only_left, count(*) filter (a.rec_idx is null) as only_right,
+ count(*) filter (a.rec_idx is not null and b.rec_idx is not null and (a.issuer <> b.issuer or a.project_name <> b.project_name)) as different,
+ count(*) filter (a.rec_idx is null or b.rec_idx is null or a.issuer <> b.issuer or a.project_name <> b.project_name) = 0 as equal,
+ coalesce(cast(min(coalesce(a.rec_idx, b.rec_idx)) filter (a.rec_idx is null or b.rec_idx is null or a.issuer <> b.issuer or a.project_name <> b.project_name) as varchar), '') as example
+ from careers a full join s2 b on a.doc_id = b.doc_id and a.section = b.section and a.rec_idx = b.rec_idx group by 1, 2""", "careers", extra={"s2": _S2}))
+def section_equality(spark, sf):
+    """Whole sections of two result sets, with an example."""
+    c = feeds.career_records(spark, sf)
+    right = spark.sql(_S2.replace("from careers", "from {careers}"), careers=c)
+    return M.section_equality(c, right, ["doc_id", "section"], ["rec_idx"], ["project_name", "issuer"])
+
+
 _U1 = "select doc_id, start_date, end_date, project_name, 'table' as src from careers where rec_idx % 3 <> 0"
 _U2 = "select doc_id, start_date, end_date, case when rec_idx % 2 = 0 then concat(project_name, ' ') else project_name end as project_name, 'text' as src from careers where rec_idx % 5 <> 1"
 
