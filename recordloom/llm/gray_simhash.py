@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
 from recordloom.llm.common import connected_components, pieces_of, positional, written
+from recordloom.llm.shingle_sets import similar_groups
 
 U = np.uint64
 BITS, BAND = 64, 16
@@ -33,8 +34,8 @@ CHUNK = 1 << 16
 # ---- fingerprints
 
 
-def fingerprint(raw: bytes, part: int = 1 << 18) -> int:
-    """SimHash over the XXH64 of three-word shingles, repeats included; 0 without words."""
+def fingerprint(raw: bytes, part: int = 1 << 18, shingle: int = SHINGLE) -> int:
+    """SimHash over the XXH64 of ``shingle``-word shingles, repeats included; 0 without words."""
     words = raw.lower().split()
     n = len(words)
     if not n:
@@ -42,7 +43,7 @@ def fingerprint(raw: bytes, part: int = 1 << 18) -> int:
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    k = min(SHINGLE, n)
+    k = min(shingle, n)
     ends, starts = ends[k - 1 :].tolist(), starts[: n - k + 1].tolist()
     ones, total = np.zeros(BITS, np.int64), len(starts)
     for a in range(0, total, part):
@@ -51,14 +52,14 @@ def fingerprint(raw: bytes, part: int = 1 << 18) -> int:
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
 
 
-def with_fingerprints(rows: DataFrame, text: str, result: str = "fp") -> DataFrame:
+def with_fingerprints(rows: DataFrame, text: str, result: str = "fp", shingle: int = SHINGLE) -> DataFrame:
     """``rows`` without column ``text``, with its 64-bit fingerprint (signed) as ``result``."""
     keep = [c for c in rows.columns if c != text]
     src = rows.select(F.struct(*keep).alias("row"), F.col(text).cast("binary").alias("raw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, 1):
-            fps = np.array([fingerprint(r or b"") for r in b.column(1).to_pylist()], np.uint64)
+            fps = np.array([fingerprint(r or b"", shingle=shingle) for r in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["row", "fp"])
 
     return src.mapInArrow(run, f"row {src.schema['row'].dataType.simpleString()}, fp bigint").select("row.*", F.col("fp").alias(result))
@@ -242,10 +243,10 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     return every.repartition("place", "sub", "key").sortWithinPartitions("place", "sub", "key").mapInArrow(_stars, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Rows ``doc_id, k1, k2, fp, root, component_id``, one per row of ``docs``.
 
-    ``fp`` is the SimHash of the lower-cased words' three-word shingles.  Rows are
+    ``fp`` is the SimHash of the lower-cased words' ``shingle``-word shingles.  Rows are
     linked where fingerprints differ in two bits or fewer; ``root`` names the
     component and ``component_id`` is its smallest id (null if all are null).
     Null, empty and blank texts have fingerprint zero and link like any other;
@@ -255,7 +256,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     d, where = positional(docs)
     i, t = F.col(where[doc_id]), F.col(where[text])
     src = d.select(i.alias("doc_id"), F.xxhash64(i, t).alias("k1"), F.xxhash64(F.lit("row"), t, i).alias("k2"), t.alias("text"))
-    rows = written(with_fingerprints(src, "text"), "fingerprints")
+    rows = written(with_fingerprints(src, "text", shingle=shingle), "fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
     comps = connected_components(fingerprint_links(distinct)).toDF("fp", "root")
     known = distinct.join(comps, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
@@ -264,10 +265,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return rows.join(named, "fp").select("doc_id", "k1", "k2", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without near copies: of each component the row with the smallest id stays (null ids last; ties by content; of repeated rows one)."""
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
+    """``docs`` without near copies: of each component the row with the smallest id stays (null ids last; ties by content; of repeated rows one).
+
+    Components are those of fingerprints within two bits, or with ``similarity``
+    those of texts whose sets of ``shingle``-word shingles reach it.
+    """
     d, where = positional(docs)
-    best = near_duplicates(docs, doc_id, text).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("k"))
+    groups = near_duplicates(docs, doc_id, text, shingle) if similarity is None else similar_groups(docs, doc_id, text, shingle, similarity)
+    best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("k"))
     best = best.select(F.col("k.k1").alias("_k1"), F.col("k.k2").alias("_k2"))
     i, t = F.col(where[doc_id]), F.col(where[text])
     kept = d.withColumns({"_k1": F.xxhash64(i, t), "_k2": F.xxhash64(F.lit("row"), t, i)}).join(best, ["_k1", "_k2"], "left_semi")
