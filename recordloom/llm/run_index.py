@@ -11,6 +11,7 @@ the samples, and windows that match elsewhere are marked.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,17 +19,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
+from xxhash import xxh3_64_digest, xxh3_64_intdigest
 
 from recordloom.llm.common import flat_bytes, pieces_of, positional, written
 
 U = np.uint64
 WINDOW = 400
 GRAM = 32
+#: Bytes that stand for a word where windows are counted in words.
+CODE = 8
 #: Bytes of segments in one index, and different segments of one anchor in it; an anchor with more is counted window by window.
 BLOCK_BYTES = 1 << 19
 ANCHOR_LIMIT = 4096
 STRIPE = 1 << 20
+_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
 
 
 # ---- segments
@@ -92,24 +96,28 @@ def segments_of(data: np.ndarray, window: int = WINDOW, k: int = GRAM) -> tuple[
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _segment_rows(window: int):
     """From ``_k1, _k2, raw``: a row for each segment; ``digest`` hashes its bytes."""
-    for b in pieces_of(batches, 2):
-        flat, offsets = flat_bytes(b.column(2))
-        rows, cols = [], []
-        for i in np.flatnonzero(np.diff(offsets) >= WINDOW).tolist():
-            text = flat[offsets[i] : offsets[i + 1]]
-            start, count, anchor, again = segments_of(text)
-            view = memoryview(text)
-            digest = np.array([xxh3_64_intdigest(view[s : s + c + WINDOW - 1], 1) for s, c in zip(start.tolist(), count.tolist(), strict=True)], U)
-            rows.append(np.full(len(start), i))
-            cols.append((start, count, anchor.view(np.int64), digest.view(np.int64), again))
-        if rows:
-            at = pa.array(np.concatenate(rows))
-            start, count, anchor, digest, again = (np.concatenate(x) for x in zip(*cols, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(at), b.column(1).take(at), pa.array(start.astype(np.int64)), pa.array(count.astype(np.int32)), pa.array(anchor), pa.array(digest), pa.array(again)],
-                ["_k1", "_k2", "start", "windows", "anchor", "digest", "again"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces_of(batches, 2):
+            flat, offsets = flat_bytes(b.column(2))
+            rows, cols = [], []
+            for i in np.flatnonzero(np.diff(offsets) >= window).tolist():
+                text = flat[offsets[i] : offsets[i + 1]]
+                start, count, anchor, again = segments_of(text, window)
+                view = memoryview(text)
+                digest = np.array([xxh3_64_intdigest(view[s : s + c + window - 1], 1) for s, c in zip(start.tolist(), count.tolist(), strict=True)], U)
+                rows.append(np.full(len(start), i))
+                cols.append((start, count, anchor.view(np.int64), digest.view(np.int64), again))
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                start, count, anchor, digest, again = (np.concatenate(x) for x in zip(*cols, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(at), b.column(1).take(at), pa.array(start.astype(np.int64)), pa.array(count.astype(np.int32)), pa.array(anchor), pa.array(digest), pa.array(again)],
+                    ["_k1", "_k2", "start", "windows", "anchor", "digest", "again"])
+
+    return run
 
 
 _SEGMENT = "_k1 bigint, _k2 bigint, start bigint, windows int, anchor bigint, digest bigint, again boolean"
@@ -230,46 +238,54 @@ def _spans(flags: np.ndarray) -> tuple[list[int], list[int]]:
     return edge[::2].tolist(), edge[1::2].tolist()
 
 
-def _index_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _index_blocks(window: int):
     """Rows ``anchor, digest, open, body`` sorted by anchor: marked windows of the open segments, a block of whole anchors at a time."""
-    held: list[tuple[int, int, bool, bytes]] = []
-    size = 0
-
-    def search() -> pa.RecordBatch | None:
-        out = []
-        for (anchor, digest, open_, _), flags in zip(held, repeated_windows([h[3] for h in held]), strict=True):
-            if open_ and flags.any():
-                out.append((anchor, digest, *_spans(flags)))
-        if not out:
-            return None
-        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], ["anchor", "digest", "from", "to"])
-
-    for b in batches:
-        for row in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-            if size >= BLOCK_BYTES and row[0] != held[-1][0]:
-                if (r := search()) is not None:
-                    yield r
-                held, size = [], 0
-            if held and held[-1][:2] == row[:2]:
-                continue  # the same segment of a repeated row
-            held.append(row)
-            size += len(row[3])
-    if held and (r := search()) is not None:
-        yield r
-
-
-def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, bool, bytes]] = []
+        size = 0
+
+        def search() -> pa.RecordBatch | None:
+            out = []
+            for (anchor, digest, open_, _), flags in zip(held, repeated_windows([h[3] for h in held], window), strict=True):
+                if open_ and flags.any():
+                    out.append((anchor, digest, *_spans(flags)))
+            if not out:
+                return None
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], ["anchor", "digest", "from", "to"])
+
+        for b in batches:
+            for row in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                if size >= BLOCK_BYTES and row[0] != held[-1][0]:
+                    if (r := search()) is not None:
+                        yield r
+                    held, size = [], 0
+                if held and held[-1][:2] == row[:2]:
+                    continue  # the same segment of a repeated row
+                held.append(row)
+                size += len(row[3])
+        if held and (r := search()) is not None:
+            yield r
+
+    return run
+
+
+def _single_windows(window: int):
     """Rows ``anchor, digest, open, body``: a row with two hashes for every window."""
-    for b in batches:
-        for anchor, digest, open_, body in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-            hashes = [hashlib.blake2b(body[i : i + WINDOW], digest_size=16).digest() for i in range(len(body) - WINDOW + 1)]
-            n = len(hashes)
-            yield pa.RecordBatch.from_arrays([pa.array([anchor] * n, pa.int64()), pa.array([digest] * n, pa.int64()), pa.array([open_] * n, pa.bool_()), pa.array(range(n), pa.int32()),
-                                              pa.array(hashes, pa.binary())], ["anchor", "digest", "open", "at", "hash"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for anchor, digest, open_, body in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                hashes = [hashlib.blake2b(body[i : i + window], digest_size=16).digest() for i in range(len(body) - window + 1)]
+                n = len(hashes)
+                yield pa.RecordBatch.from_arrays([pa.array([anchor] * n, pa.int64()), pa.array([digest] * n, pa.int64()), pa.array([open_] * n, pa.bool_()), pa.array(range(n), pa.int32()),
+                                                  pa.array(hashes, pa.binary())], ["anchor", "digest", "open", "at", "hash"])
+
+    return run
 
-def repeated_segments(rows: DataFrame, segments: DataFrame) -> DataFrame:
+
+def repeated_segments(rows: DataFrame, segments: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows ``anchor, digest, from, to`` for segments with repeated windows (lists of first and end window numbers).
 
     ``rows`` has ``_k1, _k2, raw``; ``segments`` is the written table of their segments.
@@ -280,13 +296,13 @@ def repeated_segments(rows: DataFrame, segments: DataFrame) -> DataFrame:
     anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count(F.when(F.col("n") == 1, 1)).alias("single"), F.max("again").alias("again"))
     anchors = anchors.where("single > 0 and (kinds > 1 or again)").select("anchor", (F.col("kinds") > ANCHOR_LIMIT).alias("full"))
     wanted = kinds.join(anchors, "anchor").select(
-        "at._k1", "at._k2", F.struct("anchor", "digest", (F.col("n") == 1).alias("open"), "full", F.col("at.start").alias("start"), (F.col("windows") + WINDOW - 1).alias("bytes")).alias("want"))
+        "at._k1", "at._k2", F.struct("anchor", "digest", (F.col("n") == 1).alias("open"), "full", F.col("at.start").alias("start"), (F.col("windows") + window - 1).alias("bytes")).alias("want"))
     wanted = wanted.groupBy("_k1", "_k2").agg(F.collect_list("want").alias("want"))
     found = rows.join(wanted, ["_k1", "_k2"]).select("raw", F.explode("want").alias("w"))
     bodies = found.select("w.anchor", "w.digest", "w.open", F.expr("substring(raw, cast(w.start + 1 as int), w.bytes)").alias("body"), "w.full")
     bodies = written(bodies, "segments")
-    near = bodies.where("not full").drop("full").repartition("anchor").sortWithinPartitions("anchor", "digest").mapInArrow(_index_blocks, "anchor bigint, digest bigint, from array<int>, to array<int>")
-    every = bodies.where("full").drop("full").dropDuplicates(["anchor", "digest"]).mapInArrow(_single_windows, "anchor bigint, digest bigint, open boolean, at int, hash binary")
+    near = bodies.where("not full").drop("full").repartition("anchor").sortWithinPartitions("anchor", "digest").mapInArrow(_index_blocks(window), "anchor bigint, digest bigint, from array<int>, to array<int>")
+    every = bodies.where("full").drop("full").dropDuplicates(["anchor", "digest"]).mapInArrow(_single_windows(window), "anchor bigint, digest bigint, open boolean, at int, hash binary")
     twice = every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     far = every.where("open").join(twice, "hash").groupBy("anchor", "digest").agg(F.sort_array(F.collect_list("at")).alias("from"))
     far = far.select("anchor", "digest", "from", F.transform("from", lambda x: x + 1).alias("to"))
@@ -310,30 +326,60 @@ def _cut(raw: bytes, starts: list[int], ends: list[int]) -> tuple[bytes, int, in
     return b"".join(kept), int((run_end - run_start).sum()), len(run_start)
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """From ``_k1, _k2, raw``: rows ``_k1, _k2, spans`` with the byte spans (structs ``s, e``) whose windows also start elsewhere."""
+    segments = written(rows.mapInArrow(_segment_rows(window), _SEGMENT), "segments")
+    marks = repeated_segments(rows, segments, window).select("anchor", "digest", F.explode(F.arrays_zip("from", "to")).alias("m")).select("anchor", "digest", "m.from", "m.to")
+    spans = segments.select("_k1", "_k2", "anchor", "digest", "start").join(marks, ["anchor", "digest"])
+    spans = spans.select("_k1", "_k2", (F.col("start") + F.col("from")).alias("s"), (F.col("start") + F.col("to") + window - 1).alias("e"))
+    return spans.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+
+
+def _word_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From ``_k1, _k2, raw``: the text with ``CODE`` bytes for each word."""
+    for b in pieces_of(batches, 2):
+        codes = [b"".join([xxh3_64_digest(w, 3) for w in (r or b"").split()]) for r in b.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(codes, pa.binary())], ["_k1", "_k2", "raw"])
+
+
+def _bytes_of_words(raw: bytes, starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
+    """Byte spans from the first to the last whole word of each span of codes."""
+    words = [m.span() for m in _WORD.finditer(raw)]
+    whole = [(-(-s // CODE), e // CODE) for s, e in zip(starts, ends, strict=True)]
+    return [words[s][0] for s, _ in whole], [words[e - 1][1] for _, e in whole]
+
+
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, words: int | None = None) -> DataFrame:
     """``docs`` with three columns more: ``kept`` (binary), ``n_removed`` and ``n_spans``; every row stays.
 
-    A byte goes if a string of ``WINDOW`` bytes that covers it also starts
-    anywhere else in the texts, its own included; matches lie inside one text.  All
+    A byte goes if a string of ``window`` bytes that covers it also starts
+    anywhere else in the texts, its own included, or with ``words`` if so many words in a row
+    that cover it do, whatever white space is between them; matches lie inside one text.  All
     copies go, repeated rows' too.  Null texts count as empty and keep nothing;
-    texts shorter than the window stay whole; ids may be null; an empty table
+    texts shorter than the windows stay whole; ids may be null; an empty table
     gives an empty one.
     """
     d, where = positional(docs)
     i, t = F.col(where[doc_id]), F.col(where[text])
     keys = {"_k1": F.xxhash64(i, t), "_k2": F.xxhash64(F.lit("row"), t, i)}
     rows = d.select(*[c.alias(k) for k, c in keys.items()], t.cast("binary").alias("raw"))
-    segments = written(rows.mapInArrow(_segment_rows, _SEGMENT), "segments")
-    marks = repeated_segments(rows, segments).select("anchor", "digest", F.explode(F.arrays_zip("from", "to")).alias("m")).select("anchor", "digest", "m.from", "m.to")
-    spans = segments.select("_k1", "_k2", "anchor", "digest", "start").join(marks, ["anchor", "digest"])
-    spans = spans.select("_k1", "_k2", (F.col("start") + F.col("from")).alias("s"), (F.col("start") + F.col("to") + WINDOW - 1).alias("e"))
-    spans = spans.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    spans = repeated_spans(rows, window)
+    if words:
+        codes = written(rows.mapInArrow(_word_codes, "_k1 bigint, _k2 bigint, raw binary"), "words")
+        spans = spans.join(repeated_spans(codes, words * CODE).withColumnRenamed("spans", "runs"), ["_k1", "_k2"], "full")
+    else:
+        spans = spans.withColumn("runs", F.array().cast(spans.schema["spans"].dataType))
     j = d.withColumns(keys).join(spans, ["_k1", "_k2"], "left")
-    src = j.select(F.struct(*d.columns).alias("row"), t.cast("binary").alias("raw"), F.col("spans.s").alias("s"), F.col("spans.e").alias("e"))
+    src = j.select(F.struct(*d.columns).alias("row"), t.cast("binary").alias("raw"), *[F.col(f"{c}.{k}").alias(f"{c}_{k}") for c in ("spans", "runs") for k in "se"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, 1):
-            out = [(r or b"", 0, 0) if not s else _cut(r, s, e) for r, s, e in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)]
+            out = []
+            for r, s, e, s_words, e_words in zip(*(b.column(i).to_pylist() for i in range(1, 6)), strict=True):
+                if s_words:
+                    more = _bytes_of_words(r, s_words, e_words)
+                    s, e = (s or []) + more[0], (e or []) + more[1]
+                out.append(_cut(r, s, e) if s else (r or b"", 0, 0))
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x, k) for x, k in zip(zip(*out, strict=True), (pa.binary(), pa.int64(), pa.int64()), strict=True)]],
                                              ["row", "kept", "n_removed", "n_spans"])
 

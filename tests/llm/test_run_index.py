@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from brute import without_repeats
 
+import corpus_pipeline
 from recordloom.llm import run_index as ri
 from recordloom.llm.common import take
 
@@ -50,3 +51,12 @@ def test_removal(spark, make, prose, monkeypatch, limit):
     want = sorted((repr(i), *x) for (i, _), x in zip(rows, without_repeats([(t or "").encode() for _, t in rows]), strict=True))
     assert got == want
     assert ri.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_passages_of_over_fifty_words(spark, make, prose, tmp_path):
+    short, fifty = prose(51, 21), prose(50, 22)
+    assert len(short.encode()) < 400
+    a, b = prose(60, 23) + " x1", "x2 " + prose(60, 24)
+    rows = [(1, f"{a} {short} {b}"), (2, f"y1 {short.replace(' ', '\n ')} y2"), (3, f"{a.upper()} z1 {fifty} z2"), (4, f"w1 {fifty} w2 é"), (None, short)]
+    got = {r.doc_id: r.text for r in take(corpus_pipeline.long_repeats(spark, make(rows), str(tmp_path)), "doc_id", "text").collect()}
+    assert got == {1: f"{a}  {b}", 2: "y1  y2", 3: rows[2][1], 4: rows[3][1], None: ""}
