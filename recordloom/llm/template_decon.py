@@ -63,6 +63,7 @@ class Words(dict):
 
     def __missing__(self, word: bytes) -> int:
         kind, core = classify(word.decode("utf-8", "replace"))
+        core = core.casefold()  # as ß is SS in capitals
         own = xxh64_intdigest(core, 5)
         self[word] = code = len(self.kinds)
         self.cores.append(core)
@@ -159,22 +160,22 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
     """Windows that stand for each benchmark text: ``item_id, item, hash, kind, length, ipos, islots, windows``.
 
     Templates need ``MIN_LITERALS`` literal words (fewer in a text shorter than the
-    window: all but two fifths).  A text without such a window is looked for by its own words.
+    window: all but two fifths).  Every text is also looked for by its own words, whose case does not count.
     """
     b = take(benchmark, item_id, text).toDF("item_id", "text").select("item_id", F.xxhash64("item_id", "text").alias("item"), F.col("text").cast("binary").alias("raw"))
     kind = b.schema["item_id"].dataType.simpleString()
     w = written(b.mapInArrow(_windows(2, None, None), f"item_id {kind}, item bigint, {_WINDOWS.split(', ', 1)[1]}"), "benchmark")
     fit = (F.col("kind") == 0) & (F.col("literals") >= F.least(F.lit(MIN_LITERALS), F.ceil(F.col("length") * MIN_LITERALS / WINDOW).cast("int")))
-    able = w.groupBy("item").agg(F.count_distinct(F.when(fit, F.col("pos"))).alias("fit"), F.count_distinct("pos").alias("every"))
-    w = w.join(able, "item").where(F.when(F.col("fit") > 0, fit).otherwise(F.col("kind") == 1))
+    able = w.groupBy("item").agg(F.count_distinct(F.when(fit, F.col("pos"))).alias("fit"), F.count_distinct(F.when(F.col("kind") == 1, F.col("pos"))).alias("every"))
+    w = w.join(able, "item").where(fit | (F.col("kind") == 1))
     return w.select("item_id", "item", "hash", "kind", "length", F.col("pos").alias("ipos"), F.col("slots").alias("islots"),
-                    F.when(F.col("fit") > 0, F.col("fit")).otherwise(F.col("every")).alias("windows")).dropDuplicates(["item", "kind", "ipos"])
+                    F.when(F.col("kind") == 0, F.col("fit")).otherwise(F.col("every")).alias("windows")).dropDuplicates(["item", "kind", "ipos"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Rows ``doc_id, k1, k2, item_id, windows, matched, coverage, consistency, verbatim``, one per document and benchmark text found in it.
 
-    Found means: windows with the same words and slots cover ``MIN_COVERAGE`` of
+    Found means: windows with the same words, or templates with the same slots, cover ``MIN_COVERAGE`` of
     the benchmark text's windows (``verbatim``), or template windows in one
     alignment do and ``MIN_CONSISTENCY`` of the slots are filled consistently: one
     benchmark value always has the same value in the document.  Null and empty
@@ -196,11 +197,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     same = F.transform("slots", lambda x: x["value"]) == F.transform("islots", lambda x: x["value"])
     keys = ["doc_id", "k1", "k2", "item_id", "item"]
     # one row per aligned window, so that repeated rows do not count twice
-    hits = hits.groupBy(*keys, "pos", "ipos").agg(F.first("windows").alias("windows"), F.first(same).alias("same"), F.first("slots").alias("slots"), F.first("islots").alias("islots"))
+    hits = hits.groupBy(*keys, "kind", "pos", "ipos").agg(F.first("windows").alias("windows"), F.first(same).alias("same"), F.first("slots").alias("slots"), F.first("islots").alias("islots"))
     hits = hits.withColumn("line", F.col("pos") - F.col("ipos"))
     hits = written(hits, "hits")
-    plain = hits.where("same").groupBy(*keys).agg(F.max("windows").alias("windows"), F.count_distinct("ipos").alias("matched"))
+    plain = hits.where("same").groupBy(*keys, "kind").agg(F.max("windows").alias("windows"), F.count_distinct("ipos").alias("matched"))
     plain = plain.where(F.col("matched") >= MIN_COVERAGE * F.col("windows")).select(*keys, "windows", "matched", F.lit(1.0).alias("consistency"), F.lit(True).alias("verbatim"))
+    hits = hits.where("kind = 0")
     lines = hits.groupBy(*keys, "line").agg(F.max("windows").alias("windows"), F.count_distinct("ipos").alias("matched")).where(F.col("matched") >= MIN_COVERAGE * F.col("windows"))
     slot = hits.select(*keys, "line", "ipos", F.explode(F.arrays_zip("slots", "islots")).alias("s"))
     slot = slot.select(*keys, "line", (F.col("ipos") + F.col("s.islots.at")).alias("at"), F.col("s.slots.value").alias("d"), F.col("s.islots.value").alias("b")).distinct()

@@ -22,6 +22,14 @@ def test_found_and_left_alone(spark, make, prose, monkeypatch, bound):
     assert td.contaminated(docs.limit(0), bench).count() == 0 and td.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_other_case_is_the_same_text(spark, make):
+    text = "The old mill at Grey Straße was sold. Few in town knew that Maria had kept the deed. Her son Tom found it there."
+    bench = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    docs = make([(1, text.upper()), (2, f"so {text.lower()} and"), (3, text.title()), (4, "the old mill was sold and few in town knew it at all")])
+    got = td.contaminated(docs, bench).collect()
+    assert sorted(r.doc_id for r in got) == [1, 2, 3] and all(r.verbatim and r.coverage == 1 for r in got)
+
+
 def test_slots_must_be_filled_alike(spark, make):
     bench = spark.createDataFrame([(1, "Alice has 12 apples but Alice wants 12 pears so Alice takes 12 plums and Alice has 12 figs.")], "item_id bigint, text string")
     docs = make([(1, "Bob has 7 apples but Bob wants 7 pears so Bob takes 7 plums and Bob has 7 figs."), (2, "Bob has 7 apples but Carl wants 8 pears so Dan takes 9 plums and Ed has 10 figs.")])
