@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -21,6 +21,8 @@ MIN_CONSISTENCY = 0.8
 #: Benchmark windows that are broadcast at most (16 bytes each); beyond, windows of all texts meet in a shuffle join.
 BROADCAST_WINDOWS = 1 << 20
 CACHE_ENTRIES = 500_000
+#: Alignments of one chain follow each other at this distance at most.
+CHAIN_GAP = WINDOW
 
 # Units of measure and number words.
 UNITS = frozenset("mm cm m km in ft yd mi mile miles meter meters metre metres kilometer kilometers inch inches foot feet yard yards mg g kg lb lbs oz gram grams kilogram kilograms "
@@ -106,7 +108,9 @@ def _windows(keys: int, shapes: list[tuple[int, int]] | None, wanted: np.ndarray
     """Windows of texts (the column after ``keys`` key columns): of the given (kind, length) shapes, all or those whose hash is wanted.
 
     Shapes None: those of a benchmark text, whole if it is shorter than the window.
-    Kind 0 windows are templates, kind 1 windows the words themselves.
+    Kind 0 windows are templates, in which neighbouring words of one slot type are
+    one placeholder with their joined value; kind 1 windows are the words themselves.
+    Places and lengths are counted in placeholders and words.
     """
     near = np.zeros(1 << 20, bool)
     if wanted is not None:
@@ -125,12 +129,19 @@ def _windows(keys: int, shapes: list[tuple[int, int]] | None, wanted: np.ndarray
             owner = np.repeat(np.arange(len(sizes)), sizes)
             keep = kind_of[code] != SKIP
             code, owner = code[keep], owner[keep]
-            first = np.searchsorted(owner, np.arange(len(sizes) + 1))
+            kinds = kind_of[code]
+            head = np.ones(len(code), bool)
+            head[1:] = (kinds[1:] <= LITERAL) | (kinds[1:] != kinds[:-1]) | (owner[1:] != owner[:-1])
+            start = np.flatnonzero(head)
+            stop = np.append(start[1:], len(code))
+            # of templates and words: hashes, kinds, owners and where each text begins
+            forms = [(x, kinds[at], owner[at], np.searchsorted(owner[at], np.arange(len(sizes) + 1))) for x, at in ((template[code[start]], start), (own[code], slice(None)))]
             rows: list[tuple] = []
             todo = [(k, n, None) for k, n in shapes] if shapes is not None else [
-                (k, int(min(WINDOW, n)), int(n)) for n in np.unique(np.diff(first)) if n for k in (0, 1)]
+                (k, int(min(WINDOW, n)), int(n)) for k in (0, 1) for n in np.unique(np.diff(forms[k][3])) if n]
             for kind, length, only in todo:
-                h = _rolled((template, own)[kind][code], length, kind)
+                hashes, kinds, owner, first = forms[kind]
+                h = _rolled(hashes, length, kind)
                 if wanted is None:
                     hit = np.arange(len(h))
                 else:
@@ -142,15 +153,14 @@ def _windows(keys: int, shapes: list[tuple[int, int]] | None, wanted: np.ndarray
                     size = int(first[i + 1] - first[i])
                     if only is not None and size != only:
                         continue
-                    inside = code[at : at + length]
-                    kinds = kind_of[inside]
-                    slots = [{"at": j, "value": words.cores[inside[j]]} for j in np.flatnonzero(kinds > LITERAL).tolist()] if kind == 0 else []
-                    rows.append((i, at - int(first[i]), size, int(h[at].view(np.int64)), kind, length, int((kinds == LITERAL).sum()), slots))
+                    inside = kinds[at : at + length]
+                    slots = [{"at": j, "value": " ".join([words.cores[c] for c in code[start[at + j] : stop[at + j]].tolist()])} for j in np.flatnonzero(inside > LITERAL).tolist()] if kind == 0 else []
+                    rows.append((i, at - int(first[i]), size, int(h[at].view(np.int64)), kind, length, int((inside == LITERAL).sum()), slots))
             if rows:
                 cols = list(zip(*rows, strict=True))
                 at = pa.array(cols[0], pa.int64())
-                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), _SLOTS)
-                yield pa.RecordBatch.from_arrays([*[b.column(i).take(at) for i in range(keys)], *[pa.array(x, t) for x, t in zip(cols[1:], kinds, strict=True)]],
+                types = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), _SLOTS)
+                yield pa.RecordBatch.from_arrays([*[b.column(i).take(at) for i in range(keys)], *[pa.array(x, t) for x, t in zip(cols[1:], types, strict=True)]],
                                                  [*b.schema.names[:keys], "pos", "words", "hash", "kind", "length", "literals", "slots"])
 
     return run
@@ -177,7 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
     Found means: windows with the same words, or templates with the same slots, cover ``MIN_COVERAGE`` of
     the benchmark text's windows (``verbatim``), or template windows in one
-    alignment do and ``MIN_CONSISTENCY`` of the slots are filled consistently: one
+    alignment or a chain of neighbouring ones do and ``MIN_CONSISTENCY`` of the slots are filled consistently: one
     benchmark value always has the same value in the document.  Null and empty
     texts on either side match nothing; ids may be null; repeated documents are one
     row, repeated benchmark rows too; empty tables give an empty one.  ``k1, k2``
@@ -202,7 +212,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     hits = written(hits, "hits")
     plain = hits.where("same").groupBy(*keys, "kind").agg(F.max("windows").alias("windows"), F.count_distinct("ipos").alias("matched"))
     plain = plain.where(F.col("matched") >= MIN_COVERAGE * F.col("windows")).select(*keys, "windows", "matched", F.lit(1.0).alias("consistency"), F.lit(True).alias("verbatim"))
-    hits = hits.where("kind = 0")
+    hits = hits.where("kind = 0").drop("kind")
+    # alignments alone, and chains of neighbouring ones: a window counts for both
+    near = hits.select(*keys, "line").distinct()
+    order = Window.partitionBy(*keys).orderBy("line")
+    near = near.withColumn("new", F.coalesce((F.col("line") - F.lag("line").over(order) > CHAIN_GAP).cast("int"), F.lit(0)))
+    near = near.withColumn("chain", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    sizes = near.groupBy(*keys, "chain").agg(F.collect_list("line").alias("members")).where(F.size("members") > 1).select(*keys, "chain", F.explode("members").alias("line"))
+    same_line = F.lit(True)
+    for k in (*keys, "line"):
+        same_line = same_line & F.col(f"h.{k}").eqNullSafe(F.col(f"c.{k}"))
+    chained = hits.alias("h").join(sizes.alias("c"), same_line).select(*[F.col(f"h.{c}") for c in hits.columns if c != "line"], F.struct(F.lit(True).alias("chain"), F.col("c.chain").cast("int").alias("n")).alias("line"))
+    hits = hits.withColumn("line", F.struct(F.lit(False).alias("chain"), F.col("line").cast("int").alias("n"))).unionByName(chained)
     lines = hits.groupBy(*keys, "line").agg(F.max("windows").alias("windows"), F.count_distinct("ipos").alias("matched")).where(F.col("matched") >= MIN_COVERAGE * F.col("windows"))
     slot = hits.select(*keys, "line", "ipos", F.explode(F.arrays_zip("slots", "islots")).alias("s"))
     slot = slot.select(*keys, "line", (F.col("ipos") + F.col("s.islots.at")).alias("at"), F.col("s.slots.value").alias("d"), F.col("s.islots.value").alias("b")).distinct()

@@ -30,6 +30,25 @@ def test_other_case_is_the_same_text(spark, make):
     assert sorted(r.doc_id for r in got) == [1, 2, 3] and all(r.verbatim and r.coverage == 1 for r in got)
 
 
+def test_slots_of_other_lengths(spark, make):
+    text = "The mayor of Rome paid twenty coins for each old map that Anna drew on a wall. When Anna sold 5 kg of salt to the mayor he gave her twenty more and they left."
+    bench = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    other = text.replace("Rome", "New York").replace("twenty", "thirty five").replace("Anna", "Mary Ann Lee")
+    shifted = other.replace("5 kg", "7kg").replace("he gave", "kindly he gave")
+    docs = make([(1, other), (2, f"so {shifted} today"), (3, "The mayor of Rome paid twenty coins. Anna drew on a wall and they left.")])
+    got = {r.doc_id: r for r in td.contaminated(docs, bench).collect()}
+    assert set(got) == {1, 2} and got[1].coverage == 1 and not got[1].verbatim
+
+
+def test_parts_on_neighbouring_alignments_count_together(spark, make):
+    parts = [" ".join(f"{c}{i}" for i in range(9)) for c in "abcdef"]
+    text = " gap 12 kg of ".join(parts)
+    bench = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    docs = make([(1, text.replace("gap 12 kg of", "13kg")), (2, " ".join(reversed(parts[:2])) + " 12 kg")])
+    got = td.contaminated(docs, bench).collect()
+    assert [r.doc_id for r in got] == [1]
+
+
 def test_slots_must_be_filled_alike(spark, make):
     bench = spark.createDataFrame([(1, "Alice has 12 apples but Alice wants 12 pears so Alice takes 12 plums and Alice has 12 figs.")], "item_id bigint, text string")
     docs = make([(1, "Bob has 7 apples but Bob wants 7 pears so Bob takes 7 plums and Bob has 7 figs."), (2, "Bob has 7 apples but Carl wants 8 pears so Dan takes 9 plums and Ed has 10 figs.")])
