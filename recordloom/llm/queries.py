@@ -139,3 +139,74 @@ def op3_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordloom.llm.site_quality import site_quality
 
     return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "source", ["lang"])
+
+
+@query("op11_phrase_names")
+def op11_phrase_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordloom.llm.phrase_names import neighbour_prints
+
+    return neighbour_prints(table(spark, sf_dir, "documents"))
+
+
+#: CRC-32 of a hexadecimal byte string in SQL; the step table is built from the polynomial.
+_CRC_TABLE = """crc as (select list(v order by n) as steps from (
+  select n, list_reduce(list_prepend(n, range(8)), lambda a, b: case when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end) as v from range(256) r(n)))"""
+
+
+def _crc(hexed: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({hexed}), 2), lambda i: cast(('0x' || substr({hexed}, i, 2)) as bigint))), "
+            "lambda a, b: xor(steps[xor(a, b) % 256 + 1], a // 256)), 4294967295)")
+
+
+@query("op12_prefix_trie", f"""
+with {_CRC_TABLE},
+t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+  row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as n from conversations),
+c as (select conv_id, case when conv_id is null then 0 else {_crc("hex(encode(cast(conv_id as varchar)))")} % 9 end as h from (select distinct conv_id from t), crc),
+r as (select c.conv_id, t.role, t.text, t.n from c join t on t.conv_id = c.conv_id - c.conv_id % 5 and t.n <= c.h
+  union all select c.conv_id, t.role, t.text, t.n + 9 from c join t on t.conv_id is not distinct from c.conv_id and t.n > c.h),
+s as (select conv_id, row_number() over w as depth, octet_length(encode(text)) as bytes,
+  sha256(string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '' order by n) over w) as k
+  from r window w as (partition by conv_id order by n)),
+p as (select conv_id, depth, bytes, k from s union all select conv_id, 0, 0, 'root' from c),
+q as (select *, max(depth) over (partition by conv_id) as total, lag(k) over (partition by conv_id order by depth) as up from p),
+nodes as (select k, min(conv_id) as conv_id, max(depth) as depth, max(up) as up, max(bytes) as bytes, count(*) as n_convs, count(*) filter (depth = total) as n_ends,
+  sha256(coalesce(string_agg(conv_id, ',' order by conv_id) filter (depth = total), '')) as ends_sha256 from q group by k),
+below as (select q.k, sum(cast(v.n_ends = v.n_convs as int)) as n_leaves, sum((v.n_convs - 1) * v.bytes) as saved_tokens
+  from nodes v join q on q.conv_id is not distinct from v.conv_id and q.depth <= v.depth group by q.k),
+kids as (select up as k, count(*) as n from nodes where depth > 0 group by 1)
+select v.conv_id, cast(v.depth as bigint) as depth, u.conv_id as parent_conv_id, v.n_convs, coalesce(kids.n, 0) as n_children,
+  cast(below.n_leaves as bigint) as n_leaves, cast(below.saved_tokens as bigint) as saved_tokens, v.ends_sha256
+from nodes v join below using (k) left join kids using (k) left join nodes u on u.k = v.up and v.depth > 0""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordloom.llm.prefix_trie import prefix_nodes
+
+    return prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+def _bucketed(name: str) -> str:
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from {name}"
+
+
+@query("op13_target_resampling", f"""
+with {_CRC_TABLE},
+d as (select doc_id, {_bucketed("documents")}),
+w as (select doc_id, unnest(words) as f from d),
+b as (select {_bucketed("benchmark")}),
+v as (select unnest(words) as f from b),
+f as (select f, {_crc("hex(encode(f))")} % 10000 as bucket from (select f from w union select f from v), crc),
+s as (select bucket, count(*) as n from w join f using (f) group by 1),
+t as (select bucket, count(*) as n from v join f using (f) group by 1),
+g as (select bucket, cast(floor(1000 * ln(cast((coalesce(t.n, 0) + 1) * ((select count(*) from w) + 10000) as double)
+  / cast((coalesce(s.n, 0) + 1) * ((select count(*) from v) + 10000) as double))) as bigint) as gain from s full join t using (bucket)),
+x as (select doc_id, sum(gain) as weight from w join f using (f) join g using (bucket) group by 1),
+y as (select d.doc_id, cast(len(words) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+  cast('0x' || substr(sha256('2024:' || coalesce(cast(d.doc_id as varchar), '')), 1, 8) as bigint) as h from d left join x using (doc_id)),
+z as (select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0::double))) as bigint) as score, n_features >= 20 as able from y),
+r as (select *, row_number() over (partition by able order by score desc, doc_id) as place, count(*) over (partition by able) as n from z)
+select doc_id, n_features, weight, score, case when able and place <= 10 * n // 100 then place end as rank from r""")
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordloom.llm.crc_features import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
