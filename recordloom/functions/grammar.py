@@ -207,7 +207,7 @@ def is_technical_line(line: Column) -> Column:
     ends = c.endswith("공사") | c.endswith("용역") | c.endswith("사업")
     return (
         s.startswith("- ") | contains_any(s, ["○", "내용:", "내용 :"]) | s.rlike(r"^\d+\)\s*") | s.rlike(r"공법\s*\([^)]*개착")
-        | (F.contains(c, F.lit("공법")) & (F.length(c) <= 24) & ~ends)
+        | (F.contains(c, F.lit("공법")) & ~ends)
         | c.rlike(r"^[A-Z]{2,8}$") | c.rlike(r"^[A-Za-z0-9.,/+\-]{2,20}공법$")
         | (F.contains(s, F.lit("검토 설계")) & ~F.contains(s, F.lit("용역")))
         | s.rlike(r"^장\s*:\s*\d") | (s.rlike(r"^점\s+") & F.contains(s, F.lit("접속")))
@@ -314,47 +314,51 @@ def split_head(head: Column, w: Words = DEFAULT) -> Column:
     return let(let(head, dedupe), split)
 
 
+#: Layouts of a ``~`` line, the first that fits counts: number of tokens (4 stands for more, whose leading ones are one), what each
+#: token must be, what each becomes.  P position, S specialty, s specialty and no position, T short work type, N job word before its
+#: specialty; I issuer, W work type, H issuer and work type in one, - nothing.
+LAYOUTS: list[tuple[int, str, str]] = [
+    (1, "P", "P"), (1, ".", "I"),
+    (2, "SP", "SP"), (2, ".s", "IS"), (2, "..", "IP"),
+    (3, ".SP", "ISP"), (3, "..P", "IWP"), (3, ".ST", "ISW"), (3, ".S.", "IS-"), (3, ".NS", "I-S"), (3, "...", "IWS"),
+    (4, ".Ns", "I-S"), (4, "..s", "IWS"), (4, "...", "HSP"),
+]
+
+
 def tilde_line(line: Column, w: Words = DEFAULT) -> Column:
-    """struct(issuer, work_type, specialty, position) of a ``~`` line, null for other lines."""
-    e = F.lit("")
-    sp, pos = (lambda x: looks_like_specialty(x, w)), (lambda x: _in(x, w.positions))
+    """struct(issuer, work_type, specialty, position) of a ``~`` line, null for other lines.  ``LAYOUTS`` says which token is which."""
+
+    def kinds(slots: Column) -> Column:
+        after = F.concat(F.slice(slots, F.lit(2), F.greatest(F.size(slots) - 1, F.lit(0))), F.array(F.lit("")))
+        return F.zip_with(slots, after, lambda x, y: F.struct(
+            x.alias("text"), _in(x, w.positions).alias("P"), looks_like_specialty(x, w).alias("S"), _in(x, w.short_work_types).alias("T"), is_job_noise(x, y, w).alias("N")))
+
+    def fits(known: Column, wanted: str) -> Column:
+        out = F.lit(True)
+        for i, letter in enumerate(wanted):
+            k = F.get(known, F.lit(i))
+            if letter != ".":
+                out = out & (k["S"] & ~k["P"] if letter == "s" else k[letter])
+        return out
 
-    def emit(issuer=e, work_type=e, specialty=e, position=e) -> Column:
-        return F.struct(issuer.alias("issuer"), work_type.alias("work_type"), specialty.alias("specialty"), position.alias("position"))
+    def lay_out(toks: Column, known: Column) -> Column:
+        layout = F.lit("")
+        for n, wanted, given in reversed(LAYOUTS):
+            layout = F.when((F.least(F.size(toks), F.lit(4)) == n) & fits(known, wanted), given).otherwise(layout)
 
-    def parse(t: Column) -> Column:
-        n = F.size(t)
-        a, b, c = F.get(t, F.lit(0)), F.get(t, F.lit(1)), F.get(t, F.lit(2))
-        three = (
-            F.when(pos(c), F.when(sp(b), emit(a, e, b, c)).otherwise(emit(a, b, e, c)))
-            .when(sp(b), F.when(_in(c, w.short_work_types), emit(a, c, b)).otherwise(emit(a, e, b)))
-            .when(sp(c) & is_job_noise(b, c, w), emit(a, e, c))
-            .otherwise(emit(a, b, c))
-        )
-        two = (
-            F.when(pos(b) & sp(a), emit(specialty=a, position=b))
-            .when(sp(b) & ~pos(b), emit(a, specialty=b))
-            .otherwise(emit(a, position=b))
-        )
-        last, pen = last_token(t), F.get(t, n - 2)
-        front = join_tokens(head_tokens(t, n - 2))
-        four = F.when(
-            ~pos(last) & sp(last), F.when(is_job_noise(pen, last, w), emit(front, e, last)).otherwise(emit(front, pen, last))
-        ).otherwise(let(split_head(head_tokens(t, n - 2), w), lambda x: emit(x["issuer"], x["work_type"], pen, last)))
-        return (
-            F.when(n == 0, emit())
-            .when(n == 1, F.when(pos(a), emit(position=a)).otherwise(emit(a)))
-            .when(n == 2, two).when(n == 3, three).otherwise(four)
-        )
+        def fields(chosen: Column) -> Column:
+            part = lambda letter: F.coalesce(F.get(known, F.locate(letter, chosen) - 1)["text"], F.lit(""))
+            head = F.when(chosen.startswith("H"), split_head(head_tokens(toks, F.size(toks) - 2), w)).otherwise(F.struct(part("I").alias("issuer"), part("W").alias("work_type")))
+            return let(head, lambda h: let(strip_job_noise(h["issuer"], h["work_type"], part("S"), w), lambda x: F.struct(
+                x["issuer"].alias("issuer"), x["work_type"].alias("work_type"), part("S").alias("specialty"), part("P").alias("position"))))
 
-    def finish(r: Column) -> Column:
-        return let(strip_job_noise(r["issuer"], r["work_type"], r["specialty"], w),
-                   lambda x: emit(x["issuer"], x["work_type"], r["specialty"], r["position"]))
+        return let(layout, fields)
 
     def read(s: Column) -> Column:
         rest = F.trim(F.substr(s, F.lit(2)))
         toks = F.when((rest == "") | (rest == ARROW), F.array().cast("array<string>")).otherwise(F.split(rest, " "))
-        return F.when(s.startswith("~"), let(let(toks, parse), finish))
+        slots = lambda t: F.when(F.size(t) <= 3, t).otherwise(F.concat(F.array(join_tokens(head_tokens(t, F.size(t) - 2))), tail_tokens(t, 2)))
+        return F.when(s.startswith("~"), let(toks, lambda t: let(kinds(slots(t)), lambda k: lay_out(t, k))))
 
     return let(squeeze(line), read)
 

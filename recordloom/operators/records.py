@@ -24,34 +24,37 @@ def _page_arrays(lines: DataFrame, keys: Sequence[str], *fields: Column) -> Data
 def date_blocks(lines: DataFrame, keys: Sequence[str] = PAGE, date_mode: str = "keep_month") -> DataFrame:
     """Start, end and the two day counts of every period block of a page, in order.
 
-    A block opens at a date line.  With a ``~`` line within 11 lines the end is one
-    of the two lines after it; without one it is the next date or ongoing mark
-    within 12.  Day tokens follow until two are found or the next project or
-    date begins.  The consumed end date must not open a block, so this is a cursor
-    fold over the page's line array.
+    A block opens at a date line.  Its ``~`` is looked for up to the next project or
+    day count; the end is then one of the two lines after it, without a ``~`` it is
+    the next date or ongoing mark.  Day tokens follow until two are found or the
+    next project or date begins.  A line begins a project if the next line that is
+    no text is a date with its ``~``.  The consumed end date must not open a block,
+    so this is a cursor fold over the page's line array.
     """
     line = F.col("line")
     d = lines.select(*keys, "line_no", "line", line.rlike(DATE_LINE).alias("date"), line.startswith("~").alias("tilde"), line.rlike(DAYS_LINE).alias("daysline"))
-    w = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(1, 5)
+    w = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(1, Window.unboundedFollowing)
     # A masked date is part of a period block, not the start of the next project.
-    loose = (line != ARROW) & ~line.rlike(MASKED_DATE) & ~F.col("tilde") & ~F.col("date") & ~F.col("daysline") & F.max("date").over(w) & F.max("tilde").over(w)
+    shape = F.when(F.col("date"), "date").when(F.col("tilde"), "tilde").when(F.col("daysline"), "days")
+    d = d.withColumn("_s", shape).withColumn("_opens", F.when(shape.isNotNull(), (shape == "date") & F.coalesce(F.first("_s", ignorenulls=True).over(w) == "tilde", F.lit(False))))
+    loose = (line != ARROW) & ~line.rlike(MASKED_DATE) & F.col("_s").isNull() & F.first("_opens", ignorenulls=True).over(w)
     d = d.withColumn("start", F.coalesce(loose, F.lit(False)))
-    g = _page_arrays(d, keys, "line", "date", "tilde", "start", F.contains(compact(line), F.lit(ONGOING)).alias("ongoing"), days_tokens(line).alias("days"))
+    g = _page_arrays(d, keys, "line", "date", "tilde", "daysline", "start", F.contains(compact(line), F.lit(ONGOING)).alias("ongoing"), days_tokens(line).alias("days"))
     r = F.col("r")
     n = F.size(r)
     empty = F.array().cast("array<struct<line_no:bigint,start:string,end:string,recog:string,part:string>>")
 
     def first_index(lo: Column, hi: Column, test) -> Column:
         """First index in [lo, hi) with ``test``, else null."""
-        span = F.when(lo < F.least(hi, n), F.sequence(lo, F.least(hi, n) - 1)).otherwise(F.array().cast("array<int>"))
+        span = F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(F.array().cast("array<int>"))
         return F.get(F.filter(span, lambda k: test(F.get(r, k))), F.lit(0))
 
     def is_date(x: Column) -> Column:
         return F.coalesce(x["date"], F.lit(False))
 
-    def tokens_from(cursor: Column, hi: Column, stop_at_date: bool) -> Column:
+    def tokens_from(cursor: Column) -> Column:
         """struct(days, next): tokens before the next block and the index to go on from."""
-        cut = F.coalesce(first_index(cursor, hi, lambda x: x["start"] | (x["date"] & (x["line_no"] != F.get(r, cursor)["line_no"])) if stop_at_date else x["start"]), F.least(hi, n))
+        cut = F.coalesce(first_index(cursor, n, lambda x: x["start"] | (x["date"] & (x["line_no"] != F.get(r, cursor)["line_no"]))), n)
 
         def read(c: Column) -> Column:
             toks = F.flatten(F.transform(F.slice(r, cursor + 1, F.greatest(c - cursor, F.lit(0))), lambda x, o: F.transform(x["days"], lambda t: F.struct(o.alias("o"), t.alias("d")))))
@@ -71,13 +74,12 @@ def date_blocks(lines: DataFrame, keys: Sequence[str] = PAGE, date_mode: str = "
         )
 
     def end_without_tilde(i: Column) -> Column:
-        hit = first_index(i + 1, i + 13, lambda x: x["date"] | x["ongoing"] | x["start"])
+        hit = first_index(i + 1, n, lambda x: x["date"] | x["ongoing"] | x["start"] | x["daysline"])
 
         def read(k: Column) -> Column:
             x = F.get(r, k)
-            found = k.isNotNull() & (x["date"] | x["ongoing"])
-            return F.when(found, F.struct(F.when(x["date"], date_to_iso(x["line"], date_mode)).otherwise(ONGOING).alias("end"), (k + 1).alias("cursor"), (k + 31).alias("hi"))).otherwise(
-                F.struct(F.lit("").alias("end"), (i + 1).alias("cursor"), (i + 31).alias("hi")))
+            return F.when(x["date"] | x["ongoing"], F.struct(F.when(x["date"], date_to_iso(x["line"], date_mode)).otherwise(ONGOING).alias("end"), (k + 1).alias("cursor"))).otherwise(
+                F.struct(F.lit("").alias("end"), (i + 1).alias("cursor")))
 
         return let(hit, read)
 
@@ -90,17 +92,17 @@ def date_blocks(lines: DataFrame, keys: Sequence[str] = PAGE, date_mode: str = "
                 F.coalesce(F.get(t["days"], F.lit(0)), F.lit("")).alias("recog"), F.coalesce(F.get(t["days"], F.lit(1)), F.lit("")).alias("part")))).alias("out"))
 
         def with_tilde(t: Column) -> Column:
-            return let(end_after_tilde(t), lambda e: let(tokens_from(e["cursor"], e["cursor"] + 60, True), lambda k: add(e["end"], k)))
+            return let(end_after_tilde(t), lambda e: let(tokens_from(e["cursor"]), lambda k: add(e["end"], k)))
 
         def without(_: Column) -> Column:
-            return let(end_without_tilde(i), lambda e: let(tokens_from(e["cursor"], e["hi"], False), lambda k: F.when(
+            return let(end_without_tilde(i), lambda e: let(tokens_from(e["cursor"]), lambda k: F.when(
                 (e["end"] == "") & (F.size(k["days"]) < 2), F.struct((i + 1).alias("i"), acc["out"].alias("out"))).otherwise(add(e["end"], k))))
 
         def open_block(k: Column) -> Column:
             return F.when(F.coalesce(F.get(r, k)["tilde"], F.lit(False)), with_tilde(k)).otherwise(without(k))
 
         return F.when((i < acc["i"]) | ~is_date(here), acc).otherwise(
-            let(first_index(i + 1, i + 12, lambda x: x["tilde"] | x["start"]), open_block))
+            let(first_index(i + 1, n, lambda x: x["tilde"] | x["start"] | x["daysline"]), open_block))
 
     out = F.aggregate(F.sequence(F.lit(0), n - 1), F.struct(F.lit(0).alias("i"), empty.alias("out")), step, lambda a: a["out"])
     return g.select(*keys, F.posexplode(out).alias("block", "b")).select(
@@ -118,11 +120,12 @@ def merge_equal_blocks(blocks: DataFrame, key: Sequence[str], name: str, order:
     return g.select(*keys, order, *key, names.alias("names"), (F.size("_n") > 1).alias("merged"))
 
 
-def names_before_dates(lines: DataFrame, words: G.Words = G.DEFAULT, back: int = 12, keys: Sequence[str] = PAGE) -> DataFrame:
-    """Project name above every date line: up to ``back`` name-like lines joined, until a stop line.
+def names_before_dates(lines: DataFrame, words: G.Words = G.DEFAULT, keys: Sequence[str] = PAGE) -> DataFrame:
+    """Project name above every date line: all name-like lines joined, up to a stop line.
 
     Job/duty and annotation lines are skipped; dates, days, ``~``, arrows, the line
-    after an arrow and issuer lines stop.  The look-back is a bounded frame.
+    after an arrow and issuer lines stop.  Lines between two stops are one island,
+    so no line is looked at from more than one date.
     """
     line = F.col("line")
     w = Window.partitionBy(*keys).orderBy("line_no")
@@ -134,21 +137,21 @@ def names_before_dates(lines: DataFrame, words: G.Words = G.DEFAULT, back: int =
         .when(is_annotation(line), "skip").when(G.issuer_line(line, words).isNotNull(), "stop")
         .when(G.job_duty_line(line, words).isNotNull(), "skip").when(G.is_name_line(line, words, True), "name").otherwise("stop")
     )
-    d = d.withColumn("kind", kind).withColumn("_p", F.when(F.col("kind") == "name", G.project_line(line, words)))
-    frame = F.collect_list(F.struct("kind", "line", "_p")).over(w.rowsBetween(-back, -1))
-    d = d.withColumn("_above", frame).where("kind = 'date'")
-    start = F.struct(F.lit(True).alias("go"), F.lit("").alias("name"), F.lit(None).cast("string").alias("job"), F.lit(None).cast("string").alias("duty"))
-    folded = F.aggregate(
-        F.reverse("_above"), start,
-        lambda a, x: F.when(~a["go"] | (x["kind"] == "skip"), a).when(x["kind"] != "name", F.struct(F.lit(False).alias("go"), a["name"].alias("name"), a["job"].alias("job"), a["duty"].alias("duty"))).otherwise(
-            F.struct(F.lit(True).alias("go"), F.concat(F.coalesce(x["_p"]["name"], x["line"]), a["name"]).alias("name"), F.coalesce(a["job"], x["_p"]["job"]).alias("job"), F.coalesce(a["duty"], x["_p"]["duty"]).alias("duty"))))
-    d = d.select(*keys, "line_no", folded.alias("f"))
-    d = d.withColumn("_q", G.project_line(F.col("f.name"), words))
-    return d.select(*keys, "line_no", F.coalesce("_q.name", "f.name").alias("name"), F.coalesce("f.job", "_q.job").alias("job"), F.coalesce("f.duty", "_q.duty").alias("duty")).where("name <> ''")
-
-
-def tilde_with_context(lines: DataFrame, words: G.Words = G.DEFAULT, above: int = 3, below: int = 2, keys: Sequence[str] = PAGE) -> DataFrame:
-    """``~`` lines with up to ``above`` issuer lines before them and ``below`` short issuer fragments after them."""
+    d = d.withColumn("kind", kind)
+    d = d.withColumn("_island", F.coalesce(F.sum(F.col("kind").isin("date", "stop").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    d = d.groupBy(*keys, "_island").agg(
+        F.max(F.when(F.col("kind") == "date", F.col("line_no"))).alias("line_no"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "name", F.struct("line_no", "line")))).alias("_above")).where("line_no is not null and size(_above) > 0")
+    parts = F.transform("_above", lambda x: F.struct(x["line"].alias("line"), G.project_line(x["line"], words).alias("p")))
+    d = d.select(*keys, "line_no", parts.alias("x"))
+    nearest = lambda f: F.try_element_at(F.filter(F.transform("x", lambda x: x["p"][f]), lambda v: v.isNotNull()), F.lit(-1))
+    d = d.select(*keys, "line_no", F.array_join(F.transform("x", lambda x: F.coalesce(x["p"]["name"], x["line"])), "").alias("name"), nearest("job").alias("job"), nearest("duty").alias("duty"))
+    d = d.withColumn("_q", G.project_line(F.col("name"), words))
+    return d.select(*keys, "line_no", F.coalesce("_q.name", "name").alias("name"), F.coalesce("job", "_q.job").alias("job"), F.coalesce("duty", "_q.duty").alias("duty")).where("name <> ''")
+
+
+def tilde_with_context(lines: DataFrame, words: G.Words = G.DEFAULT, keys: Sequence[str] = PAGE) -> DataFrame:
+    """``~`` lines with all issuer lines right above them and all short issuer fragments right below."""
     line = F.col("line")
     w = Window.partitionBy(*keys).orderBy("line_no")
     org = line.rlike(r"(청|사무소|관리단|사업단|조합|협회|본부|위원회|공단|공사\(주\)|\(주\))$") | contains_any(line, ["건설사무", "지방해양항만"])
@@ -159,16 +162,18 @@ def tilde_with_context(lines: DataFrame, words: G.Words = G.DEFAULT, above: int
     )
     frag = ~shaped & (F.length(line) <= 3) & line.rlike("^[가-힣A-Za-z0-9]+$") & ~F.contains(line, F.lit("참여기술인")) & ~G.is_name_line(line, words)
     d = lines.select(*keys, "line_no", "line", prefix.alias("_p"), frag.alias("_f"))
-    d = d.withColumn("_up", F.collect_list(F.struct("line", F.col("_p").alias("ok"))).over(w.rowsBetween(-above, -1)))
-    d = d.withColumn("_dn", F.collect_list(F.struct("line", F.col("_f").alias("ok"))).over(w.rowsBetween(1, below)))
-    d = d.where(line.startswith("~"))
-    run = lambda arr, glue: F.aggregate(
-        arr, F.struct(F.lit(True).alias("go"), F.lit("").alias("t")),
-        lambda a, x: F.struct((a["go"] & x["ok"]).alias("go"), F.when(a["go"] & x["ok"], glue(a["t"], x["line"])).otherwise(a["t"]).alias("t")), lambda a: a["t"])
-    head = run(F.reverse("_up"), lambda t, x: F.concat(x, t))
-    tail = run(F.col("_dn"), lambda t, x: F.when(F.endswith(t, x), t).otherwise(F.concat(t, x)))
-    merged = F.when(head == "", line).otherwise(F.concat(F.lit("~ "), head, F.lit(" "), F.trim(F.substr(line, F.lit(2)))))
-    d = d.select(*keys, "line_no", G.tilde_line(merged, words).alias("t"), tail.alias("_tail"))
+    # runs of prefix lines belong to the line that ends them, runs of fragments to the line before them
+    count = lambda c, frame: F.coalesce(F.sum((~F.col(c)).cast("int")).over(frame), F.lit(0))
+    d = d.withColumn("_up", count("_p", w.rowsBetween(Window.unboundedPreceding, -1))).withColumn("_dn", count("_f", w))
+    tilde = F.when(line.startswith("~"), F.struct("line_no", "line"))
+    run = lambda c: F.array_sort(F.collect_list(F.when(F.col(c), F.struct("line_no", "line"))))
+    heads = d.groupBy(*keys, "_up").agg(F.max(tilde).alias("t"), run("_p").alias("x")).where("t is not null")
+    heads = heads.select(*keys, "t.line_no", "t.line", F.array_join(F.transform("x", lambda x: x["line"]), "").alias("head"))
+    tails = d.groupBy(*keys, "_dn").agg(F.min(tilde).alias("t"), run("_f").alias("x")).where("t is not null")
+    glue = F.aggregate("x", F.lit(""), lambda t, x: F.when(F.endswith(t, x["line"]), t).otherwise(F.concat(t, x["line"])))
+    d = heads.join(tails.select(*keys, "t.line_no", glue.alias("_tail")), [*keys, "line_no"])
+    merged = F.when(F.col("head") == "", line).otherwise(F.concat(F.lit("~ "), "head", F.lit(" "), F.trim(F.substr(line, F.lit(2)))))
+    d = d.select(*keys, "line_no", G.tilde_line(merged, words).alias("t"), "_tail")
     return d.select(*keys, "line_no", F.when(F.col("t.issuer") != "", F.when(F.endswith("t.issuer", F.col("_tail")), F.col("t.issuer")).otherwise(F.concat("t.issuer", "_tail"))).otherwise("").alias("issuer"), "t.work_type", "t.specialty", "t.position")
 
 

@@ -432,12 +432,13 @@ def is_measure_piece(text: Column) -> Column:
     """A number with a unit, as it continues a cut-off number."""
     t = compact(text)
     u = F.replace(F.replace(t, F.lit(","), F.lit("")), F.lit("㎞"), F.lit("km"))
-    return (F.length(t) <= 48) & u.rlike(r"(?i)^\d+(\.\d+)?(㎥|㎡|%|개소외?|km|m|/min|[a-z]+)$")
+    return u.rlike(r"(?i)^\d+(\.\d+)?(㎥|㎡|%|개소외?|km|m|/min|[a-z]+)$")
 
 
-# Fixed values. Slot hints: which of the four block rows may own column j, and the tie order per column.
-_SLOT_HINTS = [[0, 1, 3, 4, 5], [1, 2, 3, 4], [1, 3, 4], [1, 2, 3, 4]]
-_SLOT_ORDER = {1: [2, 1, 0, 3], 2: [1, 3, 2, 0], 3: [1, 2, 3, 0], 4: [0, 1, 2, 3]}
+# Points of a row for a spilled cell of column 0 to 5 (none: -1), and the rows' order at equal points.
+SLOT_POINTS = [[3, 3, -1, 3, 3, 3], [-1, 3, 3, 3, 3, -1], [-1, 3, -1, 3, 3, -1], [-1, 3, 3, 3, 3, -1]]
+SLOT_ORDER = [[2, 1, 3, 0], [2, 1, 0, 3], [1, 3, 2, 0], [1, 2, 3, 0], [0, 1, 2, 3], [2, 1, 3, 0]]
+TAKEN, MEASURE_TAIL = 10, 55
 
 
 def _put(block: Column, s: Column, j: Column, text: Column) -> Column:
@@ -445,24 +446,16 @@ def _put(block: Column, s: Column, j: Column, text: Column) -> Column:
 
 
 def _slot(block: Column, j: Column, frag: Column) -> Column:
-    """Row slot for a spilled cell: hinted rows score 3, +10 if the cell is taken, +55 for a measure tail."""
-    at = lambda s: F.trim(F.get(F.get(block, s), j))
-    tail = (j == 1) & is_numeric_tail(F.get(F.get(block, 2), F.lit(1))) & is_measure_piece(frag)
-    score = [
-        F.when(j.isin(*_SLOT_HINTS[s]), F.lit(3) + F.when(at(s) != "", 10).otherwise(0)
-               + (F.when(tail, 55).otherwise(0) if s == 2 else F.lit(0))).otherwise(-1)
-        for s in range(4)
-    ]
-    best = F.greatest(*score)
-    def first_of(order: list[int]) -> Column:
-        c = F.when(score[order[0]] == best, order[0])
-        for s in order[1:]:
-            c = c.when(score[s] == best, s)
-        return c.otherwise(order[-1])
-    out = first_of([2, 1, 3, 0])
-    for col, order in _SLOT_ORDER.items():
-        out = F.when(j == col, first_of(order)).otherwise(out)
-    return out
+    """Row for a spilled cell: most points, then first in the column's order.  A taken cell and a cut-off number that the piece goes on earn more."""
+    table = lambda rows: F.array(*[F.array(*[F.lit(v) for v in r]) for r in rows])
+    goes_on = (j == 1) & is_numeric_tail(F.get(F.get(block, 2), F.lit(1))) & is_measure_piece(frag)
+
+    def rated(s: Column) -> Column:
+        points = F.get(F.get(table(SLOT_POINTS), s), j)
+        more = F.when(F.trim(F.get(F.get(block, s), j)) != "", TAKEN).otherwise(0) + F.when((s == 2) & goes_on, MEASURE_TAIL).otherwise(0)
+        return F.struct(F.when(points > 0, points + more).otherwise(points).alias("points"), (-F.array_position(F.get(table(SLOT_ORDER), j), s)).alias("place"), s.alias("s"))
+
+    return F.array_max(F.transform(F.sequence(F.lit(0), F.lit(3)), rated))["s"]
 
 
 def fold_block(rows: Column, width: int = 6) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from recordloom.operators import records as R
@@ -11,18 +12,32 @@ from recordloom.operators.lines import content_lines_of_pages, split_lines
 from recordloom.operators.merge import attach_continuations
 from recordloom.plans import feeds
 from recordloom.plans.feeds import DUCK_FEEDS, duck, table
-from recordloom.plans.q_lookups import WORDS
+from recordloom.plans.q_lookups import _TILDE, WORDS
 from recordloom.plans.registry import query
 
 
+_PAGE = Window.partitionBy("doc_id", "page_no").orderBy("line_no")
+
+
 def _content(spark, sf):
     return content_lines_of_pages(feeds.career_pages(spark, sf))
 
 
+def _with_more_lines(d, at, after=(), before=()):
+    """Lines more around those where ``at`` holds, on every third page."""
+    here = at & (F.col("page_no") % 3 == 0)
+    span = F.sequence(F.when(here, -len(before)).otherwise(0), F.when(here, len(after)).otherwise(0))
+    d = d.select("doc_id", "page_no", "line_no", "line", F.explode(span).alias("k"))
+    more = F.array(*[F.lit(x) for x in [*before, "", *after]])
+    return d.select("doc_id", "page_no", (F.col("line_no") * 64 + F.col("k")).alias("line_no"), F.when(F.col("k") == 0, F.col("line")).otherwise(F.get(more, F.col("k") + len(before))).alias("line"))
+
+
 @query("date_blocks", duck("select doc_id, page_no, cast(k - 1 as bigint) as block, start_iso as start_date, end_iso as end_date, recog as recog_days, part as part_days from spine", "spine"))
 def date_blocks(spark, sf):
-    """Cursor fold over every page; every rendered record must come back as one block."""
-    return R.date_blocks(_content(spark, sf)).drop("line_no")
+    """Cursor fold over every page; every rendered record must come back as one block, on every third page with 13 lines of text between all its dates."""
+    c = _content(spark, sf).withColumn("starts", ~F.coalesce(F.lag("line").over(_PAGE).startswith("~"), F.lit(False)))
+    dated = F.col("line").rlike(r"^\d{4}\.\d{2}\.\d{2}$") & F.col("starts")
+    return R.date_blocks(_with_more_lines(c, dated, [f"- 구간 {i}" for i in range(13)])).drop("line_no")
 
 
 _EB = """select doc_id, page_no, rec_idx * 2 + c as ord, start_date, end_date, recog_days, part_days, case when c = 1 then concat(project_name, '추가') else project_name end as name from careers {copies} where c = 0 or rec_idx % 3 = 0"""
@@ -40,17 +55,26 @@ def equal_blocks(spark, sf):
     return d.withColumn("names", F.array_join("names", "|"))
 
 
-@query("names_backward", duck("""select doc_id, page_no, case when k = 1 and status = 'O' then '분야별 참여기간 인정일' when k = 1 and status = 'P' then '2. 건설사업관리 및 감리경력' else '' end || name as name, case when h % 3 <> 0 then job end as job, case when h % 3 <> 0 then duty end as duty
- from spine where not (k = 1 and note = '2-HIGH') and not (k > 1 and (h - 13) % 5 = 0 and (h - 13) % 7 <> 0)""", "spine"))
+_MORE_NAMES = [f"{x}구간확장공사" for x in "가나다라마바사아자차카타파"]
+
+
+@query("names_backward", duck("""select doc_id, page_no, case when stopped then '' when k = 1 and status = 'O' then '분야별 참여기간 인정일' when k = 1 and status = 'P' then '2. 건설사업관리 및 감리경력' else '' end
+  || case when stopped then '' else name end || case when page_no % 3 = 0 then '""" + "".join(_MORE_NAMES) + """' else '' end as name, case when h % 3 <> 0 and not stopped then job end as job, case when h % 3 <> 0 and not stopped then duty end as duty
+ from (select *, (k = 1 and note = '2-HIGH') or (k > 1 and (h - 13) % 5 = 0 and (h - 13) % 7 <> 0) as stopped from spine) where page_no % 3 = 0 or not stopped""", "spine"))
 def names_backward(spark, sf):
-    """Project name above every start date."""
-    return R.names_before_dates(_content(spark, sf), WORDS).drop("line_no")
+    """Project name above every start date, on every third page over 14 lines."""
+    return R.names_before_dates(_with_more_lines(_content(spark, sf), F.col("line").rlike("^제[0-9]+호"), _MORE_NAMES), WORDS).drop("line_no")
+
+
+_HEADS, _TAILS = ["가나건설사무", "다라지방해양항만", "마바관리단", "사아조합", "자차청"], ["국", "과", "팀"]
 
 
-@query("tilde_context", duck("select doc_id, page_no, issuer, work_type, specialty, position from tilde", "tilde"))
+@query("tilde_context", duck(f"""select doc_id, page_no, case when page_no % 3 = 0 and issuer <> '' then issuer || '{"".join(_TAILS)}' else issuer end as issuer, work_type, specialty, position from wide""", "content", extra={
+    "ctx": f"select doc_id, page_no, line_no, case when page_no % 3 = 0 and starts_with(line, '~') then '~ {''.join(_HEADS)} ' || trim(substr(line, 2)) else line end as line from content",
+    "wide": _TILDE.replace("from content", "from ctx")}))
 def tilde_context(spark, sf):
-    """``~`` lines with issuer lines above and fragments below."""
-    return R.tilde_with_context(_content(spark, sf), WORDS).drop("line_no")
+    """``~`` lines, on every third page with five issuer lines above and three fragments below."""
+    return R.tilde_with_context(_with_more_lines(_content(spark, sf), F.col("line").startswith("~"), _TAILS, _HEADS), WORDS).drop("line_no")
 
 
 _CONT = """select doc_id, page_no, string_agg(case when arrow then trim(substr(line, 3)) else line end, chr(10) order by line_no) as cont from (
