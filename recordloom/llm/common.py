@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -47,14 +48,44 @@ def row_key(row_id: Column, text: Column) -> list[Column]:
     return [F.xxhash64(row_id, text).alias("_k1"), F.xxhash64(F.lit("row"), text, row_id).alias("_k2")]
 
 
+_OPEN: list[list[str]] = []
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: lineage is cut, no executor holds the only copy."""
     spark = df.sparkSession
     path = run_folder(spark, tag)
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, tag: str, steps: Callable[[], DataFrame]) -> DataFrame:
+    """What ``steps`` gives as a written table; the tables written on the way there are deleted, and their shuffles let go.
+
+    For results that are small beside what leads to them.
+    """
+    _OPEN.append([])
+    try:
+        path = run_folder(spark, tag)
+        out = steps()
+        out.write.option("compression", "zstd").parquet(path)
+        schema = out.schema
+        del out
+    finally:
+        done = _OPEN.pop()
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in done:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        where.getFileSystem(conf).delete(where, True)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def pieces_of(batches: Iterable[pa.RecordBatch], column: int, max_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Zero-copy slices of the batches, each with about ``max_bytes`` of binary column ``column`` or a single row."""
     for b in batches:

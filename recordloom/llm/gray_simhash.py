@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from recordloom.llm.common import connected_components, pieces_of, positional, written
+from recordloom.llm.common import connected_components, pieces_of, positional, settled, written
 from recordloom.llm.shingle_sets import similar_groups
 
 U = np.uint64
@@ -272,9 +272,13 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     those of texts whose sets of ``shingle``-word shingles reach it.
     """
     d, where = positional(docs)
-    groups = near_duplicates(docs, doc_id, text, shingle) if similarity is None else similar_groups(docs, doc_id, text, shingle, similarity)
-    best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("k"))
-    best = best.select(F.col("k.k1").alias("_k1"), F.col("k.k2").alias("_k2"))
+
+    def steps() -> DataFrame:
+        groups = near_duplicates(docs, doc_id, text, shingle) if similarity is None else similar_groups(docs, doc_id, text, shingle, similarity)
+        best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("k"))
+        return best.select(F.col("k.k1").alias("_k1"), F.col("k.k2").alias("_k2"))
+
+    best = settled(docs.sparkSession, "kept", steps)
     i, t = F.col(where[doc_id]), F.col(where[text])
     kept = d.withColumns({"_k1": F.xxhash64(i, t), "_k2": F.xxhash64(F.lit("row"), t, i)}).join(best, ["_k1", "_k2"], "left_semi")
     return kept.dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2").toDF(*docs.columns)

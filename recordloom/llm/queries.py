@@ -117,7 +117,8 @@ def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordloom.llm.run_index import remove_repeats
 
     r = remove_repeats(take(table(spark, sf_dir, "documents"), "doc_id", "text"))
-    return r.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return r.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                    F.octet_length("kept").cast("bigint").alias("n_kept"), F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
 
 
 @query("op9_decontaminate")

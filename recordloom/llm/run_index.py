@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_digest, xxh3_64_intdigest
 
-from recordloom.llm.common import flat_bytes, pieces_of, positional, written
+from recordloom.llm.common import flat_bytes, pieces_of, positional, settled, written
 
 U = np.uint64
 WINDOW = 400
@@ -328,11 +328,15 @@ def _cut(raw: bytes, starts: list[int], ends: list[int]) -> tuple[bytes, int, in
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """From ``_k1, _k2, raw``: rows ``_k1, _k2, spans`` with the byte spans (structs ``s, e``) whose windows also start elsewhere."""
-    segments = written(rows.mapInArrow(_segment_rows(window), _SEGMENT), "segments")
-    marks = repeated_segments(rows, segments, window).select("anchor", "digest", F.explode(F.arrays_zip("from", "to")).alias("m")).select("anchor", "digest", "m.from", "m.to")
-    spans = segments.select("_k1", "_k2", "anchor", "digest", "start").join(marks, ["anchor", "digest"])
-    spans = spans.select("_k1", "_k2", (F.col("start") + F.col("from")).alias("s"), (F.col("start") + F.col("to") + window - 1).alias("e"))
-    return spans.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+
+    def steps() -> DataFrame:
+        segments = written(rows.mapInArrow(_segment_rows(window), _SEGMENT), "segments")
+        marks = repeated_segments(rows, segments, window).select("anchor", "digest", F.explode(F.arrays_zip("from", "to")).alias("m")).select("anchor", "digest", "m.from", "m.to")
+        spans = segments.select("_k1", "_k2", "anchor", "digest", "start").join(marks, ["anchor", "digest"])
+        spans = spans.select("_k1", "_k2", (F.col("start") + F.col("from")).alias("s"), (F.col("start") + F.col("to") + window - 1).alias("e"))
+        return spans.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+
+    return settled(rows.sparkSession, "spans", steps)
 
 
 def _word_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,7 +369,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = d.select(*[c.alias(k) for k, c in keys.items()], t.cast("binary").alias("raw"))
     spans = repeated_spans(rows, window)
     if words:
-        codes = written(rows.mapInArrow(_word_codes, "_k1 bigint, _k2 bigint, raw binary"), "words")
+        codes = rows.mapInArrow(_word_codes, "_k1 bigint, _k2 bigint, raw binary")
         spans = spans.join(repeated_spans(codes, words * CODE).withColumnRenamed("spans", "runs"), ["_k1", "_k2"], "full")
     else:
         spans = spans.withColumn("runs", F.array().cast(spans.schema["spans"].dataType))
