@@ -592,13 +592,14 @@ def join_broken_rows(rows: DataFrame) -> DataFrame:
 
 
 def locate_columns(
-    rows: DataFrame, words: Sequence[str], columns: dict[str, tuple[str, int]], exclude: Sequence[str] = (), stop: Sequence[str] = (),
+    rows: DataFrame, words: Sequence[str], columns: dict[str, tuple[str, int]], exclude: Sequence[str] = (), stop: Sequence[str] = (), whole: bool = False,
 ) -> DataFrame:
     """Data rows of a section with the cells of its columns picked by header keyword.
 
     The section header is the first row holding one of ``words`` and none of
     ``exclude``; ``columns`` maps an output name to (header keyword, default
-    index); rows end before the first later row holding one of ``stop``.
+    index); rows end before the first later row holding one of ``stop``.  ``whole``
+    adds all cells, the ``header`` and every column's number as ``<name>_at``.
     """
     line = joined(F.col("cells"))
     w = Window.partitionBy(*TABLE)
@@ -620,7 +621,8 @@ def locate_columns(
         for out, (key, default) in columns.items()
     }
     return d.where("row_no > _h").select(
-        *TABLE, "row_no", *[F.trim(F.coalesce(F.get("cells", p.cast("int")), F.lit(""))).alias(o) for o, p in pos.items()]
+        *TABLE, "row_no", *[F.trim(F.coalesce(F.get("cells", p.cast("int")), F.lit(""))).alias(o) for o, p in pos.items()],
+        *(["cells", F.col("_head").alias("header"), *[p.cast("int").alias(o + "_at") for o, p in pos.items()]] if whole else []),
     )
 
 

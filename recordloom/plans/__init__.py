@@ -14,6 +14,7 @@ MODULES: tuple[str, ...] = (
     "q_layout",
     "q_io",
     "q_fallbacks",
+    "q_flows",
 )
 
 
