@@ -234,7 +234,9 @@ def neighbour_prints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     # ascending in the order wanted: larger ids first, null last
     key = F.coalesce(F.bitwise_not(i).cast("decimal(20,0)"), F.lit(str(2**63)).cast("decimal(20,0)"))
     rows = d.select(i.alias("doc_id"), t.alias("text"), key.alias("key"))
-    borders = rows.select("key").repartitionByRange("key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("key").alias("start"))
+    # so many buckets as the session asks for shuffles: ids alone are too small to tell how many their texts need
+    n = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    borders = rows.select("key").repartitionByRange(n, "key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("key").alias("start"))
     starts = sorted(r["start"] for r in borders.select("start").collect())
     if not starts:
         return d.sparkSession.createDataFrame([], RESULT)
@@ -244,5 +246,5 @@ def neighbour_prints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     before = F.struct(F.when(F.col("bucket") == 0, len(starts) - 1).otherwise(F.col("bucket") - 1).alias("bucket"), F.lit(True).alias("guard"))
     places = F.when(F.col("key") == F.get(known, F.col("bucket")), F.array(own, before)).otherwise(F.array(own))
     dealt = rows.select("doc_id", "text", "key", F.explode(places).alias("p")).select("p.bucket", "doc_id", "text", "p.guard", "key")
-    dealt = dealt.repartition(len(starts), "bucket").sortWithinPartitions("bucket", "guard", "key", F.xxhash64("text"))
+    dealt = dealt.repartitionById(len(starts), "bucket").sortWithinPartitions("bucket", "guard", "key", F.xxhash64("text"))
     return dealt.select("bucket", "doc_id", "text", "guard").mapInArrow(_pairs, RESULT)
