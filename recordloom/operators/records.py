@@ -22,7 +22,7 @@ def _page_arrays(lines: DataFrame, keys: Sequence[str], *fields: Column) -> Data
 
 
 def date_blocks(lines: DataFrame, keys: Sequence[str] = PAGE, date_mode: str = "keep_month") -> DataFrame:
-    """Start, end and the two day counts of every period block of a page, in order.
+    """Start, end and the two day counts of every period block of a page, in order, with its first and last line (``line_no, last_no``).
 
     A block opens at a date line.  Its ``~`` is looked for up to the next project or
     day count; the end is then one of the two lines after it, without a ``~`` it is
@@ -42,7 +42,7 @@ def date_blocks(lines: DataFrame, keys: Sequence[str] = PAGE, date_mode: str = "
     g = _page_arrays(d, keys, "line", "date", "tilde", "daysline", "start", F.contains(compact(line), F.lit(ONGOING)).alias("ongoing"), days_tokens(line).alias("days"))
     r = F.col("r")
     n = F.size(r)
-    empty = F.array().cast("array<struct<line_no:bigint,start:string,end:string,recog:string,part:string>>")
+    empty = F.array().cast("array<struct<line_no:bigint,last_no:bigint,start:string,end:string,recog:string,part:string>>")
 
     def first_index(lo: Column, hi: Column, test) -> Column:
         """First index in [lo, hi) with ``test``, else null."""
@@ -53,14 +53,14 @@ def date_blocks(lines: DataFrame, keys: Sequence[str] = PAGE, date_mode: str = "
         return F.coalesce(x["date"], F.lit(False))
 
     def tokens_from(cursor: Column) -> Column:
-        """struct(days, next): tokens before the next block and the index to go on from."""
+        """struct(days, next, from): tokens before the next block, the index to go on from and the one begun at."""
         cut = F.coalesce(first_index(cursor, n, lambda x: x["start"] | (x["date"] & (x["line_no"] != F.get(r, cursor)["line_no"]))), n)
 
         def read(c: Column) -> Column:
             toks = F.flatten(F.transform(F.slice(r, cursor + 1, F.greatest(c - cursor, F.lit(0))), lambda x, o: F.transform(x["days"], lambda t: F.struct(o.alias("o"), t.alias("d")))))
             return let(toks, lambda t: F.struct(
                 F.transform(F.slice(t, 1, 2), lambda x: x["d"]).alias("days"),
-                F.when(F.size(t) >= 2, cursor + F.get(t, F.lit(1))["o"] + 1).otherwise(F.greatest(c, cursor)).alias("next")))
+                F.when(F.size(t) >= 2, cursor + F.get(t, F.lit(1))["o"] + 1).otherwise(F.greatest(c, cursor)).alias("next"), cursor.alias("from")))
 
         return let(cut, read)
 
@@ -87,8 +87,9 @@ def date_blocks(lines: DataFrame, keys: Sequence[str] = PAGE, date_mode: str = "
         here = F.get(r, i)
 
         def add(end: Column, t: Column) -> Column:
+            last = F.get(r, F.when(F.size(t["days"]) >= 2, t["next"] - 1).otherwise(t["from"] - 1))["line_no"]
             return F.struct(t["next"].alias("i"), F.concat(acc["out"], F.array(F.struct(
-                here["line_no"].alias("line_no"), date_to_iso(here["line"], date_mode).alias("start"), end.alias("end"),
+                here["line_no"].alias("line_no"), last.alias("last_no"), date_to_iso(here["line"], date_mode).alias("start"), end.alias("end"),
                 F.coalesce(F.get(t["days"], F.lit(0)), F.lit("")).alias("recog"), F.coalesce(F.get(t["days"], F.lit(1)), F.lit("")).alias("part")))).alias("out"))
 
         def with_tilde(t: Column) -> Column:
@@ -106,7 +107,7 @@ def date_blocks(lines: DataFrame, keys: Sequence[str] = PAGE, date_mode: str = "
 
     out = F.aggregate(F.sequence(F.lit(0), n - 1), F.struct(F.lit(0).alias("i"), empty.alias("out")), step, lambda a: a["out"])
     return g.select(*keys, F.posexplode(out).alias("block", "b")).select(
-        *keys, F.col("block").cast("bigint").alias("block"), "b.line_no", F.col("b.start").alias("start_date"), F.col("b.end").alias("end_date"),
+        *keys, F.col("block").cast("bigint").alias("block"), "b.line_no", "b.last_no", F.col("b.start").alias("start_date"), F.col("b.end").alias("end_date"),
         F.col("b.recog").alias("recog_days"), F.col("b.part").alias("part_days"))
 
 

@@ -37,7 +37,7 @@ def date_blocks(spark, sf):
     """Cursor fold over every page; every rendered record must come back as one block, on every third page with 13 lines of text between all its dates."""
     c = _content(spark, sf).withColumn("starts", ~F.coalesce(F.lag("line").over(_PAGE).startswith("~"), F.lit(False)))
     dated = F.col("line").rlike(r"^\d{4}\.\d{2}\.\d{2}$") & F.col("starts")
-    return R.date_blocks(_with_more_lines(c, dated, [f"- 구간 {i}" for i in range(13)])).drop("line_no")
+    return R.date_blocks(_with_more_lines(c, dated, [f"- 구간 {i}" for i in range(13)])).drop("line_no", "last_no")
 
 
 _EB = """select doc_id, page_no, rec_idx * 2 + c as ord, start_date, end_date, recog_days, part_days, case when c = 1 then concat(project_name, '추가') else project_name end as name from careers {copies} where c = 0 or rec_idx % 3 = 0"""
