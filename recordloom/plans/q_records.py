@@ -204,16 +204,6 @@ def education_rows(spark, sf):
     return d.select("doc_id", "e.*")
 
 
-@query("training_rows", duck("""select doc_id, replace(left(p, 10), '.', '-') as start, replace(right(p, 10), '.', '-') as "end", case when tail = '' then '안전관리 (원격교육)' else '안전관리 (원격' || tail || ')' end as course, '건설기술교육원' as institution, '품질관리' as recognition
- from (select a.doc_id, a.cells[2] as p, b.cells[4] as tail from front a join front b on a.doc_id = b.doc_id and a.row_no = 10 and b.row_no = 11)""", "front"))
-def training_rows(spark, sf):
-    """Islands at date ranges, then course, institution and recognition."""
-    rows = front_section(spark, sf, "training").select("doc_id", "page_no", F.col("row_no").alias("line_no"), T.joined(F.col("cells")).alias("line"))
-    rows = rows.withColumn("line", F.when(F.col("line_no") == 10, F.concat("line", F.lit(" 품질관리"))).otherwise(F.col("line"))).where("line <> ''")
-    d = R.line_islands(rows, F.col("line").rlike(r"^\d{4}\.\d{2}\.\d{2}\s*~"), ["doc_id", "page_no"])
-    return d.select("doc_id", R.training_row(F.col("text")).alias("t")).select("doc_id", "t.*")
-
-
 @query("penalty", duck("""select doc_id, case when p = '' or p = '해당없음' then '해당없음' else replace(p, '점', '') end as points, case when s <> '' then replace(s, '.', '-') end as sanction_date from (select doc_id, cells[2] as p, cells[3] as s from front where row_no = 15)""", "front"))
 def penalty(spark, sf):
     """Points, and a sanction row where a date is given."""
