@@ -400,22 +400,27 @@ EDU_KIND = "(?:학사|석사|박사과정|박사수료|박사|없음|대졸|전
 
 
 def education_row(text: Column) -> Column:
-    """struct(date, prev_school, school, major, degree, status) of 'date school major degree[status]', null otherwise."""
+    """struct(date, prev_school, school, major, degree, status) of 'date school major degree[status]', null otherwise.
+
+    The major begins at the first word that ends like one, else it is the last word;
+    what stands behind the status goes to the major.
+    """
     s = squeeze(text)
-    pat = rf"(?:^|\s)(?:학력\s+)?(\d{{4}}\.\d{{2}}\.\d{{2}})\s+(.+?)\s*({EDU_KIND})\[\s*([^\]]+?)\s*\]"
+    pat = rf"(?:^|\s)(?:학력\s+)?(\d{{4}}\.\d{{2}}\.\d{{2}})\s+(.+?)\s*({EDU_KIND})\[\s*([^\]]+?)\s*\]\s*(.*)$"
     g = lambda i: F.regexp_extract(s, pat, i)
 
     def read(x: Column) -> Column:
         t = F.filter(F.split(x["body"], " "), lambda y: y != "")
         at = F.get(F.filter(F.sequence(F.lit(1), F.greatest(F.size(t) - 1, F.lit(1))), lambda i: F.get(t, i).rlike("(과|학과|전공|학부)$")), F.lit(0))
+        at = F.coalesce(at, F.when(F.size(t) >= 2, F.size(t) - 1))
         school = F.array_join(F.slice(t, F.lit(1), F.coalesce(at, F.size(t))), " ")
-        major = F.array_join(F.slice(t, F.coalesce(at, F.size(t)) + 1, F.size(t)), " ")
+        major = F.trim(F.concat_ws(" ", F.array_join(F.slice(t, F.coalesce(at, F.size(t)) + 1, F.size(t)), " "), F.regexp_replace(x["rest"], r"(^|\s+)학력\s*$", "")))
         now = F.regexp_extract(school, r"\((?:現|현)\s*[:：]\s*([^)]+)\)", 1)
         return F.struct(
             date_to_iso(x["d"], "passthrough").alias("date"), F.when(now != "", F.trim(F.regexp_extract(school, r"^([^(]*)\(", 1))).otherwise("").alias("prev_school"),
             F.when(now != "", F.trim(now)).otherwise(school).alias("school"), major.alias("major"), x["deg"].alias("degree"), x["st"].alias("status"))
 
-    return F.when(g(1) != "", let(F.struct(g(1).alias("d"), g(2).alias("body"), g(3).alias("deg"), g(4).alias("st")), read))
+    return F.when(g(1) != "", let(F.struct(g(1).alias("d"), g(2).alias("body"), g(3).alias("deg"), g(4).alias("st"), g(5).alias("rest")), read))
 
 
 # Recognition words and the endings of training institutions.
