@@ -326,12 +326,21 @@ def _cut(raw: bytes, starts: list[int], ends: list[int]) -> tuple[bytes, int, in
     return b"".join(kept), int((run_end - run_start).sum()), len(run_start)
 
 
-def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """From ``_k1, _k2, raw``: rows ``_k1, _k2, spans`` with the byte spans (structs ``s, e``) whose windows also start elsewhere."""
+def repeated_spans(rows: DataFrame, window: int = WINDOW, codes: bool = False) -> DataFrame:
+    """From ``_k1, _k2, raw``: rows ``_k1, _k2, spans`` with the byte spans (structs ``s, e``) whose windows also start elsewhere.
+
+    With ``codes`` windows and spans count bytes of the words' codes, which one
+    Python worker makes and cuts into segments.
+    """
+    cut = _segment_rows(window)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return cut(_word_codes(batches))
 
     def steps() -> DataFrame:
-        segments = written(rows.mapInArrow(_segment_rows(window), _SEGMENT), "segments")
-        marks = repeated_segments(rows, segments, window).select("anchor", "digest", F.explode(F.arrays_zip("from", "to")).alias("m")).select("anchor", "digest", "m.from", "m.to")
+        segments = written(rows.mapInArrow(coded if codes else cut, _SEGMENT), "segments")
+        raw = rows.mapInArrow(_word_codes, "_k1 bigint, _k2 bigint, raw binary") if codes else rows
+        marks = repeated_segments(raw, segments, window).select("anchor", "digest", F.explode(F.arrays_zip("from", "to")).alias("m")).select("anchor", "digest", "m.from", "m.to")
         spans = segments.select("_k1", "_k2", "anchor", "digest", "start").join(marks, ["anchor", "digest"])
         spans = spans.select("_k1", "_k2", (F.col("start") + F.col("from")).alias("s"), (F.col("start") + F.col("to") + window - 1).alias("e"))
         return spans.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
@@ -369,8 +378,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = d.select(*[c.alias(k) for k, c in keys.items()], t.cast("binary").alias("raw"))
     spans = repeated_spans(rows, window)
     if words:
-        codes = rows.mapInArrow(_word_codes, "_k1 bigint, _k2 bigint, raw binary")
-        spans = spans.join(repeated_spans(codes, words * CODE).withColumnRenamed("spans", "runs"), ["_k1", "_k2"], "full")
+        spans = spans.join(repeated_spans(rows, words * CODE, codes=True).withColumnRenamed("spans", "runs"), ["_k1", "_k2"], "full")
     else:
         spans = spans.withColumn("runs", F.array().cast(spans.schema["spans"].dataType))
     j = d.withColumns(keys).join(spans, ["_k1", "_k2"], "left")
