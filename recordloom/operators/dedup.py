@@ -166,7 +166,7 @@ def normalize_award_text(c: Column) -> Column:
         return let(award_blocks(t), lambda b: let(collapse_blocks(b), lambda b2: F.when((F.size(b) >= 2) & (b != b2), F.array_join(b2, " ")).otherwise(t)))
 
     def close(t: Column) -> Column:
-        opened = (count_char(t, "[") > count_char(t, "]")) & (F.length(t) < 240)
+        opened = (count_char(t, "[") > count_char(t, "]"))
         t2 = F.when(opened, F.concat(t, F.lit("]"))).otherwise(t)
         first = F.regexp_extract(t2, r"^(.*?(?:" + "|".join(AWARD_KINDS) + r")\[)([^\]]*)(\].*)$", 2)
         return F.when(first == "", t2).otherwise(F.concat(

@@ -184,7 +184,7 @@ def page_continuations(lines: DataFrame, keys: Sequence[str] = PAGE) -> DataFram
     w = Window.partitionBy(*keys).orderBy("line_no")
     date, arrow = line.rlike(DATE_LINE), line.startswith(ARROW)
     d = lines.select(*keys, "line_no", "line", date.alias("_d"), arrow.alias("_a"), F.coalesce(date & F.lead(line).over(w).startswith("~"), F.lit(False)).alias("_dt"))
-    d = d.withColumn("_next", F.coalesce(F.first(F.when(F.col("_d"), F.col("_dt")), ignorenulls=True).over(w.rowsBetween(1, 16)), F.lit(False)))
+    d = d.withColumn("_next", F.coalesce(F.first(F.when(F.col("_d"), F.col("_dt")), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(False)))
     wp = Window.partitionBy(*keys)
     d = d.withColumn("_from", F.min(F.when(F.col("_a"), F.col("line_no"))).over(wp))
     end = (

@@ -84,31 +84,40 @@ def first_attempt_rows(rows: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- scoring
+RECORD_START = r"^\s*\d{4}\.\d{2}\.\d{2}"
+
+
+def _first(cond: Column) -> Column:
+    """First row that meets a condition, as an aggregate."""
+    return F.min(F.when(cond, F.col("row_no")))
+
+
+def _head_end(cells: Column) -> Column:
+    """A table's head ends with its first record row, or with the table."""
+    return F.coalesce(_first(F.trim(cell(cells, 0)).rlike(RECORD_START)), F.lit(2**31 - 1))
+
+
 def career_table_score(rows: DataFrame, section: str = "tech") -> DataFrame:
     """One row per table: score tuple (base, n_header, max_cols) for career tables.
 
     Keyword rows in the head, column count and filled rows add up; both outer
     columns present adds 900; a keyword-rich table of at most four columns loses
-    900; a note table loses 2500; two columns or fewer disqualify.
+    900; a note table loses 2500; two columns or fewer disqualify.  The head is what
+    stands before the first record, that row included.
     """
     tech = section == "tech"
-    head_rows, words = (12, TECH_TABLE_WORDS) if tech else (14, CM_TABLE_WORDS)
-    head = F.col("row_no") < head_rows
+    words = TECH_TABLE_WORDS if tech else CM_TABLE_WORDS
     line = F.col("line")
-    d = rows.select(*TABLE, "row_no", F.size("cells").alias("n_cols"), joined(F.col("cells")).alias("line"), filled(F.col("cells")).alias("n_filled"))
-    any_head = lambda cond: F.coalesce(F.max((head & cond).cast("int")), F.lit(0)) == 1
-    note_pair = (
-        any_head(F.contains(line, F.lit("책임정도의"))) & any_head(F.contains(line, F.lit("보정계수")))
-        if tech
-        else any_head(F.contains(line, F.lit("건설기술"))) & any_head(F.contains(line, F.lit("시행령"))) & any_head(F.contains(line, F.lit("제45조")))
-    )
+    d = rows.select(*TABLE, "row_no", "cells", F.size("cells").alias("n_cols"), joined(F.col("cells")).alias("line"), filled(F.col("cells")).alias("n_filled"))
+    has = lambda w: F.contains(line, F.lit(w))
+    notes = ["책임정도의", "보정계수"] if tech else ["건설기술", "시행령", "제45조"]
     a = d.groupBy(*TABLE).agg(
-        F.max("n_cols").cast("bigint").alias("max_cols"), F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(head & contains_any(line, words)).alias("n_header"),
-        F.count_if(F.col("n_filled") > 0).alias("n_filled_rows"),
-        (any_head(F.contains(line, F.lit("※"))) | any_head(line.rlike(TECH_NOTE if tech else CM_NOTE)) | note_pair).alias("is_note"),
-        (any_head(F.contains(line, F.lit("참여기간"))) & any_head(F.contains(line, F.lit("비고")))).alias("both_sides"),
-    )
+        F.max("n_cols").cast("bigint").alias("max_cols"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("n_filled") > 0).alias("n_filled_rows"),
+        _head_end(F.col("cells")).alias("end"), F.collect_list(F.when(contains_any(line, words), F.col("row_no"))).alias("word_rows"),
+        F.array(_first(has("※") | line.rlike(TECH_NOTE if tech else CM_NOTE))).alias("note"), F.array(*[_first(has(w)) for w in notes]).alias("pair"),
+        F.array(_first(has("참여기간")), _first(has("비고"))).alias("sides"))
+    in_head = lambda c: F.coalesce(F.forall(c, lambda x: x <= F.col("end")), F.lit(False))
+    a = a.select("*", F.size(F.filter("word_rows", lambda x: x <= F.col("end"))).alias("n_header"), (in_head("note") | in_head("pair")).alias("is_note"), in_head("sides").alias("both_sides"))
     base = (
         F.when(F.col("n_header") >= 1, 1200).otherwise(0) + F.col("max_cols") * 20 + F.col("n_filled_rows")
         + F.when(F.col("both_sides"), 900).otherwise(0)
@@ -119,44 +128,41 @@ def career_table_score(rows: DataFrame, section: str = "tech") -> DataFrame:
     return a.select(
         *TABLE,
         F.when(small, F.lit(-10000)).otherwise(base).cast("bigint").alias("s1"),
-        F.when(small, F.col("max_cols")).otherwise(F.col("n_header")).alias("s2"),
+        F.when(small, F.col("max_cols")).otherwise(F.col("n_header")).cast("bigint").alias("s2"),
         F.when(small, F.col("n_rows")).otherwise(F.col("max_cols")).alias("s3"),
     )
 
 
 def front_table_score(rows: DataFrame) -> DataFrame:
-    """(keyword hits in the first 120 rows, rows) for front pages."""
+    """(keyword hits, rows) for front pages."""
     line = F.col("_line")
     d = rows.select(*TABLE, "row_no", F.replace(joined(F.col("cells")), F.lit("\n"), F.lit(" ")).alias("_line"))
     return d.groupBy(*TABLE).agg(
-        F.sum(F.when(F.col("row_no") < 120, count_hits(line, FRONT_TABLE_WORDS)).otherwise(0)).cast("bigint").alias("s1"),
+        F.sum(count_hits(line, FRONT_TABLE_WORDS)).cast("bigint").alias("s1"),
         F.count(F.lit(1)).alias("s2"), F.lit(0).cast("bigint").alias("s3"),
     )
 
 
 def export_table_score(rows: DataFrame) -> DataFrame:
-    """(base, label hits, columns) used when dumping one best table per page."""
+    """(base, label hits, columns) used when dumping one best table per page; labels and notes count in the head, up to the first record."""
     line = F.col("_line")
     rows = rows.withColumn("_line", joined(F.col("cells")))
-    hit = lambda n, w: F.max((F.col("row_no") < n).cast("int") * F.contains(line, F.lit(w)).cast("int"))
-    hits18 = sum((hit(18, w) for w in LABEL_WORDS[1:]), hit(18, LABEL_WORDS[0]))
-    hits12 = sum((hit(12, w) for w in LABEL_WORDS[1:]), hit(12, LABEL_WORDS[0]))
+    has = lambda w: F.contains(line, F.lit(w))
     a = rows.groupBy(*TABLE).agg(
-        F.max(F.size("cells")).cast("bigint").alias("cols"), F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(filled(F.col("cells")) > 0).alias("n_filled"), hits18.alias("hits"), hits12.alias("hits12"),
-        ((hit(18, "참여기간") == 1) & (hit(18, "비고") == 1)).alias("both_sides"),
-        ((hit(12, "※") == 1)
-         | (F.max((F.col("row_no") < 12).cast("int") * line.rlike(r"(?U)\b[12]\.\s*(기술경력|건설사업관리|감리경력)\b").cast("int")) == 1)
-         | ((hit(12, "책임정도의") == 1) & (hit(12, "보정계수") == 1))
-         | (F.sum(F.when(F.col("row_no") < 12, F.length(squeeze(line))).otherwise(0)) == 0)).alias("is_note"),
-        F.sum(F.when((F.col("row_no") < 12) & (squeeze(line) != ""), F.length(squeeze(line)) + 1).otherwise(0)).alias("head_len"),
-    )
-    wordy = (F.col("hits12") <= 1) & (F.col("head_len") - 1 >= 80)
+        F.max(F.size("cells")).cast("bigint").alias("cols"), F.count(F.lit(1)).alias("n_rows"), F.count_if(filled(F.col("cells")) > 0).alias("n_filled"),
+        _head_end(F.col("cells")).alias("end"), F.array(*[_first(has(w)) for w in LABEL_WORDS]).alias("labels"), F.array(_first(has("참여기간")), _first(has("비고"))).alias("sides"),
+        F.array(_first(has("※") | line.rlike(r"(?U)\b[12]\.\s*(기술경력|건설사업관리|감리경력)\b"))).alias("note"), F.array(_first(has("책임정도의")), _first(has("보정계수"))).alias("pair"),
+        F.collect_list(F.struct("row_no", F.length(squeeze(line)).alias("n"))).alias("sizes"))
+    in_head = lambda c: F.coalesce(F.forall(c, lambda x: x <= F.col("end")), F.lit(False))
+    texts = F.filter("sizes", lambda x: (x["row_no"] <= F.col("end")) & (x["n"] > 0))
+    a = a.select("*", F.size(F.filter("labels", lambda x: x <= F.col("end"))).alias("hits"), in_head("sides").alias("both_sides"), F.size(texts).alias("n_texts"),
+                 F.aggregate(texts, F.lit(0), lambda n, x: n + x["n"] + 1).alias("head_len"))
+    wordy = (F.col("hits") <= 1) & (F.col("head_len") - 1 >= 80)
     base = (
         F.col("hits") * 220 + F.col("cols") * 25 + F.col("n_filled")
         + F.when(F.col("both_sides"), 800).otherwise(0)
         - F.when((F.col("hits") >= 3) & (F.col("cols") <= 4), 900).otherwise(0)
-        - F.when(F.col("is_note") | wordy, 2000).otherwise(0)
+        - F.when(in_head("note") | in_head("pair") | (F.col("n_texts") == 0) | wordy, 2000).otherwise(0)
     )
     small = F.col("cols") < 3
     return a.select(
@@ -200,29 +206,28 @@ def keep_best(rows: DataFrame, best: DataFrame) -> DataFrame:
     return rows.join(best.select(*TABLE), list(TABLE), "left_semi")
 
 
-def has_header_signal(rows: DataFrame, words: Sequence[str], scan_rows: int = 45) -> DataFrame:
-    """Does any table of the page show one of ``words`` in its first rows?"""
+def has_header_signal(rows: DataFrame, words: Sequence[str]) -> DataFrame:
+    """Does any table of the page show one of ``words``?"""
     line = F.col("_line")
     return rows.withColumn("_line", joined(F.col("cells"))).groupBy(*PAGE).agg(
-        (F.max((F.col("row_no") < scan_rows).cast("int") * contains_any(line, list(words)).cast("int")) == 1).alias("has_signal")
+        F.max(contains_any(line, list(words))).alias("has_signal")
     )
 
 
 # ------------------------------------------------------------ header and layout
-def header_start_row(rows: DataFrame, scan_rows: int = 18) -> DataFrame:
+def header_start_row(rows: DataFrame) -> DataFrame:
     """Header start per table: keyword row, else the first later row with 3+ cells that starts no date."""
     rows = rows.withColumn("_t", F.replace(joined(F.col("cells")), F.lit(" "), F.lit("")))
     t = F.col("_t")
-    scanned = F.col("row_no") < scan_rows
-    strict = scanned & F.contains(t, F.lit("사업명")) & contains_any(t, ["비고", "참여기간"])
+    strict = F.contains(t, F.lit("사업명")) & contains_any(t, ["비고", "참여기간"])
     c0 = F.trim(cell(F.col("cells"), 0))
-    loose = scanned & (F.col("row_no") >= 1) & (filled(F.col("cells")) >= 3) & ~c0.rlike(r"^\s*\d{4}\.\d{2}\.\d{2}\s*$")
+    loose = (F.col("row_no") >= 1) & (filled(F.col("cells")) >= 3) & ~c0.rlike(r"^\s*\d{4}\.\d{2}\.\d{2}\s*$")
     return rows.groupBy(*TABLE).agg(
         F.coalesce(F.min(F.when(strict, F.col("row_no"))), F.min(F.when(loose, F.col("row_no")))).alias("header_row")
     )
 
 
-def six_columns(rows: DataFrame, width: int = 6, label_rows: int = 24) -> DataFrame:
+def six_columns(rows: DataFrame, width: int = 6) -> DataFrame:
     """Drop columns that are empty, then the least filled, until ``width`` remain.
 
     The outer two columns always stay; columns with a label word go last.  Column
@@ -236,7 +241,7 @@ def six_columns(rows: DataFrame, width: int = 6, label_rows: int = 24) -> DataFr
         .groupBy(*TABLE, "col_no")
         .agg(
             F.count_if(~is_blank(F.col("text"))).alias("fill"),
-            F.max(((F.col("row_no") < label_rows) & F.replace(F.col("text"), F.lit(" "), F.lit("")).rlike(labels)).cast("int")).alias("label"),
+            F.max(F.replace(F.col("text"), F.lit(" "), F.lit("")).rlike(labels).cast("int")).alias("label"),
         )
         .where("fill > 0")
     )
@@ -267,7 +272,7 @@ def drop_title_rows(rows: DataFrame) -> DataFrame:
     return rows.where(~title & ~arrow_only)
 
 
-def best_six_columns(rows: DataFrame, width: int = 6, label_rows: int = 24) -> DataFrame:
+def best_six_columns(rows: DataFrame, width: int = 6) -> DataFrame:
     """Rows of the best career table of each page in ``width`` columns, with the table's ``header_row``.
 
     The same as ``career_table_score``, ``best_table``, ``header_start_row`` and
@@ -277,11 +282,12 @@ def best_six_columns(rows: DataFrame, width: int = 6, label_rows: int = 24) -> D
     r = F.col("r")
     t = rows.repartition(*PAGE).groupBy(*TABLE).agg(F.array_sort(F.collect_list(F.struct("row_no", "cells"))).alias("r"))
     lines = F.transform(r, lambda x: F.struct(x["row_no"].alias("row_no"), F.size(x["cells"]).alias("n"), joined(x["cells"]).alias("line"), (filled(x["cells"]) > 0).alias("full")))
-    t = t.withColumn("_l", lines)
-    head = lambda test: F.exists("_l", lambda x: (x["row_no"] < 12) & test(x["line"]))
+    end = F.coalesce(F.array_min(F.transform(F.filter(r, lambda x: F.trim(cell(x["cells"], 0)).rlike(RECORD_START)), lambda x: x["row_no"])), F.lit(2**31 - 1))
+    t = t.withColumn("_l", lines).withColumn("_end", end)
+    head = lambda test: F.exists("_l", lambda x: (x["row_no"] <= F.col("_end")) & test(x["line"]))
     has = lambda w: head(lambda c: F.contains(c, F.lit(w)))
     cols = F.array_max(F.transform("_l", lambda x: x["n"])).cast("bigint")
-    n_header = F.size(F.filter("_l", lambda x: (x["row_no"] < 12) & contains_any(x["line"], TECH_TABLE_WORDS)))
+    n_header = F.size(F.filter("_l", lambda x: (x["row_no"] <= F.col("_end")) & contains_any(x["line"], TECH_TABLE_WORDS)))
     note = has("※") | head(lambda c: c.rlike(TECH_NOTE)) | (has("책임정도의") & has("보정계수"))
     t = t.select(*TABLE, "r", cols.alias("_c"), n_header.alias("_h"), F.size("_l").alias("_n"), F.size(F.filter("_l", lambda x: x["full"])).alias("_f"), note.alias("_note"), (has("참여기간") & has("비고")).alias("_both"))
     base = (F.when(F.col("_h") >= 1, 1200).otherwise(0) + F.col("_c") * 20 + F.col("_f") + F.when(F.col("_both"), 900).otherwise(0)
@@ -292,8 +298,8 @@ def best_six_columns(rows: DataFrame, width: int = 6, label_rows: int = 24) -> D
     b = t.groupBy(*PAGE).agg(F.max_by(F.struct("attempt", "table_no", "r"), score).alias("b")).select(*PAGE, "b.*")
 
     tight = lambda x: F.replace(joined(x["cells"]), F.lit(" "), F.lit(""))
-    strict = lambda x: (x["row_no"] < 18) & F.contains(tight(x), F.lit("사업명")) & contains_any(tight(x), ["비고", "참여기간"])
-    loose = lambda x: (x["row_no"] < 18) & (x["row_no"] >= 1) & (filled(x["cells"]) >= 3) & ~F.trim(cell(x["cells"], 0)).rlike(r"^\s*\d{4}\.\d{2}\.\d{2}\s*$")
+    strict = lambda x: F.contains(tight(x), F.lit("사업명")) & contains_any(tight(x), ["비고", "참여기간"])
+    loose = lambda x: (x["row_no"] >= 1) & (filled(x["cells"]) >= 3) & ~F.trim(cell(x["cells"], 0)).rlike(r"^\s*\d{4}\.\d{2}\.\d{2}\s*$")
     first = lambda test: F.array_min(F.transform(F.filter(r, test), lambda x: x["row_no"]))
     b = b.withColumn("header_row", F.coalesce(first(strict), first(loose)))
     b = b.withColumn("r", F.transform(r, lambda x: F.struct(x["row_no"].alias("row_no"), clean_cells(x["cells"]).alias("cells"))))
@@ -302,7 +308,7 @@ def best_six_columns(rows: DataFrame, width: int = 6, label_rows: int = 24) -> D
     stats = F.transform(
         F.sequence(F.lit(0), F.greatest(F.array_max(F.transform(r, lambda x: F.size(x["cells"]))), F.lit(1)) - 1),
         lambda i: F.struct(
-            F.exists(r, lambda x: (x["row_no"] < label_rows) & F.replace(F.coalesce(at(x, i), F.lit("")), F.lit(" "), F.lit("")).rlike(labels)).cast("int").alias("label"),
+            F.exists(r, lambda x: F.replace(F.coalesce(at(x, i), F.lit("")), F.lit(" "), F.lit("")).rlike(labels)).cast("int").alias("label"),
             F.size(F.filter(r, lambda x: ~is_blank(at(x, i)))).alias("fill"), i.alias("col_no")))
     b = b.withColumn("_s", F.filter(stats, lambda x: x["fill"] > 0))
     inner = F.filter("_s", lambda x, i: (i > 0) & (i < F.size("_s") - 1))
@@ -396,7 +402,7 @@ def cut_at_stop(rows: DataFrame, header: DataFrame, header_rows: int = 4) -> Dat
     return d.where(F.col("_cut").isNull() | (F.col("row_no") < F.col("_cut"))).select(*rows.columns)
 
 
-def cm_blocks(rows: DataFrame, header: DataFrame | None = None, scan_rows: int = 12, header_rows: int = 4) -> DataFrame:
+def cm_blocks(rows: DataFrame, header: DataFrame | None = None, header_rows: int = 4) -> DataFrame:
     """CM record blocks: anchors open, annotation and summary rows close, loose rows are dropped.
 
     The header row comes with ``header`` or as a column of ``rows``.
@@ -405,7 +411,7 @@ def cm_blocks(rows: DataFrame, header: DataFrame | None = None, scan_rows: int =
     w = Window.partitionBy(*TABLE)
     wo = w.orderBy("row_no")
     d = (rows if header is None else rows.join(header, list(TABLE))).withColumn("_a", flags["anchor"]).withColumn("_x", flags["break"])
-    first = F.min(F.when(F.col("_a") & (F.col("row_no") >= F.col("header_row")) & (F.col("row_no") < F.col("header_row") + scan_rows), F.col("row_no"))).over(w)
+    first = F.min(F.when(F.col("_a") & (F.col("row_no") >= F.col("header_row")), F.col("row_no"))).over(w)
     d = d.withColumn("_from", F.coalesce(first, F.col("header_row") + header_rows)).where(F.col("row_no") >= F.col("_from"))
     d = d.where(~row_is_blank(F.col("cells")))
     # A block lives from its anchor to the next anchor or break.

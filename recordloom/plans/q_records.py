@@ -80,7 +80,7 @@ def tilde_context(spark, sf):
 _CONT = """select doc_id, page_no, string_agg(case when arrow then trim(substr(line, 3)) else line end, chr(10) order by line_no) as cont from (
  select *, min(line_no) filter (fin) over (partition by doc_id, page_no) as stop from (
   select *, starts_with(line, '「') or boiler or dt or (line_no > frm and not arrow and length(line) > 1 and coalesce(nxt, false)) as fin from (
-   select *, min(line_no) filter (arrow) over (partition by doc_id, page_no) as frm, first_value(case when d then dt end ignore nulls) over (partition by doc_id, page_no order by line_no rows between 1 following and 16 following) as nxt from (
+   select *, min(line_no) filter (arrow) over (partition by doc_id, page_no) as frm, first_value(case when d then dt end ignore nulls) over (partition by doc_id, page_no order by line_no rows between 1 following and unbounded following) as nxt from (
     select *, starts_with(line, '┖→') as arrow, regexp_full_match(line, '[0-9]{4}\\.[0-9]{2}\\.[0-9]{2}') as d, coalesce(regexp_full_match(line, '[0-9]{4}\\.[0-9]{2}\\.[0-9]{2}') and starts_with(lead(line) over (partition by doc_id, page_no order by line_no), '~'), false) as dt,
      starts_with(line, 'Page :') or starts_with(line, '문서확인번호') or starts_with(line, '성명 :') or contains(line, '사업명 직무분야') or contains(line, '1. 기술경력') or contains(line, '2. 건설사업관리') as boiler from lines))
   ) where line_no >= frm) where (stop is null or line_no < stop) and line <> '┖→' group by doc_id, page_no"""

@@ -22,12 +22,12 @@ def _hits(col: str, words) -> str:
 
 
 _LINE = "array_to_string(list_filter(cells, lambda c: c <> ''), ' ')"
-DUCK_FEEDS["tlines"] = (f"select *, {_LINE} as line, len(list_filter(cells, lambda c: trim(c) <> '')) as nf from trows", ("trows",))
+DUCK_FEEDS["tlines"] = (f"select *, {_LINE} as line, len(list_filter(cells, lambda c: trim(c) <> '')) as nf, row_no <= coalesce(min(case when regexp_matches(trim(cells[1]), '^[0-9]{{4}}\\.[0-9]{{2}}\\.[0-9]{{2}}') then row_no end) over (partition by {K}), 999999) as hd from trows", ("trows",))
 _SCORE = f"""select {K}, case when mc <= 2 then -10000 else b end as s1, case when mc <= 2 then mc else nh end as s2, case when mc <= 2 then nr else mc end as s3
 from (select *, (case when nh >= 1 then 1200 else 0 end) + mc * 20 + nfr + (case when lft and rgt then 900 else 0 end) - (case when nh >= 2 and mc <= 4 then 900 else 0 end) - (case when note then 2500 else 0 end) as b
-from (select {K}, max(len(cells)) as mc, count(*) as nr, count(*) filter (row_no < 12 and {_any('line', T.TECH_TABLE_WORDS)}) as nh, count(*) filter (nf > 0) as nfr,
- bool_or(row_no < 12 and contains(line, '참여기간')) as lft, bool_or(row_no < 12 and contains(line, '비고')) as rgt,
- bool_or(row_no < 12 and (contains(line, '※') or regexp_matches(line, '1\\.\\s*기술경력'))) or (bool_or(row_no < 12 and contains(line, '책임정도의')) and bool_or(row_no < 12 and contains(line, '보정계수'))) as note
+from (select {K}, max(len(cells)) as mc, count(*) as nr, count(*) filter (hd and {_any('line', T.TECH_TABLE_WORDS)}) as nh, count(*) filter (nf > 0) as nfr,
+ bool_or(hd and contains(line, '참여기간')) as lft, bool_or(hd and contains(line, '비고')) as rgt,
+ bool_or(hd and (contains(line, '※') or regexp_matches(line, '1\\.\\s*기술경력'))) or (bool_or(hd and contains(line, '책임정도의')) and bool_or(hd and contains(line, '보정계수'))) as note
 from tlines group by all))"""
 DUCK_FEEDS["tscore"] = (_SCORE, ("tlines",))
 DUCK_FEEDS["tbest"] = (
@@ -35,8 +35,8 @@ DUCK_FEEDS["tbest"] = (
     ("tscore",))
 _C0 = "trim(cells[1])"
 DUCK_FEEDS["thead"] = (
-    f"""select {K}, coalesce(min(row_no) filter (row_no < 18 and contains(t, '사업명') and (contains(t, '비고') or contains(t, '참여기간'))),
-  min(row_no) filter (row_no between 1 and 17 and nf >= 3 and not regexp_full_match({_C0}, '[0-9]{{4}}\\.[0-9]{{2}}\\.[0-9]{{2}}'))) as header_row
+    f"""select {K}, coalesce(min(row_no) filter (contains(t, '사업명') and (contains(t, '비고') or contains(t, '참여기간'))),
+  min(row_no) filter (row_no >= 1 and nf >= 3 and not regexp_full_match({_C0}, '[0-9]{{4}}\\.[0-9]{{2}}\\.[0-9]{{2}}'))) as header_row
 from (select *, replace(line, ' ', '') as t from tlines) group by all""", ("tlines",))
 # The chosen tables, brought to six columns, as (row, column) pairs and row form.
 _LAB = _any("replace(txt, ' ', '')", [w.replace(" ", "") for w in T.LABEL_WORDS])
@@ -44,7 +44,7 @@ DUCK_FEEDS["tcols"] = (
     f"""select {K}, col, row_number() over (partition by {K} order by col) - 1 as new_col from (
  select *, row_number() over (partition by {K} order by outer_col, label desc, fill desc, col desc) as keep_rank from (
   select *, case when col = min(col) over (partition by {K}) or col = max(col) over (partition by {K}) then 0 else 1 end as outer_col from (
-   select {K}, col, count(*) filter (trim(txt) <> '') as fill, max(cast(row_no < 24 and {_LAB} as int)) as label
+   select {K}, col, count(*) filter (trim(txt) <> '') as fill, max(cast({_LAB} as int)) as label
    from (select {K}, row_no, unnest(range(0, len(cells))) as col, unnest(cells) as txt from trows) group by all) where fill > 0))
 where keep_rank <= 6""", ("trows",))
 DUCK_FEEDS["t6"] = (
@@ -89,10 +89,10 @@ def front_table_score(spark, sf):
 
 @query("export_table_score", duck(f"""select {K}, cast(case when cols < 3 then -10000 else hits * 220 + cols * 25 + nfr + (case when lft and rgt then 800 else 0 end) - (case when hits >= 3 and cols <= 4 then 900 else 0 end) - (case when note then 2000 else 0 end) end as bigint) as s1,
  cast(case when cols < 3 then cols else hits end as bigint) as s2, cast(case when cols < 3 then 0 else cols end as bigint) as s3
-from (select {K}, max(len(cells)) as cols, count(*) filter (nf > 0) as nfr, {" + ".join(f"cast(bool_or(row_no < 18 and contains(line, '{w}')) as int)" for w in T.LABEL_WORDS)} as hits,
- bool_or(row_no < 18 and contains(line, '참여기간')) as lft, bool_or(row_no < 18 and contains(line, '비고')) as rgt,
- bool_or(row_no < 12 and (contains(line, '※') or regexp_matches(line, '[12]\\.\\s*(기술경력|건설사업관리|감리경력)'))) or coalesce(sum(length(line)) filter (row_no < 12), 0) = 0
-  or (({" + ".join(f"cast(bool_or(row_no < 12 and contains(line, '{w}')) as int)" for w in T.LABEL_WORDS)}) <= 1 and length(trim(regexp_replace(string_agg(line, ' ' order by row_no) filter (row_no < 12 and line <> ''), '\\s+', ' ', 'g'))) >= 80) as note
+from (select {K}, max(len(cells)) as cols, count(*) filter (nf > 0) as nfr, {" + ".join(f"cast(bool_or(hd and contains(line, '{w}')) as int)" for w in T.LABEL_WORDS)} as hits,
+ bool_or(hd and contains(line, '참여기간')) as lft, bool_or(hd and contains(line, '비고')) as rgt,
+ bool_or(hd and (contains(line, '※') or regexp_matches(line, '[12]\\.\\s*(기술경력|건설사업관리|감리경력)'))) or coalesce(sum(length(line)) filter (hd), 0) = 0
+  or (({" + ".join(f"cast(bool_or(hd and contains(line, '{w}')) as int)" for w in T.LABEL_WORDS)}) <= 1 and length(trim(regexp_replace(string_agg(line, ' ' order by row_no) filter (hd and line <> ''), '\\s+', ' ', 'g'))) >= 80) as note
 from tlines group by all)""", "tlines"))
 def export_table_score(spark, sf):
     """Dump scorer."""
@@ -101,8 +101,8 @@ def export_table_score(spark, sf):
 
 @query("cm_table_score", duck(f"""select {K}, case when mc <= 2 then -10000 else b end as s1, case when mc <= 2 then mc else nh end as s2, case when mc <= 2 then nr else mc end as s3
 from (select *, (case when nh >= 1 then 1200 else 0 end) + mc * 20 + nfr + (case when lft and rgt then 900 else 0 end) - (case when nh >= 2 and mc <= 4 then 900 else 0 end) - (case when note then 2500 else 0 end) as b
-from (select {K}, max(len(cells)) as mc, count(*) as nr, count(*) filter (row_no < 14 and {_any('line', T.CM_TABLE_WORDS)}) as nh, count(*) filter (nf > 0) as nfr,
- bool_or(row_no < 14 and contains(line, '참여기간')) as lft, bool_or(row_no < 14 and contains(line, '비고')) as rgt, bool_or(row_no < 14 and contains(line, '※')) as note
+from (select {K}, max(len(cells)) as mc, count(*) as nr, count(*) filter (hd and {_any('line', T.CM_TABLE_WORDS)}) as nh, count(*) filter (nf > 0) as nfr,
+ bool_or(hd and contains(line, '참여기간')) as lft, bool_or(hd and contains(line, '비고')) as rgt, bool_or(hd and contains(line, '※')) as note
 from tlines group by all))""", "tlines"))
 def cm_table_score(spark, sf):
     """CM scorer."""
@@ -120,7 +120,7 @@ def best_setting(spark, sf):
     return T.best_setting(feeds.table_rows(spark, sf), _sections(spark, sf))
 
 
-@query("header_signal", duck(f"select doc_id, page_no, bool_or(row_no < 45 and {_any('line', ['수여일', '비고'])}) as has_signal from tlines group by all", "tlines"))
+@query("header_signal", duck(f"select doc_id, page_no, bool_or({_any('line', ['수여일', '비고'])}) as has_signal from tlines group by all", "tlines"))
 def header_signal(spark, sf):
     """T2."""
     return T.has_header_signal(feeds.table_rows(spark, sf), ["수여일", "비고"])

@@ -77,3 +77,28 @@ def test_chosen_names(spark):
 def test_repeated_cell_number(spark):
     cells = spark.createDataFrame([(1, 0, 0, 0, 0, 1, "b"), (1, 0, 0, 0, 0, 1, "a"), (1, 0, 0, 0, 0, 3, "d")], "doc_id bigint, page_no bigint, attempt int, table_no int, row_no int, col_no int, text string")
     assert T.cells_to_rows(cells).first().cells == ["", "a", "", "d"]
+
+
+def test_headers_far_down(spark):
+    """Header rows, signals, labels and anchors count wherever they stand above the first record."""
+    from recordloom.operators import tables as T
+
+    note = [["긴 설명 " + "가" * 20, "", ""]] * 60
+    head = [["참여기간", "사업명", "비고"]]
+    body = [["2001.01.01\n~\n2002.02.02", "제1호 공사", ""]] * 3
+    rows = [(1, 1, 0, 0, n, c) for n, c in enumerate([*note, *head, *body])]
+    d = spark.createDataFrame(rows, "doc_id bigint, page_no bigint, attempt int, table_no int, row_no int, cells array<string>")
+    assert T.header_start_row(d).first().header_row == 60
+    assert T.has_header_signal(d, ["비고"]).first().has_signal
+    s = T.career_table_score(d).first()
+    assert s.s2 == 1 and s.s1 == 1200 + 3 * 20 + 64 + 900
+    late = spark.createDataFrame([(1, 1, 0, 0, n, c) for n, c in enumerate([*body, *head])], d.schema)
+    assert T.career_table_score(late).first().s2 == 0  # behind the first record there is no head
+
+
+def test_column_borders_of_a_low_header(spark):
+    from recordloom.operators import layout as L
+
+    words = [(1, 1, 0, "사업명", 100.0, 130.0, 600.0, 610.0), (1, 1, 1, "비고", 200.0, 220.0, 600.0, 610.0), (1, 1, 2, "2001.01.01", 30.0, 80.0, 620.0, 630.0), (1, 1, 3, "비고", 300.0, 320.0, 640.0, 650.0)]
+    d = spark.createDataFrame(words, "doc_id bigint, page_no bigint, seq bigint, text string, x0 double, x1 double, top double, bottom double")
+    assert L.column_borders(d, ["사업명", "비고"], 27.0, 560.0).first().borders == [27.0, 165.0, 560.0]
