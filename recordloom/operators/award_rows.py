@@ -130,3 +130,56 @@ def award_table_rows(rows: DataFrame, pages: DataFrame, lines: DataFrame, stop:
 
     kind = let(F.struct("institution", "date", "near", "kind"), lambda x: F.coalesce(F.nullif(x["kind"], F.lit("")), from_text(x["institution"], x["date"], x["near"]), F.lit("")))
     return d.select(*TABLE, "row_no", "item", date_to_iso(F.col("date"), "passthrough").alias("award_date"), "institution", let(kind, normalize_award_text).alias("kind"))
+
+
+def strip_institution(institution: Column, kind: Column) -> Column:
+    """The type without the institution at its front, as it stands, without blanks, or short of its last syllable."""
+    def cut(x: Column) -> Column:
+        i, k, ti, tk = x["i"], x["k"], compact(x["i"]), compact(x["k"])
+        short = F.substr(i, F.lit(1), F.greatest(F.length(i) - 1, F.lit(0)))
+        return F.when(i == "", k).when(F.startswith(k, i), F.trim(F.substr(k, F.length(i) + 1))).when(F.startswith(tk, ti), F.substr(tk, F.length(ti) + 1)).when(
+            (F.length(i) >= 2) & F.startswith(k, short), F.trim(F.substr(k, F.length(short) + 1))).otherwise(k)
+
+    flat = lambda c: F.trim(F.replace(F.coalesce(c, F.lit("")), F.lit("\n"), F.lit(" ")))
+    return let(F.struct(flat(institution).alias("i"), flat(kind).alias("k")), cut)
+
+
+# Pieces of a type that say nothing.
+TORN = r"^(구사업|호\])$"
+
+
+def same_date_awards(df: DataFrame, doc: str = "doc_id", date: str = "award_date", order: str = "seq") -> DataFrame:
+    """One award per document and date: the institution with fewest line breaks and letters, the longest type and what the others add to it.
+
+    A date in an institution's place is none.  Types that hold a date, are torn
+    pieces or lie in the type so far add nothing; of equal length the earlier one
+    comes first.  Only different types of a date are gathered.
+    """
+    inst, kind = F.trim(F.coalesce("institution", F.lit(""))), F.trim(F.coalesce("kind", F.lit("")))
+    d = df.select(doc, date, order, inst.alias("i"), kind.alias("k"))
+    usable = (F.col("i") != "") & ~F.col("i").rlike(rf"^{DATE}$")
+    breaks = count_char(F.col("i"), "\n") + count_char(F.col("i"), "\r")
+    once = d.groupBy(doc, date, "k").agg(F.min(order).alias("o"), F.min(F.when(usable, F.struct(breaks.alias("b"), F.length(compact(F.col("i"))).alias("n"), F.col(order).alias("o"), F.col("i").alias("i")))).alias("i"))
+    g = once.groupBy(doc, date).agg(F.min("i").alias("i"), F.array_sort(F.collect_list(F.when(F.col("k") != "", F.struct((-F.length("k")).alias("n"), "o", "k")))).alias("ks"))
+    useless = lambda x: x.rlike(rf"(?<!\d){DATE}(?!\d)") | compact(x).rlike(TORN)
+    merged = F.aggregate(F.slice("ks", F.lit(2), F.greatest(F.size("ks") - 1, F.lit(0))), F.coalesce(F.get("ks", F.lit(0))["k"], F.lit("")),
+                         lambda a, x: F.when(useless(x["k"]) | F.contains(a, x["k"]), a).otherwise(F.concat(a, F.lit(" "), x["k"])))
+    return g.select(doc, date, F.coalesce("i.i", F.lit("")).alias("institution"), merged.alias("kind"))
+
+
+def sanction_rows(rows: DataFrame) -> DataFrame:
+    """Rows of the penalty section of every table: ``points`` and, where the row has a date, ``sanction_date, kind, basis, institution``.
+
+    Rows that say 해당없음 are none; points are a number if the cell has one.
+    """
+    from recordloom.operators.records import penalty_points
+
+    columns = {"points": ("벌점", 0), "date": ("제재일", 1), "kind": ("종류", 2), "basis": ("근거", 3), "institution": ("제재기관", 4)}
+    stop = ["근무처", "근무기간", "교육훈련", "상훈", "수여일", "국가기술자격", "학력"]
+    d = locate_columns(rows, ["벌점", "제재사항", "제재일"], columns, exclude=["교육훈련", "상훈", "근무처", "근무기간"], stop=stop, whole=True)
+    d = d.where(~F.contains(joined(F.col("cells")), F.lit("해당없음")))
+    dated = F.col("date").rlike("^" + DATE)
+    flat = lambda c: F.when(dated, F.trim(F.replace(F.col(c), F.lit("\n"), F.lit(" ")))).alias(c)
+    return d.where(dated | (F.col("points") != "")).select(
+        *TABLE, "row_no", F.when(F.col("points") != "", penalty_points(F.col("points"))).alias("points"),
+        F.when(dated, date_to_iso(F.regexp_extract("date", f"^({DATE})", 1), "passthrough")).alias("sanction_date"), flat("kind"), flat("basis"), flat("institution"))

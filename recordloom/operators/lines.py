@@ -87,6 +87,23 @@ def is_boilerplate(line: Column, section: str = "tech") -> Column:
     return flag
 
 
+# Page texts and column headers of word-line pages.
+TEMPLATE_FOOTER_WORDS = ["발급증명서확인", "www.kocea.or.kr", "문서확인번호", "문서 하단", "문서하단", "바코드로", "위·변조", "위변조", "발급일로부터", "90일까지", "가능합니다", "확인해 주십시오", "변조 여부"]
+TEMPLATE_HEADER_WORDS = ["사업명", "직무분야", "담당업무", "참여기간", "발주자", "공사종류", "전문분야", "직위", "공사(용역)개요", "책임정도", "공사(용역)금액", "적용 공법", "적용 융", "시설물 종류", "비고", "(인정일)", "(참여일)"]
+
+
+def is_template_boilerplate(line: Column) -> Column:
+    """Header or footer line of a page whose lines come from words: annotations stay, two column headers on a line of up to 90 letters go."""
+    return (
+        (line == "") | line.startswith("Page :") | line.startswith("성명 :")
+        | (F.contains(line, F.lit("기술경력")) & (F.contains(line, F.lit("1.")) | line.startswith("1")))
+        | F.contains(line, F.lit("본 증명서는 인터넷으로 발급")) | contains_any(line, TEMPLATE_FOOTER_WORDS)
+        | (line.startswith("(") & F.contains(line, F.lit("쪽")))
+        | (line.startswith("사업명") & contains_any(line, ["직무분야", "담당업무"])) | line.isin("참여기간", "비고", "(인정일)", "(참여일)")
+        | ((count_hits(line, TEMPLATE_HEADER_WORDS) >= 2) & (F.length(line) <= 90))
+    )
+
+
 def content_lines(lines: DataFrame, section: str = "tech", keys: tuple[str, ...] = ("doc_id", "page_no")) -> DataFrame:
     """Lines without boilerplate, renumbered densely inside the page."""
     w = Window.partitionBy(*keys).orderBy("line_no")
