@@ -46,8 +46,8 @@ def licence_dedup(spark, sf):
     return D.dedup_licences(spark.sql(_LIC.replace("from careers", "from {c}"), c=feeds.career_records(spark, sf)))
 
 
-_AWARD = """select doc_id, rec_idx as seq, concat(substring(start_date, 1, 4), '-05-05') as award_date, case when job_field = '' then '' when position = '' then replace(issuer, ' ', '') else issuer end as institution,
- case note when '1-URGENT' then concat('표창장[제', recog_days, '호]') when '2-HIGH' then concat('표창장[제', recog_days, '호') when '3-MEDIUM' then '공로' when '4-NOT SPECIFIED' then '상장 수여일' else '' end as kind from careers where start_date not like '*%'"""
+_AWARD = """select doc_id, rec_idx as seq, case when start_date like '*%' then start_date else concat(substring(start_date, 1, 4), '-05-05') end as award_date, case when job_field = '' then '' when position = '' then replace(issuer, ' ', '') else issuer end as institution,
+ case note when '1-URGENT' then concat('표창장[제', recog_days, '호]') when '2-HIGH' then concat('표창장[제', recog_days, '호') when '3-MEDIUM' then '공로' when '4-NOT SPECIFIED' then '상장 수여일' else '' end as kind from careers"""
 _AQ = "case when kind = '' then -10 when kind = '공로' then 0 when kind = '상장 수여일' then 1 else 4 end"
 
 
@@ -143,20 +143,23 @@ def schema_report(spark, sf):
 
 
 _W = "(" + ",".join(f"'{w}'" for w in SHORT_WORK_TYPES) + ")"
+_SHIFTED = "case rec_idx % 17 when 0 then concat('2021.01 ', project_name) when 1 then concat(project_name, ' (12일)') else project_name end"
 DUCK_FEEDS["validated"] = (
     f"""select *, case when (tech_fallback > 0 and tech_fallback / greatest(tech_rows, 1) >= 0.3) or (cm_fallback > 0 and cm_fallback / greatest(cm_rows, 1) >= 0.3) or bad_dates > 0 then 'FAIL'
   when tech_fallback + cm_fallback + name_shift + overview_shift + boundary + issuer_is_work_type + mismatches > 0 then 'WARN' else 'PASS' end as level from (
  select doc_id, count(*) filter (t) as tech_rows, count(*) filter (not t) as cm_rows, count(*) filter (t and fb) as tech_fallback, count(*) filter (not t and fb) as cm_fallback,
-  cast(sum(cast(b1 as int) + cast(b2 as int)) as bigint) as bad_dates, 0::bigint as name_shift, count(*) filter (t and length(overview) <= 40 and regexp_matches(overview, '(실시설계|건설공사|용역)$') and not regexp_matches(overview, '[0-9]|:|-|~|%')) as overview_shift,
-  count(*) filter (t and issuer <> '' and work_type = '' and (sw)) as boundary, count(*) filter (t and issuer in {_W}) as issuer_is_work_type, 0 as mismatches
+  cast(sum(cast(b1 as int) + cast(b2 as int)) as bigint) as bad_dates, count(*) filter (t and rec_idx % 17 in (0, 1)) as name_shift, count(*) filter (t and length(overview) <= 40 and regexp_matches(overview, '(실시설계|건설공사|용역)$') and not regexp_matches(overview, '[0-9]|:|-|~|%')) as overview_shift,
+  count(*) filter (t and issuer <> '' and work_type = '' and (sw)) as boundary, count(*) filter (t and issuer in {_W}) as issuer_is_work_type, cast(count(distinct section) filter (doc_id % 4 = 0) as bigint) as mismatches
  from (select *, section = 'tech' as t, project_name in ('', '(사업명 미상)') as fb, string_split(issuer, ' ')[-1] in {_W} as sw, not (start_date in ('', '****-**-**') or regexp_full_match(start_date, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')) as b1,
-   not (end_date in ('', '근무중') or regexp_full_match(end_date, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')) as b2 from careers) group by doc_id)""", ("careers",))
+   not (end_date in ('', '근무중') or regexp_full_match(end_date, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')) as b2 from (select * replace ({_SHIFTED} as project_name) from careers)) group by doc_id)""", ("careers",))
 
 
 @query("validator", duck("select * from validated", "validated"))
 def validator(spark, sf):
-    """A18 per document."""
-    return Q.validate_documents(feeds.career_records(spark, sf), None, SHORT_WORK_TYPES)
+    """A18 per document, with shifted names and with count checks of which every fourth document fails."""
+    c = feeds.career_records(spark, sf).withColumn("project_name", F.expr(_SHIFTED))
+    checks = c.groupBy("doc_id", "section").agg((F.first("doc_id") % 4 != 0).alias("equal"))
+    return Q.validate_documents(c, checks, SHORT_WORK_TYPES)
 
 
 @query("validator_rollup", duck("select coalesce(level, 'TOTAL') as level, count(*) as documents, cast(sum(tech_rows) as bigint) as tech_rows, cast(sum(cm_rows) as bigint) as cm_rows from validated group by rollup (level)", "validated"))
@@ -165,13 +168,14 @@ def validator_rollup(spark, sf):
     return Q.level_totals(validator(spark, sf))
 
 
-@query("neighbour_checks", duck("""select doc_id, rec_idx, coalesce(start_date = s and end_date = e and project_name <> n, false) as same_period, coalesce(length(t) > 3 and starts_with(replace(n, ' ', ''), t), false) as overview_heads_name, false as torn_name
- from (select *, lead(project_name) over w as n, lead(start_date) over w as s, lead(end_date) over w as e, right(replace(overview, ' ', ''), 30) as t from (select doc_id, rec_idx, project_name, left(start_date, 4) as start_date, left(end_date, 4) as end_date, case when note = '2-HIGH' then '제' || left(project_name, 7) else project_name end as overview from careers) window w as (partition by doc_id order by rec_idx))
- where same_period or overview_heads_name""", "careers"))
+@query("neighbour_checks", duck("""select doc_id, rec_idx, coalesce(start_date = s and end_date = e and project_name <> n, false) as same_period, coalesce(length(t) > 3 and starts_with(replace(n, ' ', ''), t), false) as overview_heads_name, rec_idx % 23 = 0 as torn_name
+ from (select *, lead(project_name) over w as n, lead(start_date) over w as s, lead(end_date) over w as e, right(replace(overview, ' ', ''), 30) as t from (select doc_id, rec_idx, case when rec_idx % 23 = 0 then '공 사 ' || project_name else project_name end as project_name, left(start_date, 4) as start_date, left(end_date, 4) as end_date, case when note = '2-HIGH' then '제' || left(project_name, 7) else project_name end as overview from careers) window w as (partition by doc_id order by rec_idx))
+ where same_period or overview_heads_name or torn_name""", "careers"))
 def neighbour_checks(spark, sf):
     """A19."""
     c = feeds.career_records(spark, sf)
-    d = c.select("doc_id", "rec_idx", "project_name", F.substring("start_date", 1, 4).alias("start_date"), F.substring("end_date", 1, 4).alias("end_date"),
+    name = F.when(F.col("rec_idx") % 23 == 0, F.concat(F.lit("공 사 "), "project_name")).otherwise(F.col("project_name")).alias("project_name")
+    d = c.select("doc_id", "rec_idx", name, F.substring("start_date", 1, 4).alias("start_date"), F.substring("end_date", 1, 4).alias("end_date"),
                  F.when(F.col("note") == "2-HIGH", F.concat(F.lit("제"), F.substring("project_name", 1, 7))).otherwise(F.col("project_name")).alias("overview"))
     return Q.neighbour_checks(d)
 

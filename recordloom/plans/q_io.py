@@ -103,13 +103,15 @@ def page_source(spark, sf):
     return SD.page_text(spark, path)
 
 
-@query("manifest", "select distinct source, true as sized from documents")
+@query("manifest", "select source, cast(sum(octet_length(encode(coalesce(text, ''))) + 1) as bigint) as bytes, true as named, true as dated from documents group by 1")
 def manifest(spark, sf):
-    """A folder per source; names and lengths of the files are listed, nothing is read."""
+    """A folder per source with its texts as lines; names, lengths and times of the files are listed, nothing is read."""
     path = run_folder(spark, "files")
-    table(spark, sf, "documents").select("source", "doc_id", "text").write.partitionBy("source").parquet(path)
-    m = SD.manifest(spark, path, "*.parquet", recursive=True)
-    return m.groupBy(F.regexp_extract("path", r"source=([^/]+)/", 1).alias("source")).agg((F.min("length") > 0).alias("sized"))
+    table(spark, sf, "documents").select("source", F.coalesce("text", F.lit("")).alias("text")).write.partitionBy("source").text(path)
+    m = SD.manifest(spark, path, "*.txt", recursive=True)
+    named = F.regexp_extract("path", r"([^/]+)\.txt$", 1)
+    return m.groupBy(F.regexp_extract("path", r"source=([^/]+)/", 1).alias("source")).agg(
+        F.sum("length").cast("bigint").alias("bytes"), F.bool_and(named != "").alias("named"), F.bool_and(F.col("modified").isNotNull()).alias("dated"))
 
 
 @query("reload_results", duck("""select cast(doc_id as varchar) as doc_id, cast(row_number() over (partition by doc_id order by rec_idx) - 1 as int) as rec_idx, project_name, issuer, work_type, start_date, end_date, position, overview from careers""", "careers"))
