@@ -13,6 +13,18 @@ from recordloom.operators.scan import Running, neighbour, running, with_page_chu
 PAGE = ("doc_id", "page_no")
 
 
+def gate_template(rows: DataFrame, trust: DataFrame, floor: DataFrame, rank: str = "rank", template: int = 2, keys: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
+    """``rows`` without those of the template source (``rank`` = ``template``) on pages where it does not count.
+
+    It counts where ``trust`` (keys, ``trusted``) says so and where it has at least as
+    many rows as ``floor`` (keys, ``n_tilde``) counts on the page; a page that neither
+    table knows has no template rows.
+    """
+    n = rows.where(F.col(rank) == template).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    good = n.join(trust.select(*keys, "trusted"), list(keys)).join(floor.select(*keys, "n_tilde"), list(keys)).where("trusted and _n >= n_tilde").select(*keys, F.lit(True).alias("_ok"))
+    return rows.join(good, list(keys), "left").where((F.col(rank) != template) | F.col("_ok")).select(*rows.columns)
+
+
 def best_source(df: DataFrame, keys: Sequence[str] = PAGE, rank: str = "source_rank") -> DataFrame:
     """Rows of the best (lowest) source present per key."""
     best = df.groupBy(*keys).agg(F.min(rank).alias(rank))

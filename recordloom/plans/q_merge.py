@@ -72,13 +72,17 @@ def positional_join(spark, sf):
     return M.positional_join(right.select("doc_id", "page_no", "row_idx", "project_name"), c.select("doc_id", "page_no", "rec_idx", "start_date"), ["start_date"], "row_idx", "rec_idx").drop("row_idx")
 
 
-@query("source_priority", duck("""select doc_id, page_no, rec_idx, rank from (select *, min(rank) over (partition by doc_id, page_no) as m from (
- select doc_id, page_no, rec_idx, case when job_field = '' then 3 when position = '' then 2 else 1 end as rank from careers where project_name <> '')) where rank = m""", "careers"))
+_RANKED = "case when job_field = '' then 3 when position = '' then 2 when overview like '%용역' then 2 else 1 end"
+
+
+@query("source_priority", duck(f"""select doc_id, page_no, rec_idx, rank from (select *, min(rank) over (partition by doc_id, page_no) as m from (
+ select * from (select *, page_no % 5 <> 0 and count(*) filter (rank = 2) over (partition by doc_id, page_no) >= 1 + page_no % 3 as ok from (select doc_id, page_no, rec_idx, {_RANKED} as rank from careers)) where rank <> 2 or ok)) where rank = m""", "careers"))
 def source_priority(spark, sf):
-    """J8."""
-    c = feeds.career_records(spark, sf).where("project_name <> ''")
-    d = c.select("doc_id", "page_no", "rec_idx", F.when(F.col("job_field") == "", 3).when(F.col("position") == "", 2).otherwise(1).alias("rank"))
-    return M.best_source(d, rank="rank")
+    """The best source of a page, the template's only where it is trusted and has as many rows as the page has ``~`` lines."""
+    c = feeds.career_records(spark, sf)
+    d = c.select("doc_id", "page_no", "rec_idx", F.expr(_RANKED).alias("rank"))
+    pages = c.select("doc_id", "page_no").distinct().select("doc_id", "page_no", (F.col("page_no") % 5 != 0).alias("trusted"), (1 + F.col("page_no") % 3).alias("n_tilde"))
+    return M.best_source(M.gate_template(d, pages, pages), rank="rank")
 
 
 @query("template_fill", duck("""select l.rec_idx, coalesce(nullif(l.work_type, ''), s.work_type, n.work_type, '') as work_type, coalesce(nullif(l.overview, ''), s.overview, n.overview, '') as overview
