@@ -147,6 +147,12 @@ def normalize_award_text(c: Column) -> Column:
         t2 = F.when(award_kind_position(t) == 1, t).otherwise(F.coalesce(out, t))
         return F.trim(F.regexp_replace(t2, r"(?:^|\s)벌점\s*[*＊・]?\s*해당없음\s*[*＊・]?(?=\s|$)", " "))
 
+    def once(t: Column) -> Column:
+        # a number in brackets of its own at the end whose digits stand before it
+        pattern = r"^(.*\])\s*\[(제\s*[\d－-]+\s*호)\]\s*$"
+        digits = lambda i: F.regexp_replace(F.regexp_extract(t, pattern, i), r"\D", "")
+        return F.when((digits(2) != "") & F.contains(digits(1), digits(2)), F.trim(F.regexp_extract(t, pattern, 1))).otherwise(t)
+
     def cut_tail(t: Column) -> Column:
         head, tail = F.regexp_extract(t, r"^([^\]]*)\]", 1), F.trim(F.regexp_extract(t, r"^[^\]]*\](.*)$", 1))
         clean = lambda x: F.regexp_replace(compact(x), r"[\[\](){}<>\"'“”‘’·,，.]", "")
@@ -175,7 +181,7 @@ def normalize_award_text(c: Column) -> Column:
 
     base = F.trim(F.replace(F.coalesce(c, F.lit("")), F.lit("\n"), F.lit(" ")))
     out = let(base, start)
-    for step in (from_kind, cut_tail, collapse, close):
+    for step in (from_kind, once, cut_tail, collapse, close):
         out = let(out, step)
     return out
 

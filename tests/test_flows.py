@@ -134,6 +134,13 @@ def test_award_pieces(spark):
     assert spark.range(1).select(A.type_items(F.lit("표창장[제1호]\n감사장[공로\n인정]\n우수상")).alias("x")).first().x == ["표창장[제1호]", "감사장[공로 인정]", "우수상"]
 
 
+@pytest.mark.parametrize(("text", "want"), [("표창장[제123호][제123호]", "표창장[제123호]"), ("표창장[유공 제12-3호] [제 123 호]", "표창장[유공제12-3호]"), ("표창장[제123호][제77호]", "표창장[제123호][제77호]")])
+def test_a_repeated_number_goes(spark, text, want):
+    from recordloom.operators.dedup import normalize_award_text
+
+    assert spark.range(1).select(normalize_award_text(F.lit(text)).alias("x")).first().x == want
+
+
 # --- template blocks
 def test_block_names_between_blocks(spark):
     rng = random.Random(4)

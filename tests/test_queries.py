@@ -13,7 +13,8 @@ from check_queries import compare, duck_connect
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 PART = ["line_split", "page_metrics", "count_check", "period_cell", "typed_cells", "name_cleanup", "best_table", "six_columns", "section_state", "reentrant_block",
         "tilde_grammar", "worktype_suffix", "dup_mark", "licence_dedup", "award_merge", "validator_rollup", "result_diff", "date_blocks", "column_template", "output_names",
-        "enrich_one_to_one", "last_resort_names", "summary_items", "skip_continuation", "local_context", "template_dedup", "award_cell_shift", "award_text_override", "block_pivot", "words_to_lines"]
+        "enrich_one_to_one", "last_resort_names", "summary_items", "skip_continuation", "local_context", "template_dedup", "award_cell_shift", "award_text_override", "block_pivot", "words_to_lines",
+        "workplace_pairs", "award_table_rows", "text_fallback", "template_blocks", "name_rejoin", "training_rows", "education_lines", "grade_slots", "source_priority", "same_date_awards"]
 NAMES = list(QUERIES) if os.environ.get("RECORDLOOM_ALL") else PART
 
 
