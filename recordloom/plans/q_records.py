@@ -16,9 +16,6 @@ from recordloom.plans.q_lookups import _TILDE, WORDS
 from recordloom.plans.registry import query
 
 
-_PAGE = Window.partitionBy("doc_id", "page_no").orderBy("line_no")
-
-
 def _content(spark, sf):
     return content_lines_of_pages(feeds.career_pages(spark, sf))
 
@@ -35,7 +32,7 @@ def _with_more_lines(d, at, after=(), before=()):
 @query("date_blocks", duck("select doc_id, page_no, cast(k - 1 as bigint) as block, start_iso as start_date, end_iso as end_date, recog as recog_days, part as part_days from spine", "spine"))
 def date_blocks(spark, sf):
     """Cursor fold over every page; every rendered record must come back as one block, on every third page with 13 lines of text between all its dates."""
-    c = _content(spark, sf).withColumn("starts", ~F.coalesce(F.lag("line").over(_PAGE).startswith("~"), F.lit(False)))
+    c = _content(spark, sf).withColumn("starts", ~F.coalesce(F.lag("line").over(Window.partitionBy("doc_id", "page_no").orderBy("line_no")).startswith("~"), F.lit(False)))
     dated = F.col("line").rlike(r"^\d{4}\.\d{2}\.\d{2}$") & F.col("starts")
     return R.date_blocks(_with_more_lines(c, dated, [f"- 구간 {i}" for i in range(13)])).drop("line_no", "last_no")
 

@@ -4,6 +4,9 @@ Runs a representative part; RECORDLOOM_ALL=1 runs every query.
 """
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -27,6 +30,12 @@ def test_registry():
     assert set(ORACLES) <= set(QUERIES) and set(PART) <= set(QUERIES)
 
 
+def test_entry_needs_no_session():
+    """Queries and their SQL can be listed before a session exists."""
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 150"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(entry.__file__).parent)
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, sf_dir, name):
     ok, msg = compare(spark, con, sf_dir, name, QUERIES[name], ORACLES.get(name))
