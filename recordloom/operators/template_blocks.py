@@ -22,12 +22,14 @@ GUARD = 6
 
 def name_points(line: Column) -> Column:
     """Points of a filled line as a project name."""
-    s, t = squeeze(line), compact(line)
-    return (
-        F.when(is_boilerplate(s), BOILERPLATE).when(t.startswith("본사"), OFFICE)
-        .when(G.is_technical_line(s) | s.rlike(r"[㎥㎞㎡㎝㎜]|L=\d|\d+\s*개소|1\s*식"), OVERVIEW).when(t.isin(*BARE_WORDS), BARE)
-        .otherwise(F.when(s.rlike("[가-힣]"), HANGUL).otherwise(0) + F.least(F.length(s), F.lit(LETTERS)))
-    )
+    def points(s: Column, t: Column) -> Column:
+        return (
+            F.when(is_boilerplate(s), BOILERPLATE).when(t.startswith("본사"), OFFICE)
+            .when(G.is_technical_line(s) | s.rlike(r"[㎥㎞㎡㎝㎜]|L=\d|\d+\s*개소|1\s*식"), OVERVIEW).when(t.isin(*BARE_WORDS), BARE)
+            .otherwise(F.when(s.rlike("[가-힣]"), HANGUL).otherwise(0) + F.least(F.length(s), F.lit(LETTERS)))
+        )
+
+    return let(squeeze(line), lambda s: let(compact(s), lambda t: points(s, t)))
 
 
 def blocks_with_heights(lines: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
@@ -59,7 +61,7 @@ def block_names(lines: DataFrame, blocks: DataFrame, keys: Sequence[str] = PAGE,
     d = d.select("*", F.sum((F.col("mark") == 0).cast("int")).over(upto).alias("opened"), F.sum((F.col("mark") == 2).cast("int")).over(upto).alias("closed"),
                  F.sum((F.col("mark") == 1).cast("int")).over(upto).alias("n"))
     gap = Window.partitionBy(*keys, "opened")
-    d = d.where("mark = 1 and opened = closed and trim(line) <> ''").withColumns({"points": let(F.col("line"), name_points), "first": F.min("n").over(gap), "last": F.max("n").over(gap)})
+    d = d.where("mark = 1 and opened = closed and trim(line) <> ''").withColumns({"points": name_points(F.col("line")), "first": F.min("n").over(gap), "last": F.max("n").over(gap)})
     best = lambda which: F.max_by(F.struct("line", "points", "n"), F.when(which, F.struct("points", -F.col("n"))))
     far = F.col("n") <= F.col("last") - guard
     g = d.groupBy(*keys, "opened").agg(best(F.lit(True)).alias("above"), best(far).alias("below"), F.max("last").alias("last"), F.min("first").alias("first"))
