@@ -42,7 +42,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents joined by a five-word-shingle similarity of 0.8 or more one stays, that with the smallest id."""
+    """Of documents joined by SimHash fingerprints within two bits or by a five-word-shingle similarity of 0.8 or more one stays, that with the smallest id."""
     return keep_one(docs, shingle=5, similarity=0.8)
 
 

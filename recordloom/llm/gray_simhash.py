@@ -265,16 +265,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return rows.join(named, "fp").select("doc_id", "k1", "k2", "fp", "root", "component_id")
 
 
+def joined_groups(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> DataFrame:
+    """Rows ``doc_id, k1, k2, root``: rows with one ``root`` are joined by a chain of links of either kind, fingerprints within two bits or similar sets of ``shingle``-word shingles."""
+    near = near_duplicates(docs, doc_id, text).select("k1", "k2", F.col("root").alias("f")).dropDuplicates(["k1", "k2"])
+    similar = written(similar_groups(docs, doc_id, text, shingle, similarity), "similar-groups")
+    pairs = written(similar.join(near, ["k1", "k2"]).select("f", "root").distinct(), "group-pairs")
+    # a component of fingerprints that holds several groups of similar texts joins them
+    low = pairs.groupBy("f").agg(F.min("root").alias("b"), F.max("root").alias("top")).where("b <> top").select("f", "b")
+    comps = connected_components(pairs.join(low, "f").select(F.col("root").alias("a"), "b")).toDF("root", "one")
+    return similar.join(comps, "root", "left").select("doc_id", "k1", "k2", F.coalesce("one", "root").alias("root"))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """``docs`` without near copies: of each component the row with the smallest id stays (null ids last; ties by content; of repeated rows one).
 
-    Components are those of fingerprints within two bits, or with ``similarity``
-    those of texts whose sets of ``shingle``-word shingles reach it.
+    Components are those of fingerprints within two bits; with ``similarity`` texts
+    whose sets of ``shingle``-word shingles reach it are linked besides.
     """
     d, where = positional(docs)
 
     def steps() -> DataFrame:
-        groups = near_duplicates(docs, doc_id, text, shingle) if similarity is None else similar_groups(docs, doc_id, text, shingle, similarity)
+        groups = near_duplicates(docs, doc_id, text, shingle) if similarity is None else joined_groups(docs, doc_id, text, shingle, similarity)
         best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("k"))
         return best.select(F.col("k.k1").alias("_k1"), F.col("k.k2").alias("_k2"))
 
