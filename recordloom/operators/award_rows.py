@@ -110,7 +110,7 @@ def award_table_rows(rows: DataFrame, pages: DataFrame, lines: DataFrame, stop:
     spare = F.array_join(F.filter(F.transform("cells", lambda x, i: F.when(i == F.col("date_at"), "").otherwise(F.trim(F.replace(F.coalesce(x, F.lit("")), F.lit("\n"), F.lit(" "))))), lambda x: x != ""), " ")
     typed = F.trim(F.coalesce(F.get("cells", F.col("type_at")), F.lit("")))
     more = d.where(~F.col("dated")).select(*TABLE, "award", "row_no", F.col("inst").alias("institution"), F.when(typed == "", spare).otherwise(typed).alias("kind")).where("institution <> '' or kind <> ''")
-    more = more.groupBy(*TABLE, "award").agg(F.array_sort(F.collect_list(F.struct("row_no", "institution", "kind"))).alias("more"))
+    more = more.groupBy(*TABLE, "award").agg(F.sort_array(F.collect_list(F.struct("row_no", "institution", "kind"))).alias("more"))
 
     # outer, so that no filter on the items is put below the join, where it would compute them again
     d = heads.join(more, [*TABLE, "award"], "left").select(*TABLE, "row_no", "more", F.posexplode_outer(F.transform("items", lambda x, i: F.struct(x.alias("x"), (i == F.size("items") - 1).alias("last")))).alias("item", "y"))
@@ -119,7 +119,7 @@ def award_table_rows(rows: DataFrame, pages: DataFrame, lines: DataFrame, stop:
 
     # a type from the page's lines that hold the date
     dates = lines.select("doc_id", "page_no", "line_no", "line", F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit(f"({DATE})"), F.lit(1)))).alias("date"))
-    dates = dates.groupBy("doc_id", "page_no", "date").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("near"))
+    dates = dates.groupBy("doc_id", "page_no", "date").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("near"))
     d = d.join(dates, ["doc_id", "page_no", "date"], "left")
     behind = lambda line, c: F.trim(F.substr(line, F.instr(line, c) + F.length(c)))
 
@@ -160,7 +160,7 @@ def same_date_awards(df: DataFrame, doc: str = "doc_id", date: str = "award_date
     usable = (F.col("i") != "") & ~F.col("i").rlike(rf"^{DATE}$")
     breaks = count_char(F.col("i"), "\n") + count_char(F.col("i"), "\r")
     once = d.groupBy(doc, date, "k").agg(F.min(order).alias("o"), F.min(F.when(usable, F.struct(breaks.alias("b"), F.length(compact(F.col("i"))).alias("n"), F.col(order).alias("o"), F.col("i").alias("i")))).alias("i"))
-    g = once.groupBy(doc, date).agg(F.min("i").alias("i"), F.array_sort(F.collect_list(F.when(F.col("k") != "", F.struct((-F.length("k")).alias("n"), "o", "k")))).alias("ks"))
+    g = once.groupBy(doc, date).agg(F.min("i").alias("i"), F.sort_array(F.collect_list(F.when(F.col("k") != "", F.struct((-F.length("k")).alias("n"), "o", "k")))).alias("ks"))
     useless = lambda x: x.rlike(rf"(?<!\d){DATE}(?!\d)") | compact(x).rlike(TORN)
     merged = F.aggregate(F.slice("ks", F.lit(2), F.greatest(F.size("ks") - 1, F.lit(0))), F.coalesce(F.get("ks", F.lit(0))["k"], F.lit("")),
                          lambda a, x: F.when(useless(x["k"]) | F.contains(a, x["k"]), a).otherwise(F.concat(a, F.lit(" "), x["k"])))

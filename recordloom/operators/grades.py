@@ -72,4 +72,4 @@ def grade_cells(rows: DataFrame) -> DataFrame:
     head = F.contains(line, F.lit("설계")) & F.contains(line, F.lit("시공")) & F.contains(line, F.lit("건설사업관리"))
     d = rows.withColumn("_h", F.min(F.when(head, F.col("row_no"))).over(w)).where("row_no > _h")
     d = d.withColumn("_e", F.min(F.when(F.contains(line, F.lit("국가기술자격")), F.col("row_no"))).over(w)).where("_e is null or row_no < _e")
-    return d.groupBy(*TABLE).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("row_no", "cells"))), lambda x: x["cells"])).alias("cells"))
+    return d.groupBy(*TABLE).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("row_no", "cells"))), lambda x: x["cells"])).alias("cells"))

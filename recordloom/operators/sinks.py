@@ -23,7 +23,7 @@ def nested_documents(records: DataFrame, fields: Sequence[str], doc: str = "doc_
     document of any size is written whole as several bounded objects.
     """
     d = records.withColumn("part", F.floor(F.col(order) / max_records).cast("bigint"))
-    g = d.groupBy(doc, "part").agg(F.array_sort(F.collect_list(F.struct(order, *fields))).alias("records"))
+    g = d.groupBy(doc, "part").agg(F.sort_array(F.collect_list(F.struct(order, *fields))).alias("records"))
     return g.select(doc, "part", F.size("records").cast("bigint").alias("n"), "records")
 
 

@@ -142,7 +142,7 @@ def single_column_workplaces(lines: DataFrame, keys: Sequence[str] = PAGE, marke
     own = ~F.col("starts") & (F.col("end_line").isNull() | (F.col("line_no") != F.col("end_line"))) & ~label
     g = d.groupBy(*keys, "row").agg(
         F.min("line_no").alias("line_no"), F.max(F.when(F.col("starts"), line)).alias("s"), F.max(F.when(F.col("line_no") == F.col("end_line"), line)).alias("e"),
-        F.array_sort(F.collect_list(F.when(own, F.struct("line_no", "line")))).alias("names")).where("size(names) > 0")
+        F.sort_array(F.collect_list(F.when(own, F.struct("line_no", "line")))).alias("names")).where("size(names) > 0")
     g = g.select(*keys, "line_no", date_to_iso(F.regexp_extract("s", f"({DATE})", 1), "workplace").alias("start_date"), F.coalesce(end_date(F.trim("e")), F.lit("")).alias("end_date"),
                  company_split(F.array_join(F.transform("names", lambda x: x["line"]), " "), markers).alias("c"))
     return g.select(*keys, "line_no", "start_date", "end_date", "c.previous", "c.current")

@@ -122,7 +122,7 @@ def reload_results(spark, sf):
     path = run_folder(spark, "results")
     c = feeds.career_records(spark, sf)
     fields = [F.col(f).cast("string").alias(f) if f in c.columns else F.lit(None).cast("string").alias(f) for f in SC.RECORD_FIELDS]
-    g = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("rec_idx", F.struct(*fields).alias("r")))).alias("t"))
+    g = c.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("rec_idx", F.struct(*fields).alias("r")))).alias("t"))
     g.select(F.col("doc_id").cast("string").alias("doc_id"), F.transform("t", lambda x: x["r"]).alias("tech")).write.json(path)
     root = SD.reload_results(spark, path).where("_corrupt_record is null")
     return SD.section_rows(root, "tech").select("doc_id", "rec_idx", "project_name", "issuer", "work_type", "start_date", "end_date", "position", "overview")
