@@ -104,36 +104,59 @@ def _sets(k: int):
     return run
 
 
-def _possible(size: np.ndarray, pos: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
-    """Pairs whose sizes and places of the shared shingle allow the similarity."""
+def _possible(size: np.ndarray, pos: np.ndarray, met: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Pairs whose sizes and places of the shared shingle allow the similarity.  Before it they can share only what any two first shingles share (``met``)."""
     low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-    most = np.minimum(pos[i], pos[j]) + np.minimum(size[i] - pos[i], size[j] - pos[j])
+    most = np.minimum(met[i], met[j]) + np.minimum(size[i] - pos[i], size[j] - pos[j])
     return (low >= similarity * high - 1e-9) & (most * (1 + similarity) >= similarity * (low + high) - 1e-9)
 
 
 def _meetings(similarity: float, every: bool):
-    """From rows ``gram, size, key, pos, comp`` sorted by the first three: pairs ``a < b`` of neighbours of a shingle, or of all that are in different components."""
+    """From rows ``gram, size, key, pos, comp, met, own`` sorted by the first three: pairs ``a < b`` in different components.
+
+    These are neighbours of a shingle and each text with the one that has the
+    fewest shingles of its ``own`` there (the least edited of a group of near
+    copies); with ``every`` all pairs.
+    """
+
+    def possible(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        _, size, key, pos, comp, met, _ = rows.T
+        ok = (comp[i] != comp[j]) & _possible(size, pos, met, i, j, similarity)
+        if ok.any():
+            x, y = key[i[ok]], key[j[ok]]
+            both = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1), axis=0)
+            yield both[:, 0], both[:, 1]
+
+    def sparse(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if not len(rows):
+            return
+        gram, at = rows[:, 0], np.arange(len(rows))
+        next_to = at[:-1][gram[:-1] == gram[1:]]
+        best = np.lexsort((rows[:, 2], rows[:, 6], gram))
+        cut = np.flatnonzero(np.diff(gram, prepend=gram[0] - 1))
+        centre = np.repeat(best[cut], np.diff(cut, append=len(rows)))
+        yield from possible(rows, np.concatenate((next_to, at)), np.concatenate((next_to + 1, centre)))
 
     def pairs(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if every and len(rows):  # shingles of one component make no pairs
+        if not every:
+            yield from sparse(rows)
+            return
+        if len(rows):  # shingles of one component make no pairs
             cut = np.flatnonzero(np.diff(rows[:, 0], prepend=rows[0, 0] - 1))
             mixed = np.minimum.reduceat(rows[:, 4], cut) != np.maximum.reduceat(rows[:, 4], cut)
             rows = rows[np.repeat(mixed, np.diff(cut, append=len(rows)))]
-        gram, size, key, pos, comp = rows.T
+        gram, size, comp = rows[:, 0], rows[:, 1], rows[:, 4]
         begins, ends = np.arange(len(gram)) + 1, np.searchsorted(gram, gram, side="right")
-        if not every:
-            ends = np.minimum(ends, begins + 1)
-        else:
-            for a, e in zip(*np.unique(ends, return_index=True), strict=True):
-                # partners by size, or all of later components where those are fewer
-                near = e + np.searchsorted(size[e:a], size[e:a] / similarity + 1e-6, side="right")
-                order = e + np.argsort(comp[e:a], kind="stable")
-                behind = e + np.searchsorted(comp[order], comp[order], side="right")
-                if (a - behind).sum() < (near - begins[e:a]).sum():
-                    rows[e:a] = rows[order]
-                    begins[e:a] = behind
-                else:
-                    ends[e:a] = near
+        for a, e in zip(*np.unique(ends, return_index=True), strict=True):
+            # partners by size, or all of later components where those are fewer
+            near = e + np.searchsorted(size[e:a], size[e:a] / similarity + 1e-6, side="right")
+            order = e + np.argsort(comp[e:a], kind="stable")
+            behind = e + np.searchsorted(comp[order], comp[order], side="right")
+            if (a - behind).sum() < (near - begins[e:a]).sum():
+                rows[e:a] = rows[order]
+                begins[e:a] = behind
+            else:
+                ends[e:a] = near
         count = ends - begins
         upto = np.cumsum(count)
         at = 0
@@ -141,15 +164,11 @@ def _meetings(similarity: float, every: bool):
             to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS_AT_ONCE, side="right")))
             i = np.repeat(np.arange(at, to), count[at:to])
             j = begins[i] + np.arange(len(i)) - np.repeat(np.cumsum(count[at:to]) - count[at:to], count[at:to])
-            ok = (comp[i] != comp[j]) & _possible(size, pos, i, j, similarity)
-            if ok.any():
-                x, y = key[i[ok]], key[j[ok]]
-                both = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1), axis=0)
-                yield both[:, 0], both[:, 1]
+            yield from possible(rows, i, j)
             at = to
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 5), np.int64)
+        held = np.zeros((0, 7), np.int64)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -213,11 +232,13 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = written(rows, "described")
     first = rows.select("key", "size", F.posexplode("first").alias("pos", "gram")).repartition("gram").dropDuplicates(["gram", "key"])
     shared = first.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).where("n > 1").drop("n")
+    of = Window.partitionBy("key")
+    shared = shared.withColumns({"met": F.row_number().over(of.orderBy("pos")) - 1, "own": F.max("pos").over(of) + 1 - F.count("*").over(of)})
     shared = written(shared, "shared-shingles")
     signs = rows.select("key", "size", "sign").where("size > 0").dropDuplicates(["key"])
 
     def links(places: DataFrame, every: bool) -> DataFrame:
-        near = places.select("gram", "size", "key", "pos", "comp").repartition("gram").sortWithinPartitions("gram", "size", "key")
+        near = places.select("gram", "size", "key", "pos", "comp", "met", "own").repartition("gram").sortWithinPartitions("gram", "size", "key")
         near = near.mapInArrow(_meetings(similarity, every), "a bigint, b bigint").distinct()
         near = near.join(signs.toDF("a", "n", "x"), "a").join(signs.toDF("b", "m", "y"), "b").select("a", "b", "n", "x", "m", "y")
         near = written(near.mapInArrow(_hopeful(similarity), "a bigint, b bigint"), "candidates")

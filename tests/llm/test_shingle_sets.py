@@ -67,3 +67,31 @@ def test_signatures_never_rule_out_a_similar_pair():
             assert bound >= shared
             if n >= 64 and share == 0.0:
                 assert bound < 0.6 * min(len(a), len(b)) + 8  # and it rules out most others
+
+
+def test_pairs_of_near_copies_grow_with_their_number(spark, make, prose, monkeypatch):
+    """Copies of one text, each with two words changed: like the text itself at best, rarely like each other."""
+    seen = spark.sparkContext.accumulator(0)
+    hopeful = ss._hopeful
+
+    def counted(similarity):
+        f = hopeful(similarity)
+
+        def run(batches):
+            def count():
+                for b in batches:
+                    seen.add(b.num_rows)
+                    yield b
+
+            return f(count())
+
+        return run
+
+    monkeypatch.setattr(ss, "_hopeful", counted)
+    base = prose(90, 11)
+    made = []
+    for n in (200, 400):
+        before = seen.value
+        assert ss.similar_groups(make(list(enumerate([base] + [edited(base, 2, i) for i in range(n)])))).count() == n + 1
+        made.append(seen.value - before)
+    assert made[1] < 3 * 400, made
