@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,30 +20,50 @@ _PATTERN = plain_pattern(WORD_TOKEN)
 _CUT = re.compile(r"[ \t\n\r]")
 SIZE = 2048
 END_ID = 1
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES, RUN_CHARS = 1 << 19, 64
 
 _WORKERS: dict[str, "WordIds"] = {}
 
 
 class WordIds(dict):
-    """Ids of pre-tokens met in this worker, as little-endian 32-bit numbers.  Emptied at ``CACHE_ENTRIES``."""
+    """Ids of pre-tokens met in this worker, as little-endian 32-bit numbers, and those of runs without a blank.  Either is emptied at ``CACHE_ENTRIES``."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
+        self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.runs: dict[str, bytes] = {}
         self.lib = Tokenizer.from_file(path)
+        self.model = self.lib.model
         added = {t.content: i for i, t in self.lib.get_added_tokens_decoder().items()}
         self.added = {k: np.uint32(v).tobytes() for k, v in added.items()}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.whole(piece)
+        # a pre-token in lower case: only its bytes' letters and the model are left of the library's steps
+        letters = piece if piece.isascii() else self.letters.pre_tokenize_str(piece)[0][0]
+        ids = [t.id for t in self.model.tokenize(letters)]
+        ids = struct.pack(f"<{len(ids)}I", *ids)
         if len(self) >= CACHE_ENTRIES:
             self.clear()
         self[piece] = ids
         return ids
 
+    def plain(self, text: str) -> bytes:
+        """Ids of a safe text without special strings.  No pre-token crosses a blank, so runs stand alone."""
+        runs = text.lower().split()
+        parts = list(map(self.runs.get, runs))
+        if None in parts:
+            if len(self.runs) >= CACHE_ENTRIES:
+                self.runs.clear()
+            for i, p in enumerate(parts):
+                if p is None:
+                    parts[i] = b"".join(map(self.__getitem__, _PATTERN.findall(runs[i])))
+                    if len(runs[i]) <= RUN_CHARS:
+                        self.runs[runs[i]] = parts[i]
+        return b"".join(parts)
+
     def whole(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -61,9 +81,8 @@ class WordIds(dict):
         if not SAFE.fullmatch(text):
             return self.direct(text)
         if self.special is None or not self.special.search(text):
-            return b"".join(map(self.__getitem__, _PATTERN.findall(text.lower())))
-        parts = (([self.added[p]] if p in self.added else map(self.__getitem__, _PATTERN.findall(p.lower()))) for p in self.special.split(text))
-        return b"".join(chain.from_iterable(parts))
+            return self.plain(text)
+        return b"".join(self.added[p] if p in self.added else self.plain(p) for p in self.special.split(text))
 
 
 def token_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, end_id: int = END_ID) -> DataFrame:

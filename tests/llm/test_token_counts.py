@@ -2,8 +2,10 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from recordloom.llm import pack_hist
 from recordloom.llm import token_counts as tc
 from recordloom.llm.pack_hist import WordIds, pack, packing_patterns, token_pieces
+from recordloom.llm.pretokens import SAFE
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "\n\n  x \n", "a <|endoftext|>  b<|startoftext|>c", "it's I'LL we'Re 12 3½ ²x — “q” …", "İstanbul ΣΑΣ ok", "日本 語 é é", "x\x1cy\x85z \xa0\n q", "a\xadb ı ĸ ŉ ſ", "'s  's",
@@ -26,6 +28,16 @@ def test_parts_of_a_text_add_up():
         assert ids.direct(t, 3) == ids.whole(t) == ids.ids(t)
 
 
+def test_new_words_cost_no_whole_encoding(monkeypatch):
+    """Words that a worker has not met go to the library's model alone, also with a full cache; their ids are the library's."""
+    ids = WordIds(WORD)
+    texts = [t for t in ODD if SAFE.fullmatch(t)] + [" ".join(f"na{chr(97 + i % 26)}ïve{i}'s,œuvre{i}!'S'" for i in range(k, k + 40)) for k in range(0, 400, 20)]
+    want = [ids.whole(t) for t in texts]
+    monkeypatch.setattr(pack_hist, "CACHE_ENTRIES", 7)
+    monkeypatch.setattr(WordIds, "whole", None)
+    assert len(texts) > 20 and [ids.ids(t) for t in texts] == want
+
+
 def test_patterns_hold_every_length():
     hist = {2048: 3, 2047: 1, 1500: 4, 1024: 5, 600: 2, 500: 4, 100: 31, 48: 2, 1: 9}
     pats = packing_patterns(hist)
