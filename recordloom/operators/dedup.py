@@ -208,6 +208,22 @@ def merge_awards(df: DataFrame, doc: str = "doc_id", order: str = "seq") -> Data
     return g.select(doc, "award_date", F.coalesce("institution", F.lit("")).alias("institution"), "kind")
 
 
+def letter_groups(texts: DataFrame, keys: Sequence[str], gram: int = 6) -> tuple[DataFrame, DataFrame]:
+    """Rows ``keys, _s, _g`` of texts ``_c`` with their leading letters, and ``keys, _t, _g`` of longer ones with all letter groups to meet them.
+
+    Keys whose texts are all equally long give none, and no group is shorter than
+    the shortest text of its keys.
+    """
+    size = F.length("_c")
+    lengths = texts.groupBy(*keys).agg(F.min(size).alias("_lo"), F.max(size).alias("_hi")).where("_lo < _hi")
+    texts = texts.join(lengths, list(keys)).withColumn("_lo", F.least("_lo", F.lit(gram)))
+    short = texts.where(size < F.col("_hi")).select(*keys, F.col("_c").alias("_s"), F.substr(F.col("_c"), F.lit(1), F.least(size, F.lit(gram))).alias("_g"))
+    spots = F.explode(F.sequence(F.lit(1), size - F.col("_lo") + 1)).alias("_i")
+    long = texts.where("length(_c) > _lo").select(*keys, "_c", "_lo", spots)
+    long = long.select(*keys, "_c", "_i", F.explode(F.sequence("_lo", F.least(F.lit(gram), size - F.col("_i") + 1))).alias("_l"))
+    return short, long.select(*keys, F.col("_c").alias("_t"), F.expr("substring(_c, _i, _l)").alias("_g")).distinct()
+
+
 def drop_contained(df: DataFrame, keys: Sequence[str], text: str, gram: int = 6) -> DataFrame:
     """Drop rows whose blank-free text is part of a longer text with the same keys.
 
@@ -215,12 +231,7 @@ def drop_contained(df: DataFrame, keys: Sequence[str], text: str, gram: int = 6)
     letter groups of the longer texts, so a key group is never crossed with itself.
     """
     d = df.withColumn("_c", compact(F.col(text)))
-    texts = d.select(*keys, "_c").distinct().where("_c <> ''")
-    size = F.length("_c")
-    short = texts.select(*keys, F.col("_c").alias("_s"), F.substr(F.col("_c"), F.lit(1), F.least(size, F.lit(gram))).alias("_g"))
-    spots = F.explode(F.sequence(F.lit(1), size)).alias("_i")
-    long = texts.select(*keys, "_c", spots).select(*keys, "_c", "_i", F.explode(F.sequence(F.lit(1), F.least(F.lit(gram), size - F.col("_i") + 1))).alias("_l"))
-    long = long.select(*keys, F.col("_c").alias("_t"), F.expr("substring(_c, _i, _l)").alias("_g")).distinct()
+    short, long = letter_groups(d.select(*keys, "_c").distinct().where("_c <> ''"), keys, gram)
     hit = short.join(long, [*keys, "_g"]).where((F.length("_t") > F.length("_s")) & F.contains(F.col("_t"), F.col("_s")))
     gone = hit.select(*keys, F.col("_s").alias("_c")).distinct()
     return d.join(gone, [*keys, "_c"], "left_anti").select(*df.columns)

@@ -72,3 +72,19 @@ def test_nested_parts_hold_everything(spark):
 
 def test_sheet_names_unique(spark):
     assert K.sheet_names(["a/b", "a:b", "x" * 40]) == {"a/b": "a_b", "a:b": "a_b_1", "x" * 40: "x" * 31}
+
+
+def test_contained_texts_and_their_letter_groups(spark):
+    from recordloom.operators.dedup import drop_contained, letter_groups
+
+    texts = {1: ["표창장[제7호]", "제 7호", "공로", "표창장[제7호"], 2: ["abcdefghij", "bcdefgh", "xbcdefgh"], 3: ["abcdef", "ghijkl"], 4: ["a", "ba", "", None], 5: ["xyzxyzxyz"]}
+    rows = [(k, t) for k, ts in texts.items() for t in ts] + [(None, "ab"), (None, "abc"), (2, "bcdefgh")]
+    flat = lambda t: (t or "").replace(" ", "")
+    want = [(k, t) for k, t in rows if k is None or not flat(t) or not any(flat(t) in flat(o) and len(flat(o)) > len(flat(t)) for o in texts[k])]
+    d = spark.createDataFrame(rows, "k int, t string")
+    assert sorted(map(tuple, drop_contained(d, ["k"], "t").collect()), key=repr) == sorted(want, key=repr)
+    short, long = letter_groups(spark.createDataFrame([(k, flat(t)) for k, t in rows if flat(t)], "k int, _c string").distinct(), ["k"])
+    assert not {r.k for r in short.collect()} & {3, 5, None}
+    groups = long.collect()
+    assert not {r.k for r in groups} & {3, 5, None}
+    assert {len(r._g) for r in groups if r.k == 2} == {6}
