@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from recordloom.operators import records as R
+from recordloom.operators import tables as Tab
 from recordloom.operators import text_flow as T
 
 def plan(df) -> str:
@@ -18,3 +20,20 @@ def test_ranges_of_a_line_that_share_a_date_and_digits_before_a_range(spark):
     lines = [(1, 1, 0, "교육기간 과정명 교육기관명"), (1, 1, 1, "앞 2001.01.01 ~ 2001.02.02 ~ 2001.03.03 가 교육원 12001.01.01 ~ 2001.02.02 나"), (1, 1, 2, " 다 ~ 라")]
     d = T.training_texts(spark.createDataFrame(lines, "doc_id long, page_no long, line_no long, line string"))
     assert [r["text"] for r in d.collect()] == ["2001.02.02 ~ 2001.03.03 가 교육원 12001.01.01 ~ 2001.02.02 나다 ~ 라"]
+
+
+def test_best_six_columns_are_those_of_the_single_steps_on_odd_cells(spark):
+    head = ["참여기간", "사업명 ", None, " 비 고", "", "x"]
+    rows = [(1, 1, 0, 1, 0, head + ["y"]), (1, 1, 0, 1, 1, ["2001.01.01", "​", None, "b \r\n", " ", "\tz", "1"]), (1, 1, 0, 1, 2, ["﻿", " ", None, "\n", "", "​", None]),
+            (1, 2, 0, 0, 0, ["a", "b", "c"]), (1, 2, 0, 0, 1, [" ", "b", "c"]), (1, 2, 0, 0, 2, ["a\x01", " b", "c​"]), (1, 3, 0, 0, 0, ["\x01", None, "", "\x0b"])]
+    d = spark.createDataFrame(rows, "doc_id long, page_no long, attempt int, table_no int, row_no int, cells array<string>")
+    best = Tab.keep_best(d, Tab.best_table(Tab.career_table_score(d)))
+    want = Tab.six_columns(best).join(Tab.header_start_row(d), list(Tab.TABLE)).select(*Tab.TABLE, "row_no", "cells", "header_row")
+    order = lambda x: sorted((tuple(r) for r in x.collect()), key=repr)
+    assert order(Tab.best_six_columns(d).select(want.columns)) == order(want) and len(order(want)) == 7
+
+
+def test_rows_of_the_best_table_are_read_outside_of_arrays(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    assert not [x for x in plan(entry.queries()["islands_records"](spark, sf_dir)).splitlines() if "lambda" in x and "책임정도의" in x]
