@@ -50,3 +50,9 @@ def test_a_summary_ends_with_the_first_end_line_behind_a_header(spark):
     lines = [(1, 1, 0, end), (1, 1, 1, "가 1 일"), (1, 2, 0, head), (1, 2, 1, "나 2 일"), (1, 20000, 0, "다 3 일"), (1, 20000, 1, end), (1, 20000, 2, "라 4 일"), (1, 40000, 0, head), (1, 40000, 1, "마 5 일"), (2, 1, 0, head), (2, 1, 1, "바 6 일")]
     d = R.summary_items(spark.createDataFrame(lines, "doc_id long, page_no long, line_no long, line string"))
     assert sorted((r["doc_id"], r["work_type"], r["days"]) for r in d.collect()) == [(1, "나", "2"), (1, "다", "3"), (2, "바", "6")]
+
+
+def test_customers_of_one_file_are_dealt(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    assert "RepartitionByExpression" in plan(entry.queries()["grade_slots"](spark, sf_dir))
