@@ -56,3 +56,9 @@ def test_customers_of_one_file_are_dealt(spark, sf_dir):
     import __spark_entry__ as entry
 
     assert "RepartitionByExpression" in plan(entry.queries()["grade_slots"](spark, sf_dir))
+
+
+def test_grade_blocks_are_cut_out_once(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    assert plan(entry.queries()["grade_blocks"](spark, sf_dir)).count("국가기술자격") <= 12
