@@ -62,3 +62,10 @@ def test_grade_blocks_are_cut_out_once(spark, sf_dir):
     import __spark_entry__ as entry
 
     assert plan(entry.queries()["grade_blocks"](spark, sf_dir)).count("국가기술자격") <= 12
+
+
+def test_attempts_are_compared_without_a_join(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    p = plan(entry.queries()["attempt_preview"](spark, sf_dir))
+    assert "Join" not in p and p.count("Relation [") == 1
