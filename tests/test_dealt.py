@@ -86,3 +86,20 @@ def test_nearest_label_against_all_pairs(spark):
         right |= {(a[1], a[2], min(near)[2])} if near else set()
     assert {(r.page_no, r.seq, r.label) for r in L.nearest_label(df, anchor, target, radius=25.0).collect()} == want
     assert {(r.page_no, r.seq, r.target) for r in L.nearest_right(df, anchor, target).collect()} == right
+
+
+def test_every_tilde_near_a_position_gets_its_label(spark, sf_dir):
+    import math
+
+    import __spark_entry__ as entry
+    from recordloom.plans import feeds, q_layout
+
+    words = q_layout.words(spark, sf_dir).where("page_no % 10 = 0").where(F.col("text").isin("~", *feeds.POSITIONS)).collect()
+    pages = {}
+    for w in words:
+        pages.setdefault((w.doc_id, w.page_no), []).append(w)
+    at = lambda w: ((w.x0 + w.x1) / 2, (w.top + w.bottom) / 2)
+    want = {(w.doc_id, w.page_no, w.seq) for ws in pages.values() for w in ws if w.text == "~" and any(
+        t.text != "~" and (math.dist(at(w), at(t)) <= 120 or (abs(at(w)[1] - at(t)[1]) <= 6 and t.x0 >= w.x1)) for t in ws)}
+    got = entry.queries()["nearest_label"](spark, sf_dir).where("page_no % 10 = 0").collect()
+    assert {(r.doc_id, r.page_no, r.seq) for r in got} == want and len(want) > 0.9 * sum(w.text == "~" for w in words)
