@@ -103,3 +103,24 @@ def test_every_tilde_near_a_position_gets_its_label(spark, sf_dir):
         t.text != "~" and (math.dist(at(w), at(t)) <= 120 or (abs(at(w)[1] - at(t)[1]) <= 6 and t.x0 >= w.x1)) for t in ws)}
     got = entry.queries()["nearest_label"](spark, sf_dir).where("page_no % 10 = 0").collect()
     assert {(r.doc_id, r.page_no, r.seq) for r in got} == want and len(want) > 0.9 * sum(w.text == "~" for w in words)
+
+
+@pytest.mark.parametrize("name", ["six_columns", "block_pivot", "cm_blocks"])
+def test_table_rows_are_not_shuffled_again(spark, sf_dir, name):
+    import __spark_entry__ as entry
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = exchanges(entry.queries()[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(found) == 1 and "hashpartitioning(o_custkey" in found[0]
+
+
+def test_six_columns_of_tables_that_are_blank_or_narrow(spark):
+    from recordloom.operators import tables as T
+
+    rows = [(1, 1, 0, 0, 0, [" ", None]), (1, 1, 0, 1, 0, []), (1, 1, 0, 2, 0, ["a"]), (1, 1, 0, 2, 1, []), (1, 1, 0, 2, 2, ["", " b\u00a0"])]
+    d = T.six_columns(spark.createDataFrame(rows, "doc_id long, page_no long, attempt int, table_no int, row_no int, cells array<string>"))
+    assert sorted((r.table_no, r.row_no, *r.cells) for r in d.collect()) == [(2, 0, "a", ""), (2, 1, "", ""), (2, 2, "", "b")]
