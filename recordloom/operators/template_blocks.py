@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recordloom.functions import grammar as G
 from recordloom.functions.text import compact, let, squeeze
 from recordloom.operators.lines import DATE_LINE, DAYS_LINE, MASKED_DATE, is_boilerplate
-from recordloom.operators.records import PAGE, date_blocks
+from recordloom.operators.records import PAGE, pages_with_blocks
 
 #: Points of a name candidate: a head office, a page's own text, overview text, a bare word, Hangul, and a letter up to as many.
 OFFICE, BOILERPLATE, OVERVIEW, BARE, HANGUL, LETTERS = 10_000, -9_000, -500, 1, 10, 60
@@ -18,64 +18,75 @@ OFFICE, BOILERPLATE, OVERVIEW, BARE, HANGUL, LETTERS = 10_000, -9_000, -500, 1,
 BARE_WORDS = ["용역", "공사", "사업"]
 #: Lines right above a block that are not taken for names below the block before it.
 GUARD = 6
+#: What a row of a page's order is: a block that opens before its first line, a line, a block that closes behind its last.
+OPENS, LINE, CLOSES = 0, 1, 2
 
 
 def name_points(line: Column) -> Column:
     """Points of a filled line as a project name."""
-    def points(s: Column, t: Column) -> Column:
-        return (
-            F.when(is_boilerplate(s), BOILERPLATE).when(t.startswith("본사"), OFFICE)
-            .when(G.is_technical_line(s) | s.rlike(r"[㎥㎞㎡㎝㎜]|L=\d|\d+\s*개소|1\s*식"), OVERVIEW).when(t.isin(*BARE_WORDS), BARE)
-            .otherwise(F.when(s.rlike("[가-힣]"), HANGUL).otherwise(0) + F.least(F.length(s), F.lit(LETTERS)))
-        )
+    return let(squeeze(line), lambda s: let(compact(s), lambda t: _points(s, t)))
 
-    return let(squeeze(line), lambda s: let(compact(s), lambda t: points(s, t)))
 
-
-def blocks_with_heights(lines: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
-    """``date_blocks`` of lines that have a ``top``, with the heights ``y_start, y_end`` of their first and last line."""
-    at = lambda name, y: lines.select(*keys, F.col("line_no").alias(name), F.col("top").alias(y))
-    b = date_blocks(lines.select(*keys, "line_no", "line"), keys)
-    return b.join(at("line_no", "y_start"), [*keys, "line_no"]).join(at("last_no", "y_end"), [*keys, "last_no"])
+def _points(s: Column, t: Column) -> Column:
+    """Points of a squeezed line ``s`` that is ``t`` without blanks."""
+    return (
+        F.when(is_boilerplate(s), BOILERPLATE).when(t.startswith("본사"), OFFICE)
+        .when(G.is_technical(s, t) | s.rlike(r"[㎥㎞㎡㎝㎜]|L=\d|\d+\s*개소|1\s*식"), OVERVIEW).when(t.isin(*BARE_WORDS), BARE)
+        .otherwise(F.when(s.rlike("[가-힣]"), HANGUL).otherwise(0) + F.least(F.length(s), F.lit(LETTERS)))
+    )
 
 
 def block_names(lines: DataFrame, blocks: DataFrame, keys: Sequence[str] = PAGE, guard: int = GUARD) -> DataFrame:
-    """``blocks`` with ``name``, ``name_above`` and ``name_points``: the best candidate line between the blocks around it.
+    """``blocks`` (``block, y_start, y_end``) with ``name``, ``name_above`` and ``name_points``: the best candidate of ``lines`` (``top, line``) between the blocks around it."""
+    edge = lambda y, mark: F.struct(F.col(y).alias("y"), F.lit(mark).alias("mark"), F.when(F.lit(mark) == OPENS, F.struct(*blocks.columns)).alias("b"))
+    edges = blocks.select(*keys, F.explode(F.array(edge("y_start", OPENS), edge("y_end", CLOSES))).alias("e")).select(*keys, "e.y", "e.mark", F.lit(None).cast("string").alias("line"), "e.b")
+    marks = edges.unionByName(lines.select(*keys, F.col("top").alias("y"), F.lit(LINE).alias("mark"), "line", F.lit(None).cast(edges.schema["b"].dataType).alias("b")))
+    return _named(marks, keys, guard).select("b.*", "name", "name_above", "name_points")
+
+
+def _named(marks: DataFrame, keys: Sequence[str], guard: int) -> DataFrame:
+    """Blocks ``b`` with their names, out of a page's blocks and lines in one order (``y, mark``; ``line``, or ``b`` where a block opens).
 
     A line lies in one gap, between the block above it and the block below it, and
-    is a candidate of these two alone: lines and blocks are put in one order by
-    height, and counts over it tell a line's gap, so there is no join of lines with
-    blocks.  Of a gap's lines the one with most points counts, the first at a tie;
-    the last ``guard`` lines above a block are not candidates of the block before.
-    Above or below, points times a hundred less the distance in lines decides, above
-    at a tie.  A block without a candidate has an empty name.
+    is a candidate of these two alone; counts over the order tell a line's gap, so
+    nothing is joined.  Of a gap's lines the one with most points counts, the first
+    at a tie; the last ``guard`` lines above a block are not candidates of the block
+    before.  Above or below, points times a hundred less the distance in lines
+    decides, above at a tie.  A block without a candidate has an empty name.
     """
-    w = Window.partitionBy(*keys).orderBy("y", "mark")
-    none = F.lit(None)
-    line_rows = lines.select(*keys, F.col("top").alias("y"), F.lit(1).alias("mark"), "line", none.cast("bigint").alias("block"))
-    edges = F.array(F.struct(F.col("y_start").alias("y"), F.lit(0).alias("mark")), F.struct(F.col("y_end").alias("y"), F.lit(2).alias("mark")))
-    edge_rows = blocks.select(*keys, F.explode(edges).alias("e"), "block").select(*keys, "e.y", "e.mark", F.lit("").alias("line"), "block")
-    d = line_rows.unionByName(edge_rows)
-    # mark 0 opens a block before its first line, 2 closes it behind its last
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    d = d.select("*", F.sum((F.col("mark") == 0).cast("int")).over(upto).alias("opened"), F.sum((F.col("mark") == 2).cast("int")).over(upto).alias("closed"),
-                 F.sum((F.col("mark") == 1).cast("int")).over(upto).alias("n"))
-    gap = Window.partitionBy(*keys, "opened")
-    d = d.where("mark = 1 and opened = closed and trim(line) <> ''").withColumns({"points": name_points(F.col("line")), "first": F.min("n").over(gap), "last": F.max("n").over(gap)})
+    upto = Window.partitionBy(*keys).orderBy("y", "mark", "b.block").rowsBetween(Window.unboundedPreceding, 0)
+    count = lambda mark: F.count_if(F.col("mark") == mark).over(upto)
+    d = marks.select(*keys, "y", "mark", "line", "b", count(OPENS).alias("gap"), count(CLOSES).alias("closed"), count(LINE).alias("n"))
+    free = (F.col("mark") == LINE) & (F.col("gap") == F.col("closed")) & (F.trim("line") != "")
+    d = d.select(*keys, "gap", "n", "line", "b", F.when(free, squeeze(F.col("line"))).alias("s"))
+    d = d.select(*keys, "gap", "n", "line", "b", "s", compact(F.col("s")).alias("t"))
+    d = d.select(*keys, "gap", "line", "b", F.when(F.col("s").isNotNull(), _points(F.col("s"), F.col("t"))).alias("points"), F.when(F.col("s").isNotNull(), F.col("n")).alias("n"))
+    d = d.withColumn("last", F.max("n").over(Window.partitionBy(*keys, "gap")))
     best = lambda which: F.max_by(F.struct("line", "points", "n"), F.when(which, F.struct("points", -F.col("n"))))
-    far = F.col("n") <= F.col("last") - guard
-    g = d.groupBy(*keys, "opened").agg(best(F.lit(True)).alias("above"), best(far).alias("below"), F.max("last").alias("last"), F.min("first").alias("first"))
-    numbered = blocks.withColumn("order", F.row_number().over(Window.partitionBy(*keys).orderBy("y_start", "block")))
-    up = g.select(*keys, (F.col("opened") + 1).alias("order"), F.col("above").alias("a"), (F.col("above.points") * 100 - (F.col("last") + 1 - F.col("above.n"))).alias("a_points"))
-    down = g.select(*keys, F.col("opened").alias("order"), F.col("below").alias("b"), (F.col("below.points") * 100 - (F.col("below.n") - F.col("first"))).alias("b_points"))
-    d = numbered.join(up, [*keys, "order"], "left").join(down, [*keys, "order"], "left")
-    above = F.col("a").isNotNull() & (F.col("b").isNull() | (F.col("a_points") >= F.col("b_points")))
-    chosen = F.when(above, F.col("a")).otherwise(F.col("b"))
-    return d.select(*blocks.columns, F.coalesce(chosen["line"], F.lit("")).alias("name"), above.alias("name_above"), chosen["points"].alias("name_points"))
-
-
-def template_blocks(lines: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
-    """Blocks of a page's ``line_no, top, line`` with heights and names."""
+    g = d.groupBy(*keys, "gap").agg(best(F.col("n").isNotNull()).alias("above"), best(F.col("n") <= F.col("last") - guard).alias("below"), F.max("last").alias("last"), F.min("n").alias("first"), F.first("b", ignorenulls=True).alias("b"))
+    d = g.withColumn("up", F.lag(F.struct("above", "last")).over(Window.partitionBy(*keys).orderBy("gap"))).where("b is not null")
+    d = d.select(*keys, "b", F.col("up.above").alias("a"), (F.col("up.above.points") * 100 - (F.col("up.last") + 1 - F.col("up.above.n"))).alias("a_points"),
+                 F.col("below").alias("u"), (F.col("below.points") * 100 - (F.col("below.n") - F.col("first"))).alias("u_points"))
+    above = F.col("a").isNotNull() & (F.col("u").isNull() | (F.col("a_points") >= F.col("u_points")))
+    chosen = F.when(above, F.col("a")).otherwise(F.col("u"))
+    return d.select(*keys, "b", F.coalesce(chosen["line"], F.lit("")).alias("name"), above.alias("name_above"), chosen["points"].alias("name_points"))
+
+
+def template_blocks(lines: DataFrame, keys: Sequence[str] = PAGE, guard: int = GUARD) -> DataFrame:
+    """Date blocks of a page's ``line_no, top, line`` with the heights ``y_start, y_end`` of their first and last line and with names.
+
+    A page's lines are grouped once and its blocks come out of the same array, so
+    nothing is joined, and what is dealt by page stays where it is.
+    """
     line = F.col("line")
-    shaped = line.rlike(DATE_LINE) | line.rlike(DAYS_LINE) | line.rlike(MASKED_DATE) | line.startswith("~")
-    return block_names(lines.where(~shaped), blocks_with_heights(lines, keys), keys)
+    d = lines.withColumn("free", ~(line.rlike(DATE_LINE) | line.rlike(DAYS_LINE) | line.rlike(MASKED_DATE) | line.startswith("~")))
+    g = pages_with_blocks(d, keys, carry=["top", "free"])
+    block = lambda b, i: F.struct(
+        b["line_no"].alias("line_no"), b["last_no"].alias("last_no"), i.cast("bigint").alias("block"), b["start"].alias("start_date"), b["end"].alias("end_date"),
+        b["recog"].alias("recog_days"), b["part"].alias("part_days"), b["first_top"].alias("y_start"), b["last_top"].alias("y_end"))
+    g = g.select(*keys, "r", F.transform("blocks", block).alias("blocks"))
+    none = F.lit(None).cast(g.schema["blocks"].dataType.elementType)
+    row = lambda y, mark, line, b: F.struct(y.alias("y"), F.lit(mark).alias("mark"), line.alias("line"), b.alias("b"))
+    marks = F.concat(F.transform(F.filter("r", lambda x: x["free"]), lambda x: row(x["top"], LINE, x["line"], none)),
+                     F.transform("blocks", lambda b: row(b["y_start"], OPENS, F.lit(None).cast("string"), b)), F.transform("blocks", lambda b: row(b["y_end"], CLOSES, F.lit(None).cast("string"), none)))
+    return _named(g.select(*keys, F.explode(marks).alias("x")).select(*keys, "x.*"), keys, guard).select(*keys, "b.*", "name", "name_above", "name_points")

@@ -124,3 +124,20 @@ def test_six_columns_of_tables_that_are_blank_or_narrow(spark):
     rows = [(1, 1, 0, 0, 0, [" ", None]), (1, 1, 0, 1, 0, []), (1, 1, 0, 2, 0, ["a"]), (1, 1, 0, 2, 1, []), (1, 1, 0, 2, 2, ["", " b\u00a0"])]
     d = T.six_columns(spark.createDataFrame(rows, "doc_id long, page_no long, attempt int, table_no int, row_no int, cells array<string>"))
     assert sorted((r.table_no, r.row_no, *r.cells) for r in d.collect()) == [(2, 0, "a", ""), (2, 1, "", ""), (2, 2, "", "b")]
+
+
+def test_template_blocks_read_their_lines_once_and_join_nothing(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    p = plan(entry.queries()["template_blocks"](spark, sf_dir))
+    assert "Join" not in p and "BroadcastExchange" not in p and p.count("FileScan") == 1
+
+
+def test_template_blocks_take_heights_and_names_from_the_page(spark):
+    from recordloom.operators import template_blocks as B
+
+    text = ["제1호 공사", "2001.01.01", "~ 도로", "2002.02.02", "(1일)", "( 2 일 )", "", "제2호 공사", "2003.03.03", "~ 도로", "근무중"]
+    lines = [(1, p, i, float(i * 10 + p), t) for p in (1, 2) for i, t in enumerate(text)]
+    d = B.template_blocks(spark.createDataFrame(lines, "doc_id long, page_no long, line_no long, top double, line string"))
+    got = sorted((r.page_no, r.block, r.line_no, r.last_no, r.y_start, r.y_end, r.name, r.name_above) for r in d.collect())
+    assert got == [x for p in (1, 2) for x in [(p, 0, 1, 5, 10.0 + p, 50.0 + p, "제1호 공사", True), (p, 1, 8, 10, 80.0 + p, 100.0 + p, "제2호 공사", True)]]
