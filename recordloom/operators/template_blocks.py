@@ -24,13 +24,13 @@ OPENS, LINE, CLOSES = 0, 1, 2
 
 def name_points(line: Column) -> Column:
     """Points of a filled line as a project name."""
-    return let(squeeze(line), lambda s: let(compact(s), lambda t: _points(s, t)))
+    return let(squeeze(line), lambda s: let(compact(s), lambda t: _points(s, t, is_boilerplate(s))))
 
 
-def _points(s: Column, t: Column) -> Column:
+def _points(s: Column, t: Column, boilerplate: Column) -> Column:
     """Points of a squeezed line ``s`` that is ``t`` without blanks."""
     return (
-        F.when(is_boilerplate(s), BOILERPLATE).when(t.startswith("본사"), OFFICE)
+        F.when(boilerplate, BOILERPLATE).when(t.startswith("본사"), OFFICE)
         .when(G.is_technical(s, t) | s.rlike(r"[㎥㎞㎡㎝㎜]|L=\d|\d+\s*개소|1\s*식"), OVERVIEW).when(t.isin(*BARE_WORDS), BARE)
         .otherwise(F.when(s.rlike("[가-힣]"), HANGUL).otherwise(0) + F.least(F.length(s), F.lit(LETTERS)))
     )
@@ -56,11 +56,11 @@ def _named(marks: DataFrame, keys: Sequence[str], guard: int) -> DataFrame:
     """
     upto = Window.partitionBy(*keys).orderBy("y", "mark", "b.block").rowsBetween(Window.unboundedPreceding, 0)
     count = lambda mark: F.count_if(F.col("mark") == mark).over(upto)
-    d = marks.select(*keys, "y", "mark", "line", "b", count(OPENS).alias("gap"), count(CLOSES).alias("closed"), count(LINE).alias("n"))
-    free = (F.col("mark") == LINE) & (F.col("gap") == F.col("closed")) & (F.trim("line") != "")
-    d = d.select(*keys, "gap", "n", "line", "b", F.when(free, squeeze(F.col("line"))).alias("s"))
-    d = d.select(*keys, "gap", "n", "line", "b", "s", compact(F.col("s")).alias("t"))
-    d = d.select(*keys, "gap", "line", "b", F.when(F.col("s").isNotNull(), _points(F.col("s"), F.col("t"))).alias("points"), F.when(F.col("s").isNotNull(), F.col("n")).alias("n"))
+    # asked before the order is made: in one piece with the points it would be too long to be compiled
+    d = marks.withColumn("s", F.when((F.col("mark") == LINE) & (F.trim("line") != ""), squeeze(F.col("line")))).withColumn("page_text", is_boilerplate(F.col("s")))
+    d = d.select(*keys, "y", "mark", "line", "b", "s", "page_text", count(OPENS).alias("gap"), count(CLOSES).alias("closed"), count(LINE).alias("n"))
+    d = d.select(*keys, "gap", "n", "line", "b", F.when(F.col("gap") == F.col("closed"), F.col("s")).alias("s"), "page_text", compact(F.col("s")).alias("t"))
+    d = d.select(*keys, "gap", "line", "b", F.when(F.col("s").isNotNull(), _points(F.col("s"), F.col("t"), F.col("page_text"))).alias("points"), F.when(F.col("s").isNotNull(), F.col("n")).alias("n"))
     d = d.withColumn("last", F.max("n").over(Window.partitionBy(*keys, "gap")))
     best = lambda which: F.max_by(F.struct("line", "points", "n"), F.when(which, F.struct("points", -F.col("n"))))
     g = d.groupBy(*keys, "gap").agg(best(F.col("n").isNotNull()).alias("above"), best(F.col("n") <= F.col("last") - guard).alias("below"), F.max("last").alias("last"), F.min("n").alias("first"), F.first("b", ignorenulls=True).alias("b"))
