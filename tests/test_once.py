@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
 from recordloom.operators import records as R
 from recordloom.operators import tables as Tab
 from recordloom.operators import text_flow as T
@@ -69,3 +72,43 @@ def test_attempts_are_compared_without_a_join(spark, sf_dir):
 
     p = plan(entry.queries()["attempt_preview"](spark, sf_dir))
     assert "Join" not in p and p.count("Relation [") == 1
+
+
+@pytest.mark.parametrize("name", ["text_fallback", "project_headers", "tilde_context"])
+def test_lines_of_a_page_are_read_once(spark, sf_dir, name):
+    import __spark_entry__ as entry
+
+    p = plan(entry.queries()[name](spark, sf_dir))
+    assert "Join" not in p and p.count("Relation [") == 1
+
+
+@pytest.mark.parametrize("name", ["names_backward", "text_fallback"])
+def test_most_of_a_line_s_grammar_is_outside_of_lambdas(spark, sf_dir, name):
+    import __spark_entry__ as entry
+
+    # 478 and 809 mentions of a lambda's variable before
+    assert plan(entry.queries()[name](spark, sf_dir)).count("lambda") < 400
+
+
+def test_tilde_fields_in_columns_are_those_of_the_expression(spark):
+    from recordloom.functions import grammar as G
+    from recordloom.plans.q_lookups import WORDS
+
+    lines = ["~", "~ ", "~ ┖→", "부장", None, "~ 부장", "~ 시청", "~ 토질·지질 부장", "~ 시청 토질·지질", "~ 시청 부장", "~ 시청 토질·지질 부장", "~ 시청 국도 부장", "~ 시청 토질·지질 국도", "~ 시청 토목 토질·지질",
+             "~ 시청 국도 토질·지질 부장", "~ 시청 토목 토질·지질 부장", "~  경기도   양주시 국도 국도 토질·지질 부장", "~ 경기도 안양시 동안구 토목 토질·지질", "~ a b c d e f", "~ 가 가 나 나 토목구조 부장", "~ 한국수자원공사 본부 댐 건설 수자원개발 과장"]
+    d = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
+    want = {r.i: r.t for r in d.select("i", G.tilde_line(F.col("line"), WORDS).alias("t")).collect()}
+    got = {r.i: r.t for r in G.with_tilde_fields(d, "line", WORDS).collect()}
+    assert got == want and got[14] == ("시청", "국도", "토질·지질", "부장") and got[3] is None
+
+
+def test_pages_are_cleaned_as_their_lines_are(spark):
+    import random
+
+    from recordloom.operators import lines as L
+
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("a가b \t\n\r\x0b\f ​﻿") for _ in range(rnd.randrange(40))) for _ in range(300)] + [None, ""]
+    d = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "doc_id long, page_no long, text string")
+    each = d.select("doc_id", "page_no", F.posexplode(F.filter(F.transform(F.split("text", "\n"), L.line_text), lambda x: x != "")).alias("line_no", "line"))
+    assert sorted(map(tuple, L.split_lines(d).collect())) == sorted(map(tuple, each.collect()))
