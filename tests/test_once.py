@@ -112,3 +112,18 @@ def test_pages_are_cleaned_as_their_lines_are(spark):
     d = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "doc_id long, page_no long, text string")
     each = d.select("doc_id", "page_no", F.posexplode(F.filter(F.transform(F.split("text", "\n"), L.line_text), lambda x: x != "")).alias("line_no", "line"))
     assert sorted(map(tuple, L.split_lines(d).collect())) == sorted(map(tuple, each.collect()))
+
+
+def test_continuations_read_their_tables_a_few_times_only(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    assert plan(entry.queries()["attach_continuations"](spark, sf_dir)).count("Relation [") <= 10
+
+
+def test_texts_of_pages_with_and_without_records_go_to_the_record_before(spark):
+    from recordloom.operators import merge as M
+
+    rec = spark.createDataFrame([(1, 1, 10, "가", ""), (1, 1, 11, "나", ""), (1, 40000, 20, "둘째 쪽 내용 여덟 다", "앞"), (2, 5, 30, "라", "")], "doc_id long, page_no long, rec_idx long, project_name string, overview string")
+    cont = spark.createDataFrame([(1, 1, "첫 쪽"), (1, 2, " "), (1, 3, "둘째 쪽 내용 여덟"), (1, 40000, "셋"), (1, 40001, "넷"), (2, 4, "다섯"), (3, 1, "여섯")], "doc_id long, page_no long, cont string")
+    got = {r.rec_idx: (r.overview, r.project_name, r.cont_pages) for r in M.attach_continuations(rec, cont).collect()}
+    assert got == {10: ("", "가", None), 11: ("둘째 쪽 내용 여덟\n셋", "나", [3, 40000]), 20: ("앞\n넷", "다", [40001]), 30: ("", "라", None)}
